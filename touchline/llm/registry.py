@@ -21,8 +21,46 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=0, keep_ids=False)
+
+
+def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.common import work_path
+    from touchline.llm.token_orc import token_offsets, write_token_orc
+
+    path = work_path(spark, "token-orc")
+    write_token_orc(_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return token_offsets(spark, path)
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.exact import exact_groups
+
+    return exact_groups(_table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.simhash import fingerprint_components
+
+    return fingerprint_components(_table(spark, sf_dir, "documents"), radius=4)
+
+
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op5_token_orc": op5_token_orc,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_exact_dedup": r"""
+        WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+        g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+        SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256
+        FROM n JOIN g ON n.t = g.t
+    """,
+}
