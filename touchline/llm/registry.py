@@ -27,6 +27,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=0, keep_ids=False)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.substring import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), window=13).drop("kept_text")
+
+
 def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.common import work_path
     from touchline.llm.token_orc import token_offsets, write_token_orc
@@ -42,6 +48,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.toxicity import scored
+
+    return scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.simhash import fingerprint_components
 
@@ -50,13 +62,25 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_token_orc": op5_token_orc,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
+    "op4_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+        f AS (SELECT s, min(doc_id) AS lo FROM g GROUP BY s),
+        r AS (SELECT DISTINCT doc_id, i + o AS j FROM (SELECT g.doc_id, g.i, unnest(range(0, 13)) AS o FROM g JOIN f ON g.s = f.s WHERE f.lo < g.doc_id)),
+        k AS (SELECT a.doc_id, string_agg(a.word, ' ' ORDER BY a.j) AS kept, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d) a
+              LEFT JOIN r ON a.doc_id = r.doc_id AND a.j = r.j WHERE r.j IS NULL GROUP BY a.doc_id)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+    """,
     "op7_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
         g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
