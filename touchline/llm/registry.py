@@ -48,6 +48,12 @@ def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_offsets(spark, path)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.pii import personal_data
+
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.exact import exact_groups
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_token_orc": op5_token_orc,
+    "op6_personal_data": op6_personal_data,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
