@@ -21,6 +21,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.common import work_path
+    from touchline.llm.warc import page_records, write_pages
+
+    path = work_path(spark, "warc")
+    write_pages(_table(spark, sf_dir, "pages"), path, least_bytes=0)
+    return page_records(spark, path).drop("target_uri")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.packing import pack_documents
 
@@ -73,6 +82,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
@@ -85,6 +95,15 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+        g AS (SELECT h, max(page_id) AS top, count(*) AS n FROM p GROUP BY h)
+        SELECT p.page_id, octet_length(encode(p.h))::BIGINT AS payload_bytes,
+            list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(p.x, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)), 'string_agg', '') AS payload_digest,
+            CASE WHEN g.n > 1 AND p.page_id <> g.top THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN g.n > 1 AND p.page_id <> g.top THEN g.top END AS refers_to
+        FROM p JOIN g ON p.h = g.h
+    """,
     "op3_decontamination": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
         b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
