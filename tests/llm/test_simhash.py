@@ -91,3 +91,25 @@ def test_near_groups(spark):
     got = {r.doc_id: r.group_id for r in simhash.near_groups(frame(spark, rows)).collect()}
     assert got == {i: i % 40 for i in [*range(10), *range(40, 50)]}
     assert simhash.near_groups(frame(spark, [])).count() == 0
+
+
+def test_large_shards_lose_no_link(spark, monkeypatch):
+    """Shards far over the bound: a dense group, its fringe, and rows that are far from each other."""
+    rnd = random.Random(6)
+    base = rnd.getrandbits(64)
+    flip = lambda x, most: x ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(most)))
+    values = list({*(flip(base, 4) for _ in range(60)), *(flip(base, 9) for _ in range(60)), *(rnd.getrandbits(64) for _ in range(60))})
+    fps = np.array(values, np.uint64)[:, None]
+    want = simhash.Groups(len(values))
+    for i in range(len(values)):
+        for j in np.flatnonzero(simhash.hamming(fps[:i], fps[i]) <= 4).tolist():
+            want.join(i, j)
+    monkeypatch.setattr(simhash, "SHARD_MOST", 16)
+    shards = spark.createDataFrame([(7, v.to_bytes(8), i) for i, v in enumerate(values)], "__key long, __fp binary, __id int")
+    for rounds in (0, 1, 4):
+        monkeypatch.setattr(simhash, "LEADER_ROUNDS", rounds)
+        got = simhash.Groups(len(values))
+        for r in simhash._links(shards, 4, 1).collect():
+            assert (values[r.a] ^ values[r.b]).bit_count() <= 4
+            got.join(r.a, r.b)
+        assert [want.root(i) for i in range(len(values))] == [got.root(i) for i in range(len(values))]

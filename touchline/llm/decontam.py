@@ -72,28 +72,39 @@ def phrase_candidates(rows: DataFrame, windows: DataFrame) -> DataFrame:
     return both.unionByName(first.join(_small(single), ["item", "i"]).select(*first.columns).distinct())
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per row: ``id_col, n_words, n_hit, n_items, items_sha256, contaminated, items``.
-
-    A word is hit if it lies in an occurrence of a benchmark window; ``items`` are the ids of items with such a window,
-    as strings in order. Null and empty texts have no words and items without words no windows; items without an id are left
-    out. Rows that share an id are judged on their own text. An empty benchmark hits nothing.
-    """
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
+    """``__id, __th, n_words, n_hit, items`` per row."""
     rows = _rows(docs, id_col, text_col)
     windows = staged(item_windows(benchmark, window, item_col, item_text), "windows")
     found = phrase_candidates(rows, windows).join(_small(windows), ["item", "i"])
     found = found.groupBy("__id", "__th").agg(F.collect_list(F.struct("item", "start", "w", "words")).alias("found"))
     found = found.select(F.col("__id").alias("__fid"), F.col("__th").alias("__fth"), "found")
     joined = rows.join(found, F.col("__id").eqNullSafe(F.col("__fid")) & (F.col("__th") == F.col("__fth")), "left")
-    own = joined.select("__id", word_list(F.col("__text")).alias("__words"), "found")
+    own = joined.select("__id", "__th", word_list(F.col("__text")).alias("__words"), "found")
     exact = F.filter(F.coalesce("found", F.array().cast(found.schema["found"].dataType)), lambda c: F.slice("__words", c["start"] + 1, c["w"]) == c["words"])
-    own = own.select("__id", F.size("__words").cast("long").alias("n_words"), exact.alias("exact"))
+    own = own.select("__id", "__th", F.size("__words").cast("long").alias("n_words"), exact.alias("exact"))
     hit = F.size(F.array_distinct(F.flatten(F.transform("exact", lambda c: F.sequence(c["start"], c["start"] + c["w"] - 1))))).cast("long")
     items = F.array_sort(F.array_distinct(F.transform("exact", lambda c: c["item"])))
-    own = own.select("__id", "n_words", hit.alias("n_hit"), items.alias("items"))
+    return own.select("__id", "__th", "n_words", hit.alias("n_hit"), items.alias("items"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Per row: ``id_col, n_words, n_hit, n_items, items_sha256, contaminated, items``.
+
+    A word is hit if it lies in an occurrence of a benchmark window; ``items`` are the ids of items with such a window,
+    as strings in order. Null and empty texts have no words and items without words no windows; items without an id are left
+    out. Rows that share an id are judged on their own text. An empty benchmark hits nothing.
+    """
+    own = _judged(docs, benchmark, window, id_col, text_col, item_col, item_text)
     return own.select(F.col("__id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items")
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without an occurrence of a benchmark window in their text."""
+    hit = staged(_judged(docs, benchmark, window, id_col, text_col, item_col, item_text).where("n_hit > 0").select("__id", "__th").distinct(), "contaminated")
+    return docs.join(hit, docs[id_col].eqNullSafe(hit["__id"]) & (F.xxhash64(docs[text_col].cast("string")) == hit["__th"]), "left_anti")
+
+
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, terms: int = 3, within: int = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``id_col, item, first, last``: documents where an item's ``terms`` rarest terms, in any order, lie around an occurrence
     of the rarest one, at most ``within`` words before or after it. ``first`` and ``last`` are the nearest such stretch."""

@@ -133,3 +133,10 @@ def exact_groups(docs: DataFrame, known: DataFrame | None = None, id_col: str =
         F.col("__id").eqNullSafe(F.col("winner")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def deduplicated(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that stay in their group. Rows repeated with one id share their fate."""
+    groups = exact_groups(docs, known, id_col, text_col)
+    stay = groups.where("kept").select(F.col(id_col).alias("__stays"), F.unhex("text_sha256").alias("__digest")).distinct()
+    return docs.join(stay, docs[id_col].eqNullSafe(stay["__stays"]) & (digest_of(docs[text_col]) == stay["__digest"]), "left_semi")

@@ -11,17 +11,23 @@ smallest hashes of their shingles, several times with other hash functions.
 
 Trees are sent to the tasks that hold their shard's queries. They are not broadcast: all trees together have no bound.
 Inside a shard only the links that join two groups leave the task, so a group of k near copies gives k - 1 links.
+
+A shard of more than SHARD_MOST rows never reaches a task whole. Spark takes one of its fingerprints as the root of the tree and
+computes all edges to it: rows within the radius are linked to the root and leave; rows at most two radii away are searched
+against those of them that their edge allows, in blocks; rows beyond the radius go on as a smaller shard. What is still
+large after LEADER_ROUNDS roots is searched in pairs of blocks. No link is lost on the way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import WordHashes, mixed, shingle_hashes, staged
@@ -32,6 +38,8 @@ from touchline.operators.graph import connected_components
 LEAF = 64
 #: Fingerprints a block shard holds on average, before more blocks are used.
 SHARD_ROWS = 512
+#: Rows of a shard that are searched in one task, and roots taken out of a larger one before it is searched in blocks.
+SHARD_MOST, LEADER_ROUNDS = 1024, 4
 #: Shards of the sketch: pairs of smallest hashes. A pair with similarity 0.8 misses all with probability 0.36 ** 10.
 BANDS, BAND_ROWS = 10, 2
 
@@ -128,9 +136,14 @@ def bk_links(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
         for i in range(0, len(queries), 256):
             part = queries[i : i + 256]
             near = np.argwhere(hamming(fps[part][:, None, :], fps[members][None, :, :]) <= radius)
-            for q, m in zip(part[near[:, 0]].tolist(), members[near[:, 1]].tolist(), strict=True):
-                if q != m:
-                    groups.join(q, m)
+            q, m = part[near[:, 0]], members[near[:, 1]]
+            while len(q):  # a pair inside one group says nothing new
+                root = np.fromiter((groups.root(i) for i in range(len(fps))), np.int64, len(fps))
+                apart = root[q] != root[m]
+                q, m = q[apart], m[apart]
+                for a, b in zip(q[:256].tolist(), m[:256].tolist(), strict=True):
+                    groups.join(a, b)
+                q, m = q[256:], m[256:]
 
     # (members of a subtree, queries that may lie within the radius of some of them)
     todo = [(np.arange(len(fps)), np.arange(len(fps)))]
@@ -197,13 +210,55 @@ def _shard_links(radius: int) -> Callable:
     return run
 
 
-def _links(shards: DataFrame, radius: int) -> DataFrame:
-    """``shards``: __key, __fp, __id."""
+def _searched(shards: DataFrame, radius: int) -> DataFrame:
+    """Links ``a, b`` inside shards (``__key, __fp, __id``) of bounded size, each searched in one task."""
     kind = shards.schema["__id"].dataType.simpleString()
-    dealt = shards.repartition("__key").sortWithinPartitions("__key")
+    dealt = shards.select("__key", "__fp", "__id").repartition("__key").sortWithinPartitions("__key")
     return dealt.mapInArrow(_shard_links(radius), f"a {kind}, b {kind}")
 
 
+def _distance(a: str, b: str, lanes: int) -> Column:
+    word = lambda c, i: F.conv(F.hex(F.substring(c, 8 * i + 1, 8)), 16, -10).cast("long")
+    return reduce(lambda x, y: x + y, [F.bit_count(word(a, i).bitwiseXOR(word(b, i))) for i in range(lanes)])
+
+
+def _dealt(rows: DataFrame, own: Column, others: Column) -> DataFrame:
+    """Each row in its own block, once for each block it is searched against: ``__key, __fp, __id``."""
+    return rows.select("__key", "__fp", "__id", F.pmod(F.xxhash64("__fp", "__id"), own).alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("other"))
+
+
+def _links(shards: DataFrame, radius: int, lanes: int) -> DataFrame:
+    """``a, b``: links that connect all rows of a shard (``__key, __fp, __id``) within the radius of each other."""
+    half = SHARD_MOST // 2
+    blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / half)).cast("long")
+    shards = staged(shards.select("__key", "__fp", "__id"), "shards")
+    found = []
+    for round_ in range(LEADER_ROUNDS + 1):
+        hot = shards.groupBy("__key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("__fp", "__id")).alias("root")).where(F.col("n") > SHARD_MOST)
+        hot = staged(hot.select("__key", "n", F.col("root.__fp").alias("root_fp"), F.col("root.__id").alias("root_id")), "hot-shards")
+        if hot.isEmpty():
+            found.append(_searched(shards, radius))
+            break
+        found.append(_searched(shards.join(hot, "__key", "left_anti"), radius))
+        rows = shards.join(hot, "__key")
+        if round_ == LEADER_ROUNDS:
+            pairs = _dealt(rows, blocks("n"), blocks("n"))
+            found.append(_searched(pairs.select(F.xxhash64("__key", F.least("own", "other"), F.greatest("own", "other")).alias("__key"), "__fp", "__id"), radius))
+            break
+        rows = staged(rows.select("__key", "__fp", "__id", "root_id", _distance("__fp", "root_fp", lanes).alias("edge")), "edges")
+        inside, fringe = F.col("edge") <= radius, (F.col("edge") > radius) & (F.col("edge") <= 2 * radius)
+        found.append(rows.where(inside & ~F.col("__id").eqNullSafe(F.col("root_id"))).select(F.col("__id").alias("a"), F.col("root_id").alias("b")))
+        nearest = rows.where(fringe).groupBy("__key").agg(F.count(F.lit(1)).alias("n_fringe"), F.min("edge").alias("least"))
+        reach = rows.where(inside).join(nearest, "__key").where(F.col("edge") >= F.col("least") - radius)
+        counts = staged(reach.groupBy("__key", "n_fringe", "least").agg(F.count(F.lit(1)).alias("n_inside")), "fringes")
+        shard = lambda i, j: F.xxhash64("__key", F.col(i), F.col(j)).alias("__key")
+        one = _dealt(rows.where(inside).join(counts, "__key").where(F.col("edge") >= F.col("least") - radius), blocks("n_inside"), blocks("n_fringe")).select(shard("own", "other"), "__fp", "__id")
+        two = _dealt(rows.where(fringe).join(counts, "__key"), blocks("n_fringe"), blocks("n_inside")).select(shard("other", "own"), "__fp", "__id")
+        found.append(_searched(one.unionByName(two), radius))
+        shards = rows.where(F.col("edge") > radius).select("__key", "__fp", "__id")
+    return reduce(DataFrame.unionByName, found)
+
+
 def block_shards(fps: DataFrame, n: int, radius: int) -> DataFrame:
     """Rows ``__fp`` (8 bytes) and ``__id`` to ``__key, __fp, __id``: a row for each choice of blocks.
 
@@ -233,7 +288,7 @@ def fingerprint_components(docs: DataFrame, radius: int = 4, id_col: str = "doc_
     distinct = staged(marked.groupBy("__fp").agg(F.min("__id").alias("__low")), "distinct")
     value = F.conv(F.hex("__fp"), 16, -10).cast("long")
     nodes = distinct.select("__fp", value.alias("__id"))
-    links = staged(_links(block_shards(nodes, distinct.count(), radius), radius), "near")
+    links = staged(_links(block_shards(nodes, distinct.count(), radius), radius, 1), "near")
     components = connected_components(links, staged)
     joined = distinct.withColumn("__node", value).join(components, F.col("__node") == F.col("node"), "left")
     joined = staged(joined.select("__fp", "__low", F.coalesce("component", "__node").alias("__component")), "joined")
@@ -260,7 +315,14 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes:
     marked = staged(rows.mapInArrow(_wide(words, lanes), f"__id {kind}, __fp binary, __keys array<long>").where("size(__keys) > 1"), "wide")
     exploded = marked.select(F.explode("__keys").alias("__key"), "__fp", "__id")
     shared = exploded.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key")
-    links = staged(_links(exploded.join(shared, "__key"), similarity_radius(similarity, 64 * lanes)), "near")
+    links = staged(_links(exploded.join(shared, "__key"), similarity_radius(similarity, 64 * lanes), lanes), "near")
     components = connected_components(links, staged)
     size = components.groupBy("component").agg(F.count(F.lit(1)).alias("group_size"))
     return components.join(size, "component").select(F.col("node").alias(id_col), F.col("component").alias("group_id"), "group_size")
+
+
+def without_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without those that have a near copy with a smaller id in their group."""
+    groups = near_groups(docs, words, similarity, id_col=id_col, text_col=text_col)
+    others = groups.where(F.col(id_col) > F.col("group_id")).select(F.col(id_col).alias("__goes"))
+    return docs.join(others, docs[id_col] == others["__goes"], "left_anti")

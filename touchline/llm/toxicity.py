@@ -277,3 +277,12 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit without the held-out fifth, then per row: ``id_col, held_out, score, predicted``."""
     out = toxicity_scores(docs, fit(docs, labels, id_col, text_col), id_col, text_col)
     return out.select(id_col, F.coalesce(_held_out(F.col(id_col)), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that score below the threshold; all labels are used for fitting."""
+    model = fit(docs, labels, id_col, text_col, hold_out=False)
+    text = F.col(text_col).cast("string")
+    scores = toxicity_scores(docs.select(F.xxhash64(text).alias("__th"), text.alias("__scored")), model, "__th", "__scored")
+    toxic = staged(scores.where(F.col("score") >= threshold).select(F.col("__th").alias("__toxic")).distinct(), "toxic")
+    return docs.join(toxic, F.xxhash64(docs[text_col].cast("string")) == toxic["__toxic"], "left_anti")
