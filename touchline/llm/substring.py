@@ -1,6 +1,7 @@
 """Removal of repeated passages over a De Bruijn graph of words.
 
-Edges are windows of ``window`` consecutive words. An edge is repeated if it occurs in two documents or more. Three scans:
+Edges are windows of ``window`` consecutive words. An edge is repeated if it occurs in two documents or more. Of equal
+texts only the one with the smallest id takes part; each window of the others starts in it too. Three scans:
 
 1. Anchors. A window's anchor is the smallest hash among its ``anchor``-word shingles; equal windows have equal anchors,
    and only about a fifth of the shingles are anchors. Spark counts the documents of each anchor; those of
@@ -28,6 +29,8 @@ from touchline.llm.tokens import clean_texts
 
 #: Bits of the anchor filter (16 MB), whatever the size of the corpus.
 FILTER_BITS = 1 << 27
+#: Groups of equal texts up to which their table is broadcast; a larger one is joined by a shuffle.
+BROADCAST_GROUPS = 500_000
 
 _words = WordHashes()
 
@@ -100,6 +103,14 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("__id"), text.alias("__text"), F.xxhash64(text).alias("__th"))
 
 
+def _with_first(rows: DataFrame) -> DataFrame:
+    """``rows`` with an id and ``__first``, the smallest id of a row with the same text if there are several rows, else null."""
+    rows = rows.where(F.col("__id").isNotNull())
+    groups = rows.groupBy("__th").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("__th", "__first")
+    groups = staged(groups, "equal-texts")
+    return rows.join(F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups, "__th", "left")
+
+
 def repeated_spans(docs: DataFrame, window: int = 13, anchor: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Paths of windows that also start in a document with a smaller id: ``__id, __th, start, n, source``.
 
@@ -107,7 +118,10 @@ def repeated_spans(docs: DataFrame, window: int = 13, anchor: int = 5, id_col: s
     ``__th`` tells rows apart that share an id. Rows without an id are neither sources nor repeats.
     """
     spark = docs.sparkSession
-    rows = _rows(docs, id_col, text_col).where(F.col("__id").isNotNull())
+    rows = _with_first(_rows(docs, id_col, text_col))
+    copy = F.col("__id") > F.col("__first")
+    whole = rows.where(copy).select("__id", "__th", F.regexp_count("__text", F.lit("[^\\x20\\x09-\\x0D]+")).alias("n"), F.col("__first").alias("source")).where(F.col("n") >= window)
+    rows = rows.where(~F.coalesce(copy, F.lit(False)))
     anchors = rows.select("__text").mapInArrow(_anchors(window, anchor), "h long")
     repeated = anchors.groupBy("h").count().where("count > 1")
     bit = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
@@ -126,7 +140,7 @@ def repeated_spans(docs: DataFrame, window: int = 13, anchor: int = 5, id_col: s
     found = found.withColumn("__new", F.when(goes_on, 0).otherwise(1))
     found = found.withColumn("__path", F.sum("__new").over(order))
     paths = found.groupBy("__id", "__th", "__path").agg(F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + window).alias("n"), F.first("source").alias("source"))
-    return paths.select("__id", "__th", "start", "n", "source")
+    return paths.select("__id", "__th", "start", "n", "source").unionByName(whole.select("__id", "__th", F.lit(0).alias("start"), "n", "source"))
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
