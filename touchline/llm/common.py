@@ -46,10 +46,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: Words that each of a worker's memories keeps; with all of them full, a worker stays below 400 MB.
+CACHED_WORDS = 100_000
+
+
 class WordHashes(dict):
     """XXH64 of a word's bytes, remembered for the first ``limit`` distinct words a worker meets."""
 
-    def __init__(self, limit: int = 400_000, seed: int = 0):
+    def __init__(self, limit: int = CACHED_WORDS, seed: int = 0):
         super().__init__()
         self.limit, self.seed = limit, seed
 

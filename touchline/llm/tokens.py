@@ -25,10 +25,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.common import CACHED_WORDS
+
 #: Bytes of text worked on at a time inside a task.
 SLICE_BYTES = 4 << 20
-#: Distinct words a worker remembers.
-CACHE_WORDS = 500_000
 SPACE_SIGN = "▁"
 
 _loaded: dict[str, object] = {}
@@ -107,9 +107,9 @@ class WordTokenizer:
             known.update(zip(new, self._encode_new(new), strict=True))
             for i, (core, tail) in zip(missing, cores, strict=True):
                 found[i] = value = known[core] + tail
-                if len(cache) < CACHE_WORDS and len(words[i]) <= 48:
+                if len(cache) < CACHED_WORDS and len(words[i]) <= 48:
                     cache[words[i]] = value
-                    if tail and len(cache) < CACHE_WORDS:
+                    if tail and len(cache) < CACHED_WORDS:
                         cache[core] = known[core]
         return found
 
@@ -144,7 +144,7 @@ class PieceTokenizer:
             for i, n in zip(missing, self.whole([words[i] for i in missing]), strict=True):
                 # An empty part only stands for a space at the end of a text (or an empty text: see count_slice).
                 found[i] = n = n or 1
-                if len(cache) < CACHE_WORDS and len(words[i]) <= 48:
+                if len(cache) < CACHED_WORDS and len(words[i]) <= 48:
                     cache[words[i]] = n
         return found
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import staged
+from touchline.llm.common import CACHED_WORDS, staged
 from touchline.llm.tokens import clean_texts
 
 BUCKETS = 1 << 20
@@ -55,7 +55,7 @@ class TokenBuckets(dict):
         core = core[a:b]
         units = ([core] if core else []) + [f"^{core[:n]}" for n in PREFIXES if n < len(core)]
         value = np.array([*(xxhash.xxh64_intdigest(u.encode()) % BUCKETS for u in units), *[-1] * (len(PREFIXES) + 1 - len(units))], np.int32).tobytes()
-        if len(self) < 300_000 and len(word) <= 64:
+        if len(self) < CACHED_WORDS and len(word) <= 64:
             self[word] = value
         return value
 
@@ -73,7 +73,7 @@ class WordScores(dict):
     def __missing__(self, word: bytes) -> float:
         known = [self.scores[u] for u in np.frombuffer(_units[word], np.int32).tolist() if u in self.scores]
         value = max(known, key=lambda x: abs(x[1]))[0] if known else DRIFT
-        if len(self) < 300_000 and len(word) <= 64:
+        if len(self) < CACHED_WORDS and len(word) <= 64:
             self[word] = value
         return value
 
