@@ -47,7 +47,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 #: Words that each of a worker's memories keeps; with all of them full, a worker stays below 400 MB.
-CACHED_WORDS = 100_000
+CACHED_WORDS = 200_000
 
 
 class WordHashes(dict):

@@ -45,6 +45,8 @@ class TokenBuckets(dict):
     was never labelled is known by the family it belongs to.
     """
 
+    limit = CACHED_WORDS
+
     def __missing__(self, word: bytes) -> bytes:
         core = word.decode("utf-8", "replace").lower()
         a, b = 0, len(core)
@@ -55,7 +57,7 @@ class TokenBuckets(dict):
         core = core[a:b]
         units = ([core] if core else []) + [f"^{core[:n]}" for n in PREFIXES if n < len(core)]
         value = np.array([*(xxhash.xxh64_intdigest(u.encode()) % BUCKETS for u in units), *[-1] * (len(PREFIXES) + 1 - len(units))], np.int32).tobytes()
-        if len(self) < CACHED_WORDS and len(word) <= 64:
+        if len(self) < self.limit and len(word) <= 64:
             self[word] = value
         return value
 
@@ -63,15 +65,21 @@ class TokenBuckets(dict):
 _units = TokenBuckets()
 
 
+class UncachedBuckets(TokenBuckets):
+    limit = 0
+
+
 class WordScores(dict):
     """Score of a word: the log-odds of its unit that stands out most; DRIFT if none does."""
 
+    units = UncachedBuckets()
+
     def __init__(self, scores: dict[int, tuple[float, float]]):
         super().__init__()
         self.scores = scores
 
     def __missing__(self, word: bytes) -> float:
-        known = [self.scores[u] for u in np.frombuffer(_units[word], np.int32).tolist() if u in self.scores]
+        known = [self.scores[u] for u in np.frombuffer(self.units[word], np.int32).tolist() if u in self.scores]
         value = max(known, key=lambda x: abs(x[1]))[0] if known else DRIFT
         if len(self) < CACHED_WORDS and len(word) <= 64:
             self[word] = value
@@ -240,6 +248,7 @@ def _apply(model: ToxicityModel, docs: DataFrame, columns: str, rows):
 
     def run(batches):
         scores, m = shared.value
+        _units.clear()  # counting is over: its memory makes room for the scores
         for batch in batches:
             yield rows(batch, [evidence(t.as_py(), scores, m.lam, m.k) for t in clean_texts(batch.column("__text")).cast(pa.binary())], m)
 
