@@ -99,7 +99,7 @@ SQL: dict[str, str] = {
         WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
         g AS (SELECT h, max(page_id) AS top, count(*) AS n FROM p GROUP BY h)
         SELECT p.page_id, octet_length(encode(p.h))::BIGINT AS payload_bytes,
-            list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(p.x, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)), 'string_agg', '') AS payload_digest,
+            list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(p.x, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)), 'string_agg', '') AS payload_digest,
             CASE WHEN g.n > 1 AND p.page_id <> g.top THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN g.n > 1 AND p.page_id <> g.top THEN g.top END AS refers_to
         FROM p JOIN g ON p.h = g.h
