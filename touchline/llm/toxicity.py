@@ -14,6 +14,7 @@ Tokens are hashed to a fixed number of buckets, so what is gathered and sent to
 from __future__ import annotations
 
 import math
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,26 +39,37 @@ CLASS_WIDTH, CLASSES = 0.05, 400
 LEAST_P = 0.01
 
 
-class TokenBuckets(dict):
-    """Buckets of a word's units, as bytes of PREFIXES + 1 32-bit integers; -1 for none.
+#: ASCII characters other than letters and digits: what is dropped around a plain word.
+_AROUND = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
+def unit_buckets(word: bytes) -> list[int]:
+    """Buckets of a word's units.
 
     Units are the word's letters and digits in lower case, without punctuation around it, and its beginnings: a word that
     was never labelled is known by the family it belongs to.
     """
+    digest = xxhash.xxh64_intdigest
+    if word.isascii():
+        core = word.lower().strip(_AROUND)
+        units = [digest(b"^" + core[:n]) % BUCKETS for n in PREFIXES if n < len(core)]
+        return [digest(core) % BUCKETS, *units] if core else units
+    text = word.decode("utf-8", "replace").lower()
+    a, b = 0, len(text)
+    while a < b and not text[a].isalnum():
+        a += 1
+    while b > a and not text[b - 1].isalnum():
+        b -= 1
+    text = text[a:b]
+    return [digest(u.encode()) % BUCKETS for u in ([text] if text else []) + [f"^{text[:n]}" for n in PREFIXES if n < len(text)]]
 
-    limit = CACHED_WORDS
+
+class TokenBuckets(dict):
+    """Buckets of a word's units, as bytes of 32-bit integers."""
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.decode("utf-8", "replace").lower()
-        a, b = 0, len(core)
-        while a < b and not core[a].isalnum():
-            a += 1
-        while b > a and not core[b - 1].isalnum():
-            b -= 1
-        core = core[a:b]
-        units = ([core] if core else []) + [f"^{core[:n]}" for n in PREFIXES if n < len(core)]
-        value = np.array([*(xxhash.xxh64_intdigest(u.encode()) % BUCKETS for u in units), *[-1] * (len(PREFIXES) + 1 - len(units))], np.int32).tobytes()
-        if len(self) < self.limit and len(word) <= 64:
+        value = array("i", unit_buckets(word)).tobytes()
+        if len(self) < CACHED_WORDS and len(word) <= 64:
             self[word] = value
         return value
 
@@ -65,21 +77,15 @@ class TokenBuckets(dict):
 _units = TokenBuckets()
 
 
-class UncachedBuckets(TokenBuckets):
-    limit = 0
-
-
 class WordScores(dict):
     """Score of a word: the log-odds of its unit that stands out most; DRIFT if none does."""
 
-    units = UncachedBuckets()
-
     def __init__(self, scores: dict[int, tuple[float, float]]):
         super().__init__()
         self.scores = scores
 
     def __missing__(self, word: bytes) -> float:
-        known = [self.scores[u] for u in np.frombuffer(self.units[word], np.int32).tolist() if u in self.scores]
+        known = [self.scores[u] for u in unit_buckets(word) if u in self.scores]
         value = max(known, key=lambda x: abs(x[1]))[0] if known else DRIFT
         if len(self) < CACHED_WORDS and len(word) <= 64:
             self[word] = value
@@ -97,7 +103,6 @@ def _document_counts(batches):
         labels = batch.column("label").to_pylist()
         for text, label in zip(clean_texts(batch.column("__text")).cast(pa.binary()), labels, strict=True):
             own = np.unique(np.frombuffer(b"".join(map(_units.__getitem__, set(text.as_py().split()))), np.int32))
-            own = own[own >= 0]
             total[0, own] += 1
             if label is not None:
                 total[1 if label else 2, own] += 1
