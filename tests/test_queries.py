@@ -16,7 +16,7 @@ def rows(df):
 @pytest.fixture(scope="module")
 def db(sf):
     con = duckdb.connect()
-    for t in ("events", "orders", "customer", "lineitem", "embeddings"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     return con
 

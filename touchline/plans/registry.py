@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from touchline.operators.tables import full_outer, surrogate_key, upsert
 from touchline.operators.temporal import asof_join, band_join, latest_state, sessions
 from touchline.operators.vectors import mean_vector, nearest
+from touchline.plans import relational  # noqa: F401  (registers its queries)
+from touchline.plans.base import QUERIES, SQL, query  # noqa: F401
 from touchline.sources.shared import table
 from touchline.streaming.windows import hourly_counts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str):
-    def add(f):
-        QUERIES[f.__name__], SQL[f.__name__] = f, sql
-        return f
-
-    return add
-
 
 def _events(spark, d, kind=None):
     rows = table(spark, d, "events")
