@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from tests.llm.helpers import documents, frame
 from touchline.llm import simhash
@@ -113,3 +114,35 @@ def test_large_shards_lose_no_link(spark, monkeypatch):
             assert (values[r.a] ^ values[r.b]).bit_count() <= 4
             got.join(r.a, r.b)
         assert [want.root(i) for i in range(len(values))] == [got.root(i) for i in range(len(values))]
+
+
+def jaccard(a, b, k=5):
+    sets = [{tuple(w[i : i + k]) for i in range(len(w) - k + 1)} for w in (a.split(), b.split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+@pytest.mark.parametrize("most", [1024, 16])
+def test_near_groups_on_both_sides_of_the_similarity(spark, monkeypatch, most):
+    """Pairs at 0.8 are linked, pairs just below are not; with small shards also one group whose copies share a text."""
+    monkeypatch.setattr(simhash, "SHARD_MOST", most)
+    rows, want = [], {}
+    for k in range(120):
+        w = [f"d{k}w{j}" for j in range(164)]
+        more = 40 + k % 2 * (1 + k // 2 % 12)  # even: 160 of 200 shingles; odd: 160 of 201 to 212
+        a, b = " ".join(w), " ".join(w + [f"d{k}x{j}" for j in range(more)])
+        assert (jaccard(a, b) >= 0.8) == (k % 2 == 0)
+        rows += [(2 * k, a), (2 * k + 1, b)]
+        if k % 2 == 0:
+            want |= {2 * k: 2 * k, 2 * k + 1: 2 * k}
+    shared = [f"s{j}" for j in range(104)]  # 100 shingles, and 6 to 38 more of its own for each of 60 rows
+    star = {1000 + i: " ".join(shared + [f"s{i}y{j}" for j in range(6 + 2 * (i % 17))]) for i in range(60)}
+    groups = simhash.Groups(60)
+    for i in range(60):
+        for j in range(i):
+            if jaccard(star[1000 + i], star[1000 + j]) >= 0.8:
+                groups.join(i, j)
+    roots = [groups.root(i) for i in range(60)]
+    want |= {1000 + i: 1000 + r for i, r in enumerate(roots) if roots.count(r) > 1}
+    assert 0 < len(want) - 120 < 60
+    got = {r.doc_id: r.group_id for r in simhash.near_groups(frame(spark, [*rows, *star.items()])).collect()}
+    assert got == want

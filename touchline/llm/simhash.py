@@ -7,7 +7,9 @@ distance between query and node by the radius at most. The search runs for all o
 A small radius uses blocks: 64 bits in b > r blocks, and one shard for each value of each choice of b - r blocks; two
 fingerprints that differ in r bits or fewer agree on one of the choices at least, so no link is lost. A large radius
 (near copies with a given share of changed shingles) uses shards of documents that agree on two of the
-smallest hashes of their shingles, several times with other hash functions.
+smallest hashes of their shingles, several times with other hash functions. There the sketch only names candidates, with a
+radius that practically no pair at the similarity exceeds. Documents with a candidate are then searched once more with
+their shingles, and two are linked only if the exact Jaccard similarity of these is high enough.
 
 Trees are sent to the tasks that hold their shard's queries. They are not broadcast: all trees together have no bound.
 Inside a shard only the links that join two groups leave the task, so a group of k near copies gives k - 1 links.
@@ -15,7 +17,8 @@ Inside a shard only the links that join two groups leave the task, so a group of
 A shard of more than SHARD_MOST rows never reaches a task whole. Spark takes one of its fingerprints as the root of the tree and
 computes all edges to it: rows within the radius are linked to the root and leave; rows at most two radii away are searched
 against those of them that their edge allows, in blocks; rows beyond the radius go on as a smaller shard. What is still
-large after LEADER_ROUNDS roots is searched in pairs of blocks. No link is lost on the way.
+large after LEADER_ROUNDS roots is searched in pairs of blocks. No link is lost on the way. With shingles, edges are
+Jaccard distances, which obey the triangle inequality as Hamming distances do.
 """
 
 from __future__ import annotations
@@ -42,6 +45,8 @@ SHARD_ROWS = 512
 SHARD_MOST, LEADER_ROUNDS = 1024, 4
 #: Shards of the sketch: pairs of smallest hashes. A pair with similarity 0.8 misses all with probability 0.36 ** 10.
 BANDS, BAND_ROWS = 10, 2
+#: Deviations above the expected distance up to which a pair of sketches is a candidate: at the similarity, one in 30,000 lies beyond.
+DEVIATIONS = 4
 
 _words = WordHashes()
 
@@ -104,6 +109,20 @@ def _wide(words: int, lanes: int) -> Callable:
     return run
 
 
+def _shingle_sets(words: int) -> Callable:
+    def run(batches):
+        for batch in batches:
+            texts = clean_texts(batch.column("__text")).cast(pa.binary())
+            for i in range(0, len(texts), 256):  # shingles take more room than the text
+                sets = []
+                for t in texts[i : i + 256]:
+                    w = t.as_py().lower().split()
+                    sets.append(np.unique(shingle_hashes(_words.array(w), min(words, len(w)))).view(np.int64) if w else np.zeros(0, np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column("__id").slice(i, 256), pa.array(sets, pa.list_(pa.int64()))], names=["__id", "__set"])
+
+    return run
+
+
 def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distances between one fingerprint and many (rows of 64-bit words)."""
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
@@ -127,6 +146,42 @@ class Groups:
             self.links.append((i, j))
 
 
+class Sets:
+    """Sets of integers, one after the other in ``flat``, and the exact Jaccard similarity of one to others."""
+
+    def __init__(self, flat: np.ndarray, starts: np.ndarray, similarity: float):
+        self.values, self.flat = np.unique(flat, return_inverse=True)
+        self.starts, self.size, self.similarity = starts, np.diff(starts), similarity
+        self.marked = np.zeros(len(self.values), bool)
+
+    def similar(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` that are as similar to row ``i`` as asked for."""
+        own = self.size[i]
+        low, high = np.minimum(own, self.size[others]), np.maximum(own, self.size[others])
+        others = others[(low > 0) & (low / np.maximum(high, 1) >= self.similarity)]
+        if not len(others):
+            return others
+        at = self.flat[self.starts[i] : self.starts[i + 1]]
+        self.marked[at] = True
+        both = np.fromiter((np.count_nonzero(self.marked[self.flat[self.starts[j] : self.starts[j + 1]]]) for j in others.tolist()), np.int64, len(others))
+        self.marked[at] = False
+        return others[both / (own + self.size[others] - both) >= self.similarity]
+
+
+def set_links(fps: np.ndarray, radius: int, sets: Sets) -> list[tuple[int, int]]:
+    """As ``bk_links``, for rows within the radius whose sets are similar too; a pair inside one group is not compared."""
+    groups = Groups(len(fps))
+    for i in range(1, len(fps)):
+        near = np.flatnonzero(hamming(fps[:i], fps[i]) <= radius)
+        while len(near):
+            own = groups.root(i)
+            near = near[np.fromiter((groups.root(j) != own for j in near.tolist()), bool, len(near))]
+            for j in sets.similar(i, near[:64]).tolist():
+                groups.join(i, j)
+            near = near[64:]
+    return groups.links
+
+
 def bk_links(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links that connect all rows of ``fps`` within the radius of each other: a spanning forest of them."""
     groups = Groups(len(fps))
@@ -171,8 +226,8 @@ def bk_links(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return groups.links
 
 
-def _shard_links(radius: int) -> Callable:
-    """Rows (__key, __fp, __id) sorted by key to links (a, b) between ids; a shard may span Arrow batches."""
+def _shard_links(radius: int, similarity: float | None) -> Callable:
+    """Rows (__key, __fp, __id), with a similarity also __set, sorted by key to links (a, b) between ids; a shard may span Arrow batches."""
 
     def links(rows: list[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
         table = pa.Table.from_batches(rows)
@@ -183,7 +238,12 @@ def _shard_links(radius: int) -> Callable:
         cut = np.flatnonzero(np.diff(key)) + 1
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(key)], strict=True):
             if b - a > 1:
-                got = bk_links(fps[a:b], radius)
+                if similarity is None:
+                    got = bk_links(fps[a:b], radius)
+                else:
+                    own = table.column("__set").slice(a, b - a).combine_chunks()
+                    starts = own.offsets.to_numpy()
+                    got = set_links(fps[a:b], radius, Sets(own.flatten().to_numpy(), (starts - starts[0]).astype(np.int64), similarity))
                 if got:
                     at = np.array(got) + a
                     yield ids.take(pa.array(at[:, 0])), ids.take(pa.array(at[:, 1]))
@@ -210,11 +270,15 @@ def _shard_links(radius: int) -> Callable:
     return run
 
 
-def _searched(shards: DataFrame, radius: int) -> DataFrame:
-    """Links ``a, b`` inside shards (``__key, __fp, __id``) of bounded size, each searched in one task."""
+def _searched(shards: DataFrame, radius: int, similarity: float | None = None) -> DataFrame:
+    """Links ``a, b`` inside shards (``__key, __fp, __id``, with a similarity also ``__set``) of bounded size, each searched in one task."""
     kind = shards.schema["__id"].dataType.simpleString()
-    dealt = shards.select("__key", "__fp", "__id").repartition("__key").sortWithinPartitions("__key")
-    return dealt.mapInArrow(_shard_links(radius), f"a {kind}, b {kind}")
+    dealt = shards.select("__key", "__fp", "__id", *_sets(similarity)).repartition("__key").sortWithinPartitions("__key")
+    return dealt.mapInArrow(_shard_links(radius, similarity), f"a {kind}, b {kind}")
+
+
+def _sets(similarity: float | None) -> list[str]:
+    return [] if similarity is None else ["__set"]
 
 
 def _distance(a: str, b: str, lanes: int) -> Column:
@@ -222,40 +286,60 @@ def _distance(a: str, b: str, lanes: int) -> Column:
     return reduce(lambda x, y: x + y, [F.bit_count(word(a, i).bitwiseXOR(word(b, i))) for i in range(lanes)])
 
 
-def _dealt(rows: DataFrame, own: Column, others: Column) -> DataFrame:
-    """Each row in its own block, once for each block it is searched against: ``__key, __fp, __id``."""
-    return rows.select("__key", "__fp", "__id", F.pmod(F.xxhash64("__fp", "__id"), own).alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("other"))
+def _jaccard(a: str, b: str) -> Column:
+    """Similarity of two arrays without repeated values."""
+    both = F.size(F.array_intersect(a, b))
+    return both / (F.size(a) + F.size(b) - both)
+
 
+def _dealt(rows: DataFrame, own: Column, others: Column, held: list[str]) -> DataFrame:
+    """Each row in its own block, once for each block it is searched against: ``held``."""
+    return rows.select(*held, F.pmod(F.xxhash64("__fp", "__id"), own).alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("other"))
 
-def _links(shards: DataFrame, radius: int, lanes: int) -> DataFrame:
-    """``a, b``: links that connect all rows of a shard (``__key, __fp, __id``) within the radius of each other."""
+
+def _links(shards: DataFrame, radius: int, lanes: int, similarity: float | None = None) -> DataFrame:
+    """``a, b``: links that connect all rows of a shard (``__key, __fp, __id``) within the radius of each other.
+
+    With a similarity, the rows hold their shingles as ``__set`` and links are between similar sets only.
+    """
     half = SHARD_MOST // 2
+    held = ["__key", "__fp", "__id", *_sets(similarity)]
     blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / half)).cast("long")
-    shards = staged(shards.select("__key", "__fp", "__id"), "shards")
+    shards = staged(shards.select(*held), "shards")
     found = []
     for round_ in range(LEADER_ROUNDS + 1):
         hot = shards.groupBy("__key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("__fp", "__id")).alias("root")).where(F.col("n") > SHARD_MOST)
         hot = staged(hot.select("__key", "n", F.col("root.__fp").alias("root_fp"), F.col("root.__id").alias("root_id")), "hot-shards")
         if hot.isEmpty():
-            found.append(_searched(shards, radius))
+            found.append(_searched(shards, radius, similarity))
             break
-        found.append(_searched(shards.join(hot, "__key", "left_anti"), radius))
+        found.append(_searched(shards.join(hot, "__key", "left_anti"), radius, similarity))
         rows = shards.join(hot, "__key")
         if round_ == LEADER_ROUNDS:
-            pairs = _dealt(rows, blocks("n"), blocks("n"))
-            found.append(_searched(pairs.select(F.xxhash64("__key", F.least("own", "other"), F.greatest("own", "other")).alias("__key"), "__fp", "__id"), radius))
+            pairs = _dealt(rows, blocks("n"), blocks("n"), held)
+            found.append(_searched(pairs.withColumn("__key", F.xxhash64("__key", F.least("own", "other"), F.greatest("own", "other"))), radius, similarity))
             break
-        rows = staged(rows.select("__key", "__fp", "__id", "root_id", _distance("__fp", "root_fp", lanes).alias("edge")), "edges")
-        inside, fringe = F.col("edge") <= radius, (F.col("edge") > radius) & (F.col("edge") <= 2 * radius)
+        if similarity is None:
+            reach, edge = radius, _distance("__fp", "root_fp", lanes)
+            inside = edge <= radius
+        else:
+            roots = shards.select("__key", F.col("__id").alias("root_id"), F.col("__set").alias("root_set")).join(F.broadcast(hot.select("__key", "root_id")), ["__key", "root_id"]).dropDuplicates(["__key"])
+            rows = rows.join(staged(roots.select("__key", "root_set"), "roots"), "__key")
+            # The sum of two distances may be rounded: a little more is searched, and judged exactly there.
+            reach, edge = 1 - similarity + 1e-9, 1 - _jaccard("__set", "root_set")
+            inside = _jaccard("__set", "root_set") >= similarity
+        rows = staged(rows.select(*held, "root_id", edge.alias("edge"), inside.alias("inside")), "edges")
+        inside = F.col("inside")
+        fringe = ~inside & (F.col("edge") <= 2 * reach)
         found.append(rows.where(inside & ~F.col("__id").eqNullSafe(F.col("root_id"))).select(F.col("__id").alias("a"), F.col("root_id").alias("b")))
         nearest = rows.where(fringe).groupBy("__key").agg(F.count(F.lit(1)).alias("n_fringe"), F.min("edge").alias("least"))
-        reach = rows.where(inside).join(nearest, "__key").where(F.col("edge") >= F.col("least") - radius)
-        counts = staged(reach.groupBy("__key", "n_fringe", "least").agg(F.count(F.lit(1)).alias("n_inside")), "fringes")
-        shard = lambda i, j: F.xxhash64("__key", F.col(i), F.col(j)).alias("__key")
-        one = _dealt(rows.where(inside).join(counts, "__key").where(F.col("edge") >= F.col("least") - radius), blocks("n_inside"), blocks("n_fringe")).select(shard("own", "other"), "__fp", "__id")
-        two = _dealt(rows.where(fringe).join(counts, "__key"), blocks("n_fringe"), blocks("n_inside")).select(shard("other", "own"), "__fp", "__id")
-        found.append(_searched(one.unionByName(two), radius))
-        shards = rows.where(F.col("edge") > radius).select("__key", "__fp", "__id")
+        close = rows.where(inside).join(nearest, "__key").where(F.col("edge") >= F.col("least") - reach)
+        counts = staged(close.groupBy("__key", "n_fringe", "least").agg(F.count(F.lit(1)).alias("n_inside")), "fringes")
+        shard = lambda i, j: F.xxhash64("__key", F.col(i), F.col(j))
+        one = _dealt(rows.where(inside).join(counts, "__key").where(F.col("edge") >= F.col("least") - reach), blocks("n_inside"), blocks("n_fringe"), held).withColumn("__key", shard("own", "other"))
+        two = _dealt(rows.where(fringe).join(counts, "__key"), blocks("n_fringe"), blocks("n_inside"), held).withColumn("__key", shard("other", "own"))
+        found.append(_searched(one.select(*held).unionByName(two.select(*held)), radius, similarity))
+        shards = rows.where(~inside).select(*held)
     return reduce(DataFrame.unionByName, found)
 
 
@@ -298,24 +382,35 @@ def fingerprint_components(docs: DataFrame, radius: int = 4, id_col: str = "doc_
 
 
 def similarity_radius(similarity: float, bits: int) -> int:
-    """The expected distance of two fingerprints whose sets have this Jaccard similarity, and one deviation."""
+    """The expected distance of two fingerprints whose sets have this Jaccard similarity, and DEVIATIONS deviations."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(np.floor(bits * p + (bits * p * (1 - p)) ** 0.5))
+    return int(np.floor(bits * p + DEVIATIONS * (bits * p * (1 - p)) ** 0.5))
+
+
+def _shared(shards: DataFrame) -> DataFrame:
+    """Without the shards of one row."""
+    return shards.join(shards.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key"), "__key")
 
 
 def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Near-duplicate groups of whole documents: ``id_col, group_id, group_size`` for rows that have a partner.
 
-    Documents are linked when their fingerprints of 64 * ``lanes`` bits over ``words``-word shingles lie within
-    the distance expected at ``similarity``, in shards of documents that share two smallest shingle hashes. Rows without
-    words or without an id form no groups. ``group_id`` is the smallest id of the group. Ids must be distinct.
+    Documents are linked when their sets of ``words``-word shingles have a Jaccard similarity of ``similarity`` or more.
+    Candidates are documents that share two smallest shingle hashes and whose fingerprints of 64 * ``lanes`` bits lie
+    within a radius that practically no such pair exceeds; every link is compared shingle by shingle (64-bit hashes of them).
+    Rows without words or without an id form no groups. ``group_id`` is the smallest id of the group. Ids must be distinct.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where(F.col("__id").isNotNull())
     kind = rows.schema["__id"].dataType.simpleString()
+    radius = similarity_radius(similarity, 64 * lanes)
     marked = staged(rows.mapInArrow(_wide(words, lanes), f"__id {kind}, __fp binary, __keys array<long>").where("size(__keys) > 1"), "wide")
     exploded = marked.select(F.explode("__keys").alias("__key"), "__fp", "__id")
-    shared = exploded.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key")
-    links = staged(_links(exploded.join(shared, "__key"), similarity_radius(similarity, 64 * lanes), lanes), "near")
+    near = staged(_links(_shared(exploded), radius, lanes), "near")
+    # Only documents with a candidate take their shingles along.
+    ids = staged(near.select(F.explode(F.array("a", "b")).alias("__id")).distinct(), "candidates")
+    sets = staged(rows.join(ids, "__id").mapInArrow(_shingle_sets(words), f"__id {kind}, __set array<long>"), "shingles")
+    shards = _shared(staged(exploded.join(ids, "__id"), "candidate-shards"))
+    links = staged(_links(shards.join(sets, "__id"), radius, lanes, similarity), "similar")
     components = connected_components(links, staged)
     size = components.groupBy("component").agg(F.count(F.lit(1)).alias("group_size"))
     return components.join(size, "component").select(F.col("node").alias(id_col), F.col("component").alias("group_id"), "group_size")
