@@ -2,6 +2,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 from tests.llm.helpers import documents, frame
 from touchline.llm import toxicity
@@ -55,3 +57,38 @@ def test_passages(spark):
     found = toxicity.toxic_passages(docs, model).collect()
     assert {r.doc_id for r in found} == {i for i in range(200) if i % 4 == 0}
     assert all(60 <= r.first_word <= 62 and r.first_word + r.n_words <= 64 for r in found)
+
+
+def test_units_that_share_twenty_bits_are_counted_apart(spark):
+    """A toxic word and a word of every clean document whose hashes agree on their last 20 bits."""
+    toxic, clean = "qal8", "the"
+    assert (xxhash.xxh64_intdigest(toxic.encode()) ^ xxhash.xxh64_intdigest(clean.encode())) % (1 << 20) == 0
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(rnd.choices(words, k=40) + [toxic if i % 4 == 0 else clean] * 3 + rnd.choices(words, k=40))) for i in range(200)]
+    docs = frame(spark, rows)
+    model = toxicity.fit(docs, docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic")), hold_out=False)
+    scores = toxicity.WordScores(model.scores)
+    assert scores[toxic.encode()] > 0 > scores[clean.encode()]
+    assert {r.doc_id for r in toxicity.toxic_passages(docs, model).collect()} == {i for i in range(200) if i % 4 == 0}
+
+
+def test_counts_by_unit_are_whole(spark, monkeypatch):
+    """However often a task hands on its counts, they sum to those of a plain count."""
+    rows = [("One word, one wordy WORD", 1), ("words of mine", 0), ("one", None), ("", 1), (None, None), ("\u00dcmlaut word", 0)]
+    want = {}
+    for text, label in rows:
+        for u in {u for w in (text or "").encode().split() for u in toxicity.unit_hashes(w)}:
+            n = want.setdefault(u, [0, 0, 0])
+            n[0] += 1
+            n[1] += label == 1
+            n[2] += label == 0
+    for most in (1, 1 << 20):
+        monkeypatch.setattr(toxicity, "HELD_UNITS", most)
+        got = {}
+        for b in toxicity._document_counts([pa.RecordBatch.from_pydict({"__text": [t for t, _ in rows], "label": pa.array([x for _, x in rows], pa.int32())})]):
+            for r in b.to_pylist():
+                n = got.setdefault(r["unit"] % (1 << 64), [0, 0, 0])
+                for i, c in enumerate(("docs", "toxic", "clean")):
+                    n[i] += r[c]
+        assert got == want

@@ -8,7 +8,8 @@ segments follow an extreme-value law with E = K m exp(-lambda S) for a text of m
 lambda is the root of the background's moment equation, K is fitted on clean documents. A document's evidence is the
 sum of -ln E over its segments with E below 1; a logistic curve turns it into a score.
 
-Tokens are hashed to a fixed number of buckets, so what is gathered and sent to the executors has a fixed bound.
+Units are counted by their full 64-bit hashes, as many as the corpus has, in a Spark aggregate. The driver and the executors
+get only those of labelled documents that stand out, whose number MAX_LABELLED bounds.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from touchline.llm.common import CACHED_WORDS, staged
 from touchline.llm.tokens import clean_texts
 
-BUCKETS = 1 << 20
+#: Units a counting task holds before it hands on their counts.
+HELD_UNITS = 1 << 20
 #: Labelled documents used for fitting at most: those with the smallest hashes of their ids.
 MAX_LABELLED = 40_000
 #: Weight of the prior as a share of the labelled documents, the deviations a token must stand out by, the score of other tokens.
@@ -43,8 +45,8 @@ LEAST_P = 0.01
 _AROUND = bytes(c for c in range(128) if not chr(c).isalnum())
 
 
-def unit_buckets(word: bytes) -> list[int]:
-    """Buckets of a word's units.
+def unit_hashes(word: bytes) -> list[int]:
+    """64-bit hashes of a word's units.
 
     Units are the word's letters and digits in lower case, without punctuation around it, and its beginnings: a word that
     was never labelled is known by the family it belongs to.
@@ -52,8 +54,8 @@ def unit_buckets(word: bytes) -> list[int]:
     digest = xxhash.xxh64_intdigest
     if word.isascii():
         core = word.lower().strip(_AROUND)
-        units = [digest(b"^" + core[:n]) % BUCKETS for n in PREFIXES if n < len(core)]
-        return [digest(core) % BUCKETS, *units] if core else units
+        units = [digest(b"^" + core[:n]) for n in PREFIXES if n < len(core)]
+        return [digest(core), *units] if core else units
     text = word.decode("utf-8", "replace").lower()
     a, b = 0, len(text)
     while a < b and not text[a].isalnum():
@@ -61,20 +63,20 @@ def unit_buckets(word: bytes) -> list[int]:
     while b > a and not text[b - 1].isalnum():
         b -= 1
     text = text[a:b]
-    return [digest(u.encode()) % BUCKETS for u in ([text] if text else []) + [f"^{text[:n]}" for n in PREFIXES if n < len(text)]]
+    return [digest(u.encode()) for u in ([text] if text else []) + [f"^{text[:n]}" for n in PREFIXES if n < len(text)]]
 
 
-class TokenBuckets(dict):
-    """Buckets of a word's units, as bytes of 32-bit integers."""
+class UnitHashes(dict):
+    """Hashes of a word's units, as bytes of 64-bit integers."""
 
     def __missing__(self, word: bytes) -> bytes:
-        value = array("i", unit_buckets(word)).tobytes()
+        value = array("Q", unit_hashes(word)).tobytes()
         if len(self) < CACHED_WORDS and len(word) <= 64:
             self[word] = value
         return value
 
 
-_units = TokenBuckets()
+_units = UnitHashes()
 
 
 class WordScores(dict):
@@ -85,7 +87,7 @@ class WordScores(dict):
         self.scores = scores
 
     def __missing__(self, word: bytes) -> float:
-        known = [self.scores[u] for u in unit_buckets(word) if u in self.scores]
+        known = [self.scores[u] for u in unit_hashes(word) if u in self.scores]
         value = max(known, key=lambda x: abs(x[1]))[0] if known else DRIFT
         if len(self) < CACHED_WORDS and len(word) <= 64:
             self[word] = value
@@ -96,25 +98,37 @@ class WordScores(dict):
         return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
 
 
+def _unit_counts(held: dict[int | None, list[np.ndarray]]) -> pa.RecordBatch:
+    units, docs = np.unique(np.concatenate([x for own in held.values() for x in own]), return_counts=True)
+    counts = []
+    for label in (1, 0):
+        counts.append(np.zeros(len(units), np.int64))
+        if held[label]:
+            own, n = np.unique(np.concatenate(held[label]), return_counts=True)
+            counts[-1][np.searchsorted(units, own)] = n
+    return pa.RecordBatch.from_arrays([pa.array(units.view(np.int64)), pa.array(docs), *map(pa.array, counts)], names=["unit", "docs", "toxic", "clean"])
+
+
 def _document_counts(batches):
-    """(text, label) to (bucket, documents, toxic, clean): one row a bucket and task; label is null for unlabelled rows."""
-    total = np.zeros((3, BUCKETS), np.int64)
+    """(text, label) to (unit, documents, toxic, clean): partial counts; label is null for unlabelled rows."""
+    held: dict[int | None, list[np.ndarray]] = {None: [], 0: [], 1: []}
+    size = 0
     for batch in batches:
         labels = batch.column("label").to_pylist()
         for text, label in zip(clean_texts(batch.column("__text")).cast(pa.binary()), labels, strict=True):
-            own = np.unique(np.frombuffer(b"".join(map(_units.__getitem__, set(text.as_py().split()))), np.int32))
-            total[0, own] += 1
-            if label is not None:
-                total[1 if label else 2, own] += 1
-    at = np.flatnonzero(total[0])
-    for i in range(0, len(at), 100_000):
-        part = at[i : i + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), *(pa.array(t[part]) for t in total)], names=["bucket", "docs", "toxic", "clean"])
+            own = np.unique(np.frombuffer(b"".join(map(_units.__getitem__, set(text.as_py().split()))), np.uint64))
+            held[None if label is None else int(label != 0)].append(own)
+            size += len(own)
+            if size >= HELD_UNITS:
+                yield _unit_counts(held)
+                held, size = {None: [], 0: [], 1: []}, 0
+    if size:
+        yield _unit_counts(held)
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    scores: dict[int, tuple[float, float]]  # bucket: log-odds, deviations
+    scores: dict[int, tuple[float, float]]  # unit: log-odds, deviations
     lam: float
     k: float
     intercept: float
@@ -188,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = rows.join(F.broadcast(known), "__id")  # MAX_LABELLED rows at most
     once = staged(texts.groupBy(F.xxhash64("__text").alias("__th")).agg(F.min("__id").alias("__id")).select("__id").distinct().join(F.broadcast(known), "__id"), "fitted")
     marked = rows.join(F.broadcast(once), "__id", "left").select("__text", "label")
-    counts = staged(marked.mapInArrow(_document_counts, "bucket long, docs long, toxic long, clean long").groupBy("bucket").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "counts")
+    counts = staged(marked.mapInArrow(_document_counts, "unit long, docs long, toxic long, clean long").groupBy("unit").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "counts")
     n = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("docs", "toxic", "clean"))).first()
     if not n.toxic or not n.clean:
         return ToxicityModel({}, 1.0, 1.0, -20.0, 1.0)
@@ -197,9 +211,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     odds = lambda y, total: F.log((F.col(y) + a) / (total + weight - F.col(y) - a))
     delta = odds("toxic", n.toxic) - odds("clean", n.clean)
     z = delta / F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
-    # BUCKETS rows at most
-    kept = counts.where("toxic + clean > 0").select("bucket", delta.alias("delta"), z.alias("z")).where(F.abs("z") >= LEAST_Z).toPandas()
-    scores = {int(b): (float(d), float(x)) for b, d, x in zip(kept["bucket"], kept["delta"], kept["z"], strict=True)}
+    # Units of MAX_LABELLED documents at most
+    kept = counts.where("toxic + clean > 0").select("unit", delta.alias("delta"), z.alias("z")).where(F.abs("z") >= LEAST_Z).toPandas()
+    scores = {int(u) % (1 << 64): (float(d), float(x)) for u, d, x in zip(kept["unit"], kept["delta"], kept["z"], strict=True)}
     table = spark.sparkContext.broadcast(WordScores(scores))
 
     def profile(batches):
