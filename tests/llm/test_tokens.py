@@ -113,3 +113,14 @@ def test_the_program_beats_best_fit_where_that_is_greedy():
     counts = {60: 10, 50: 20, 40: 10, 30: 20, 20: 30}
     assert sum(n for _, n in packing.plan(counts, 100)) <= packing.best_fit(counts, 100).total()
     assert packing.plan({}, 100) == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_added_tokens_in_another_case_are_ordinary_text(seed):
+    rnd = random.Random(seed)
+    odd = [*ODD, "<|EndOfText|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|startoftext|>", "Word", "word.", "X,"]
+    texts = ["<|EndOfText|>", "ab<|ENDOFTEXT|>Cd.", "<|EndOfText|><|endoftext|>", "Ab<|endoftext|>CD."] + ["".join(rnd.choice(odd) for _ in range(rnd.randint(0, 10))) for _ in range(400)]
+    word = tokens.tokenizer(WORD)
+    ids, starts = tokens.encode_slice(word, pa.array(texts))
+    for i, t in enumerate(texts):
+        assert ids[starts[i] : starts[i + 1]].tolist() == word.inner.encode(t, add_special_tokens=False).ids, t

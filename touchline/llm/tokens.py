@@ -5,7 +5,8 @@ space and numbers its distinct words; only words that a worker has not met yet g
 call. That is exact where no token and no rule of the tokenizer reaches over the boundary used:
 
 * ``.json`` word tokenizers whose pre-tokenizer drops white space: every ASCII white-space character is a
-  boundary. A word is further cut before one trailing full stop or comma that follows a letter.
+  boundary. A word is further cut before one trailing full stop or comma that follows a letter. ASCII words are
+  lower-cased first if the normalizer does so, but not those that this would turn into an added token: added tokens are found before.
 * ``.model`` sentencepiece models with escaped white space, a dummy prefix, no normalisation and no piece with
   the space sign after another character: each space that follows a character other than a space or the space
   sign itself is a boundary, and the dummy prefix of the next part stands for it.
@@ -48,6 +49,9 @@ class WordTokenizer:
             spec = json.load(f)
         self.ends = self._word_end_ids(spec)
         self.by_word = self.ends is not None
+        rules = spec.get("normalizer") or {}
+        self.lowers = any(r.get("type") == "Lowercase" for r in rules.get("normalizers") or [rules])
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.cache: dict[str, bytes] = {}
         self.stop = {c: self._one(c) for c in ".,"} if self.by_word else {}
 
@@ -91,7 +95,10 @@ class WordTokenizer:
 
     def _core(self, word: str) -> tuple[str, bytes]:
         if word.isascii():
-            word = word.lower()
+            low = word.lower() if self.lowers else word
+            if low != word and any(t in low for t in self.added):
+                return word, b""
+            word = low
             if len(word) > 1 and word[-1] in self.stop and word[-2].isalpha():
                 return word[:-1], self.stop[word[-1]]
         return word, b""
