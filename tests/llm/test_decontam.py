@@ -68,3 +68,13 @@ def test_no_python_in_the_plan(spark, sf):
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
     plan = decontam.contamination(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_items_that_share_an_id_but_not_the_text(spark):
+    texts = ["alpha beta gamma delta", "one two three four five six", "single", "beta alpha"]
+    rows = [(i, f"filler {t} filler") for i, t in enumerate(texts)] + [(9, "alpha two gamma")]
+    items = [(7, t) for t in texts]
+    for k in (3, 10):
+        got = sorted(map(tuple, decontam.contamination(frame(spark, rows), bench(spark, items), k).drop("items").collect()), key=str)
+        assert got == brute(rows, items, k)
+        assert [r[-1] for r in got] == [True] * 4 + [False]

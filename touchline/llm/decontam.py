@@ -15,6 +15,8 @@ from touchline.llm.common import ascii_lower, staged
 
 #: Rows of benchmark tables up to which they are broadcast; larger ones are joined by shuffles.
 BROADCAST_ROWS = 200_000
+#: What tells windows apart: items that share an id but not the text have several with the same position.
+WINDOW = ["item", "i", "h"]
 
 
 def word_list(text: Column) -> Column:
@@ -28,11 +30,15 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """``item, i, w, words``: each item's windows of ``window`` words; an item of fewer words is one window."""
+    """``item, i, h, w, words``: each item's windows of ``window`` words; an item of fewer words is one window.
+
+    ``h`` is a hash of the words.
+    """
     words = items.select(F.col(id_col).cast("string").alias("item"), word_list(F.col(text_col)).alias("all")).where("item is not null and size(all) > 0")
     w = F.least(F.size("all"), F.lit(window))
     starts = F.explode(F.sequence(F.lit(0), F.size("all") - w))
-    return words.select("item", "all", w.alias("w"), starts.alias("i")).select("item", "i", "w", F.slice("all", F.col("i") + 1, F.col("w")).alias("words")).distinct()
+    windows = words.select("item", "all", w.alias("w"), starts.alias("i")).select("item", "i", "w", F.slice("all", F.col("i") + 1, F.col("w")).alias("words"))
+    return windows.select("item", "i", F.xxhash64("words").alias("h"), "w", "words").distinct()
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -53,30 +59,30 @@ def postings(rows: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def phrase_candidates(rows: DataFrame, windows: DataFrame) -> DataFrame:
-    """``__id, __th, item, i, start``: where the two rarest terms of a window stand as in the window."""
-    parts = windows.select("item", "i", F.posexplode("words").alias("offset", "term"))
+    """``__id, __th, item, i, h, start``: where the two rarest terms of a window stand as in the window."""
+    parts = windows.select(*WINDOW, F.posexplode("words").alias("offset", "term"))
     counts = staged(term_counts(rows, staged(parts.select("term").distinct(), "terms")), "term-counts")
-    rank = F.row_number().over(Window.partitionBy("item", "i").orderBy("n", "term", "offset"))
-    rarest = staged(parts.join(counts, "term").select("item", "i", "offset", "term", "n", rank.alias("rank")).where("rank <= 2 and n > 0"), "rarest")
+    rank = F.row_number().over(Window.partitionBy(*WINDOW).orderBy("n", "term", "offset"))
+    rarest = staged(parts.join(counts, "term").select(*WINDOW, "offset", "term", "n", rank.alias("rank")).where("rank <= 2 and n > 0"), "rarest")
     index = postings(rows, staged(rarest.select("term").distinct(), "rare-terms"))
 
     def adjusted(k: int) -> DataFrame:
-        own = staged(rarest.where(F.col("rank") == k).select("term", "item", "i", "offset"), "lists")
-        return index.join(_small(own), "term").select("__id", "__th", "item", "i", (F.col("pos") - F.col("offset")).alias("start")).where("start >= 0")
+        own = staged(rarest.where(F.col("rank") == k).select("term", *WINDOW, "offset"), "lists")
+        return index.join(_small(own), "term").select("__id", "__th", *WINDOW, (F.col("pos") - F.col("offset")).alias("start")).where("start >= 0")
 
-    single = staged(windows.where("w = 1").select("item", "i"), "single")
+    single = staged(windows.where("w = 1").select(*WINDOW), "single")
     first = adjusted(1)
-    second = adjusted(2).select(F.col("__id").alias("__id2"), F.col("__th").alias("__th2"), F.col("item").alias("item2"), F.col("i").alias("i2"), F.col("start").alias("start2")).distinct()
-    same = F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__th") == F.col("__th2")) & (F.col("item") == F.col("item2")) & (F.col("i") == F.col("i2")) & (F.col("start") == F.col("start2"))
+    second = adjusted(2).select(F.col("__id").alias("__id2"), F.col("__th").alias("__th2"), F.col("item").alias("item2"), F.col("i").alias("i2"), F.col("h").alias("h2"), F.col("start").alias("start2")).distinct()
+    same = F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__th") == F.col("__th2")) & (F.col("item") == F.col("item2")) & (F.col("i") == F.col("i2")) & (F.col("h") == F.col("h2")) & (F.col("start") == F.col("start2"))
     both = first.distinct().join(second, same).select(*first.columns)
-    return both.unionByName(first.join(_small(single), ["item", "i"]).select(*first.columns).distinct())
+    return both.unionByName(first.join(_small(single), WINDOW).select(*first.columns).distinct())
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
     """``__id, __th, n_words, n_hit, items`` per row."""
     rows = _rows(docs, id_col, text_col)
     windows = staged(item_windows(benchmark, window, item_col, item_text), "windows")
-    found = phrase_candidates(rows, windows).join(_small(windows), ["item", "i"])
+    found = phrase_candidates(rows, windows).join(_small(windows), WINDOW)
     found = found.groupBy("__id", "__th").agg(F.collect_list(F.struct("item", "start", "w", "words")).alias("found"))
     found = found.select(F.col("__id").alias("__fid"), F.col("__th").alias("__fth"), "found")
     joined = rows.join(found, F.col("__id").eqNullSafe(F.col("__fid")) & (F.col("__th") == F.col("__fth")), "left")
@@ -92,7 +98,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     """Per row: ``id_col, n_words, n_hit, n_items, items_sha256, contaminated, items``.
 
     A word is hit if it lies in an occurrence of a benchmark window; ``items`` are the ids of items with such a window,
-    as strings in order. Null and empty texts have no words and items without words no windows; items without an id are left
+    as strings in order. Items that share an id are searched with the text of each. Null and empty texts have no words and items without words no windows; items without an id are left
     out. Rows that share an id are judged on their own text. An empty benchmark hits nothing.
     """
     own = _judged(docs, benchmark, window, id_col, text_col, item_col, item_text)
