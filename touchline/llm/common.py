@@ -1,12 +1,15 @@
-"""Shared pieces: the shared work folder, staged tables, and word hashing inside tasks."""
+"""Shared pieces: the shared work folder, staged tables, and words and their hashes inside tasks."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,10 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Spark's switch for removing an execution's shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 @lru_cache(maxsize=1)
 def _local_work() -> str:
     return tempfile.mkdtemp(prefix="touchline-")
@@ -37,34 +44,95 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")  # once the table is written, nothing reads the shuffle files behind it
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what came of them has been written."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a staged table up to which it is broadcast; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    """With a broadcast hint if it is small enough. ``table`` is a staged table: counting reads its footers only."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def keyed_rows(docs: DataFrame, id_col: str, text_col: str, whole: bool = False) -> DataFrame:
+    """``__id, __tie, __text`` of each row (null texts as empty), with ``whole`` also ``__row``, all its columns.
+
+    (id, tie) names a row: the tie is empty for ids that occur once, else the SHA-256 of the text, so that only rows
+    alike in both are one."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), *([F.struct("*").alias("__row")] if whole else []))
+    again = staged(rows.groupBy("__id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("__id").alias("__again"), F.lit(True).alias("__more")), "repeated-ids")
+    if again.isEmpty():
+        return rows.withColumn("__tie", F.lit(b""))
+    marked = rows.join(small(again), F.col("__id").eqNullSafe(F.col("__again")), "left")
+    return marked.withColumn("__tie", F.when(F.col("__more"), F.unhex(F.sha2("__text", 256))).otherwise(F.lit(b""))).drop("__again", "__more")
 
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-#: Words that each of a worker's memories keeps; with all of them full, a worker stays below 400 MB.
-CACHED_WORDS = 200_000
+#: Bytes of text worked on at a time inside a task: what a task holds for its words follows from this, not from the corpus.
+SLICE_BYTES = 4 << 20
+
+
+def clean_texts(column: pa.Array) -> pa.Array:
+    return column.cast(pa.string()).fill_null("")
+
+
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``most`` bytes; a longer text has a range of its own."""
+    ends = np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0)), dtype=np.int64)
+    i = 0
+    while i < len(texts):
+        before = ends[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield i, j
+        i = j
 
 
-class WordHashes(dict):
-    """XXH64 of a word's bytes, remembered for the first ``limit`` distinct words a worker meets."""
+def slice_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, number of each word in order, where each text's words start, with the end).
 
-    def __init__(self, limit: int = CACHED_WORDS, seed: int = 0):
-        super().__init__()
-        self.limit, self.seed = limit, seed
+    Words are runs of characters other than ASCII white space."""
+    parts = pc.ascii_split_whitespace(texts)
+    coded = parts.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    starts = parts.offsets.to_numpy().astype(np.int64)
+    starts = starts - starts[0] if len(starts) else np.zeros(1, np.int64)
+    if b"" in words:  # beside white space at an end
+        there = codes != words.index(b"")
+        starts = np.concatenate([[0], np.cumsum(there)])[starts]
+        codes = codes[there]
+    return words, codes, starts
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word, self.seed)
-        if len(self) < self.limit and len(word) <= 64:
-            self[word] = value
-        return value
 
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def slice_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of all words of the texts in order (in lower case (A-Z) if asked for), and where each text's start."""
+    words, codes, starts = slice_words(texts)
+    digest = xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(w.lower() if lower else w) for w in words), np.uint64, len(words))
+    return hashes[codes] if len(words) else hashes, starts
 
 
 def mixed(h: np.ndarray, by: int) -> np.ndarray:

@@ -9,14 +9,16 @@ lambda is the root of the background's moment equation, K is fitted on clean doc
 sum of -ln E over its segments with E below 1; a logistic curve turns it into a score.
 
 Units are counted by their full 64-bit hashes, as many as the corpus has, in a Spark aggregate. The driver and the executors
-get only those of labelled documents that stand out, whose number MAX_LABELLED bounds.
+get only those of labelled documents that stand out, whose number MAX_LABELLED bounds. Labelled texts are dealt to FOLDS by their
+hashes; lambda, K and the curve are fitted on each fold with the scores learnt from the others.
 """
 
 from __future__ import annotations
 
 import math
-from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +26,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import CACHED_WORDS, staged
-from touchline.llm.tokens import clean_texts
+from touchline.llm.common import clean_texts, dropped, slice_words, slices, staged, word_lengths_to_starts
 
 #: Units a counting task holds before it hands on their counts.
-HELD_UNITS = 1 << 20
+HELD_UNITS = 1 << 19
 #: Labelled documents used for fitting at most: those with the smallest hashes of their ids.
 MAX_LABELLED = 40_000
+#: Parts of the labelled documents, each scored with what the others teach.
+FOLDS = 4
 #: Weight of the prior as a share of the labelled documents, the deviations a token must stand out by, the score of other tokens.
 PRIOR_SHARE, LEAST_Z, DRIFT = 0.1, 3.5, -0.15
 #: Lengths of the word beginnings that count as units.
@@ -66,69 +69,89 @@ def unit_hashes(word: bytes) -> list[int]:
     return [digest(u.encode()) for u in ([text] if text else []) + [f"^{text[:n]}" for n in PREFIXES if n < len(text)]]
 
 
-class UnitHashes(dict):
-    """Hashes of a word's units, as bytes of 64-bit integers."""
+def all_units(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The units of all words, one after the other, and where each word's start, with the end."""
+    own = [unit_hashes(w) for w in words]
+    starts = word_lengths_to_starts(np.fromiter(map(len, own), np.int64, len(own)))
+    return np.fromiter(chain.from_iterable(own), np.uint64, int(starts[-1])), starts
 
-    def __missing__(self, word: bytes) -> bytes:
-        value = array("Q", unit_hashes(word)).tobytes()
-        if len(self) < CACHED_WORDS and len(word) <= 64:
-            self[word] = value
-        return value
 
-
-_units = UnitHashes()
-
-
-class WordScores(dict):
-    """Score of a word: the log-odds of its unit that stands out most; DRIFT if none does."""
-
-    def __init__(self, scores: dict[int, tuple[float, float]]):
-        super().__init__()
-        self.scores = scores
-
-    def __missing__(self, word: bytes) -> float:
-        known = [self.scores[u] for u in unit_hashes(word) if u in self.scores]
-        value = max(known, key=lambda x: abs(x[1]))[0] if known else DRIFT
-        if len(self) < CACHED_WORDS and len(word) <= 64:
-            self[word] = value
-        return value
-
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
+@dataclass(frozen=True)
+class UnitScores:
+    """Units in ascending order, their log-odds and the deviations they stand out by."""
+
+    units: np.ndarray
+    odds: np.ndarray
+    z: np.ndarray
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """Score of each word: the log-odds of its unit that stands out most, the first of equal ones; DRIFT if none does."""
+        if not len(self.units) or not words:
+            return np.full(len(words), DRIFT)
+        flat, starts = all_units(words)
+        at = np.minimum(np.searchsorted(self.units, flat), len(self.units) - 1)
+        known = self.units[at] == flat
+        row = np.repeat(np.arange(len(words)), np.diff(starts))
+        z, odds = np.zeros((2, len(words), 1 + len(PREFIXES)))
+        column = np.arange(len(flat)) - starts[row]
+        z[row, column], odds[row, column] = np.where(known, np.abs(self.z[at]), 0), self.odds[at]
+        best = z.argmax(axis=1)
+        there = np.arange(len(words))
+        return np.where(z[there, best] > 0, odds[there, best], DRIFT)
+
+
+def _scored_texts(texts: pa.Array, scores: list[UnitScores], fold: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, scores of its words) for each text, with the scores that belong to its fold."""
+    for i, j in slices(texts):
+        words, codes, starts = slice_words(texts.slice(i, j - i))
+        by_word = [s.of(words) for s in scores]
+        for k in range(j - i):
+            yield i + k, by_word[0 if fold is None else fold[i + k]][codes[starts[k] : starts[k + 1]]]
+
+
+def _slice_counts(texts: pa.Array, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, kind, documents): how many documents hold each unit; kind 0 counts all documents, others those of that kind."""
+    words, codes, starts = slice_words(texts)
+    flat, first = all_units(words)
+    units, local = np.unique(flat, return_inverse=True)
+    if not len(units):
+        return units, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    doc, word = np.divmod(np.unique(np.repeat(np.arange(len(texts)), np.diff(starts)) * len(words) + codes), len(words))
+    n = np.diff(first)[word]
+    at = np.arange(n.sum()) + np.repeat(first[word] - (np.cumsum(n) - n), n)
+    doc, unit = np.divmod(np.unique(np.repeat(doc, n) * len(units) + local[at]), len(units))
+    both, k = np.concatenate([unit, unit]), np.concatenate([np.zeros(len(unit), np.int64), kind[doc]])
+    again = np.concatenate([np.ones(len(unit), bool), kind[doc] > 0])
+    key, docs = np.unique(k[again] * len(units) + both[again], return_counts=True)
+    return units[key % len(units)], key // len(units), docs
 
 
-def _unit_counts(held: dict[int | None, list[np.ndarray]]) -> pa.RecordBatch:
-    units, docs = np.unique(np.concatenate([x for own in held.values() for x in own]), return_counts=True)
-    counts = []
-    for label in (1, 0):
-        counts.append(np.zeros(len(units), np.int64))
-        if held[label]:
-            own, n = np.unique(np.concatenate(held[label]), return_counts=True)
-            counts[-1][np.searchsorted(units, own)] = n
-    return pa.RecordBatch.from_arrays([pa.array(units.view(np.int64)), pa.array(docs), *map(pa.array, counts)], names=["unit", "docs", "toxic", "clean"])
+def _document_counts(batches):
+    """(text, kind) to (unit, kind, docs): partial counts; kind is 0 for rows without a label."""
+    held: list[tuple] = []
 
+    def merged() -> pa.RecordBatch:
+        unit, kind, docs = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((kind, unit))
+        unit, kind, docs = unit[order], kind[order], docs[order]
+        first = np.flatnonzero(np.concatenate([[True], (unit[1:] != unit[:-1]) | (kind[1:] != kind[:-1])])) if len(unit) else np.zeros(0, np.int64)
+        docs = np.add.reduceat(docs, first) if len(unit) else docs
+        return pa.RecordBatch.from_arrays([pa.array(unit[first].view(np.int64)), pa.array(kind[first].astype(np.int32)), pa.array(docs)], names=["unit", "kind", "docs"])
 
-def _document_counts(batches):
-    """(text, label) to (unit, documents, toxic, clean): partial counts; label is null for unlabelled rows."""
-    held: dict[int | None, list[np.ndarray]] = {None: [], 0: [], 1: []}
-    size = 0
     for batch in batches:
-        labels = batch.column("label").to_pylist()
-        for text, label in zip(clean_texts(batch.column("__text")).cast(pa.binary()), labels, strict=True):
-            own = np.unique(np.frombuffer(b"".join(map(_units.__getitem__, set(text.as_py().split()))), np.uint64))
-            held[None if label is None else int(label != 0)].append(own)
-            size += len(own)
-            if size >= HELD_UNITS:
-                yield _unit_counts(held)
-                held, size = {None: [], 0: [], 1: []}, 0
-    if size:
-        yield _unit_counts(held)
+        texts, kind = clean_texts(batch.column("__text")), batch.column("kind").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for i, j in slices(texts):
+            held.append(_slice_counts(texts.slice(i, j - i), kind[i:j]))
+            if sum(len(x[0]) for x in held) >= HELD_UNITS:
+                yield merged()
+                held.clear()
+    if held:
+        yield merged()
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    scores: dict[int, tuple[float, float]]  # unit: log-odds, deviations
+    scores: UnitScores
     lam: float
     k: float
     intercept: float
@@ -136,7 +159,9 @@ class ToxicityModel:
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, end, score), left to right, in linear time."""
+    """All maximal scoring segments (first, end, score), left to right, in linear time.
+
+    Of equal segments all are found; one that a stretch with the sum zero could lengthen keeps its shorter form."""
     total = np.concatenate([[0.0], np.cumsum(scores, dtype=np.float64)])
     stack: list[list] = []  # first, end, sum before, sum at the end, nearest earlier entry with a smaller sum before
     for i in np.flatnonzero(scores > 0).tolist():
@@ -154,9 +179,8 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, after - before) for a, b, before, after, _ in stack]
 
 
-def evidence(text: bytes, scores: WordScores, lam: float, k: float) -> tuple[float, list[tuple[int, int, float, float]]]:
-    """Summed -ln E of the segments with E below 1, and the significant ones (first word, words, score, chance)."""
-    own = scores.of(text)
+def evidence(own: np.ndarray, lam: float, k: float) -> tuple[float, list[tuple[int, int, float, float]]]:
+    """Of a text's word scores: summed -ln E of the segments with E below 1, and the significant ones (first word, words, score, chance)."""
     if not (own > 0).any():
         return 0.0, []
     out, total = [], 0.0
@@ -189,6 +213,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", hold_out: bool = True) -> ToxicityModel:
     """Fit on at most MAX_LABELLED labelled documents; the prior counts every document of ``docs``.
 
+    Rows that share an id share its label; a label other than 0 is toxic.
     Ids without a label, null labels and ids labelled both ways are left out; with ``hold_out``, so are ids whose crc32 is
     divisible by 5. Copies of a labelled text count once. Without any labelled document, nothing is toxic.
     """
@@ -200,28 +225,47 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = staged(known.orderBy(F.xxhash64("__id"), "__id").limit(MAX_LABELLED), "labelled")
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     texts = rows.join(F.broadcast(known), "__id")  # MAX_LABELLED rows at most
-    once = staged(texts.groupBy(F.xxhash64("__text").alias("__th")).agg(F.min("__id").alias("__id")).select("__id").distinct().join(F.broadcast(known), "__id"), "fitted")
-    marked = rows.join(F.broadcast(once), "__id", "left").select("__text", "label")
-    counts = staged(marked.mapInArrow(_document_counts, "unit long, docs long, toxic long, clean long").groupBy("unit").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "counts")
-    n = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("docs", "toxic", "clean"))).first()
-    if not n.toxic or not n.clean:
-        return ToxicityModel({}, 1.0, 1.0, -20.0, 1.0)
-    weight = PRIOR_SHARE * (n.toxic + n.clean)
-    a = F.col("docs") * (weight / n.docs)
-    odds = lambda y, total: F.log((F.col(y) + a) / (total + weight - F.col(y) - a))
-    delta = odds("toxic", n.toxic) - odds("clean", n.clean)
-    z = delta / F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
+    # Of equal texts the smallest id counts, in the fold of their hash.
+    once = texts.groupBy(F.xxhash64("__text").alias("__th")).agg(F.min("__id").alias("__id")).groupBy("__id").agg(F.min(F.pmod("__th", F.lit(FOLDS))).cast("int").alias("fold"))
+    once = staged(once.join(F.broadcast(known), "__id"), "fitted")
+    kind = 1 + 2 * F.col("fold") + F.col("label").cast("boolean").cast("int")
+    marked = rows.join(F.broadcast(once), "__id", "left").select("__text", kind.cast("int").alias("kind"))
+    of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("docs")))
+    counts = marked.mapInArrow(_document_counts, "unit long, kind int, docs long").groupBy("unit")
+    counts = staged(counts.agg(of(0).alias("docs"), *(of(1 + 2 * f + y).alias(f"y{y}_{f}") for f in range(FOLDS) for y in (0, 1))), "counts")
+    seen = lambda y, left_out: sum((F.coalesce(f"y{y}_{f}", F.lit(0)) for f in range(FOLDS) if f != left_out), F.lit(0))
+    models = [None, *range(FOLDS)]  # with all folds, and without each
+    totals = counts.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), *(F.coalesce(F.sum(seen(y, m)), F.lit(0)).alias(f"n{y}_{m}") for m in models for y in (0, 1))).first()
+    if not totals["n0_None"] or not totals["n1_None"]:
+        dropped(known, once, counts)
+        return ToxicityModel(UnitScores(*np.zeros((3, 0))), 1.0, 1.0, -20.0, 1.0)
+    columns = {}
+    for m in models:
+        n = [float(totals[f"n{y}_{m}"]) for y in (0, 1)]
+        weight = PRIOR_SHARE * sum(n)
+        a = F.col("docs") * (weight / totals["docs"])
+        odds = [F.log((seen(y, m) + a) / (n[y] + weight - seen(y, m) - a)) for y in (0, 1)]
+        columns[f"d_{m}"] = odds[1] - odds[0]
+        columns[f"z_{m}"] = columns[f"d_{m}"] / F.sqrt(1 / (seen(1, m) + a) + 1 / (seen(0, m) + a))
+    stands_out = F.greatest(*(F.coalesce(F.abs(F.nanvl(f"z_{m}", F.lit(0.0))), F.lit(0.0)) for m in models)) >= LEAST_Z
     # Units of MAX_LABELLED documents at most
-    kept = counts.where("toxic + clean > 0").select("unit", delta.alias("delta"), z.alias("z")).where(F.abs("z") >= LEAST_Z).toPandas()
-    scores = {int(u) % (1 << 64): (float(d), float(x)) for u, d, x in zip(kept["unit"], kept["delta"], kept["z"], strict=True)}
-    table = spark.sparkContext.broadcast(WordScores(scores))
+    kept = counts.where(seen(0, None) + seen(1, None) > 0).select("unit", *(c.alias(name) for name, c in columns.items())).where(stands_out).toPandas()
+    unit = kept["unit"].to_numpy(np.int64).view(np.uint64)
+
+    def scores_of(m) -> UnitScores:
+        d, z = kept[f"d_{m}"].to_numpy(float), kept[f"z_{m}"].to_numpy(float)
+        own = np.flatnonzero(np.nan_to_num(np.abs(z)) >= LEAST_Z)
+        own = own[np.argsort(unit[own])]
+        return UnitScores(unit[own], d[own], z[own])
+
+    scores = scores_of(None)
+    folds = spark.sparkContext.broadcast([scores_of(m) for m in range(FOLDS)])  # units of MAX_LABELLED documents at most
 
     def profile(batches):
         """Per clean fitted document: tokens, best segment; with a batch's first row, its tokens by class of score."""
         for batch in batches:
             tokens, best, classes = [], [], np.zeros(CLASSES, np.int64)
-            for text in clean_texts(batch.column("__text")).cast(pa.binary()):
-                own = table.value.of(text.as_py())
+            for _, own in _scored_texts(clean_texts(batch.column("__text")), folds.value, batch.column("fold").to_numpy()):
                 tokens.append(len(own))
                 best.append(max((s for _, _, s in maximal_segments(own)), default=0.0))
                 classes += np.bincount(np.minimum(own[own > 0] / CLASS_WIDTH, CLASSES - 1).astype(np.int64), minlength=CLASSES)
@@ -230,20 +274,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     fitted = rows.join(F.broadcast(once), "__id")
     # MAX_LABELLED rows at most
-    clean = fitted.select("__text", "label").where("label = 0").mapInArrow(profile, "tokens long, best double, classes array<long>").toPandas()
-    seen = np.sum([np.array(x) for x in clean["classes"] if x is not None] or [np.zeros(CLASSES)], axis=0)
-    lam = _root(seen, max(1.0, float(clean["tokens"].sum())), max((d for d, _ in scores.values()), default=1.0))
+    clean = fitted.where("label = 0").select("__text", "fold").mapInArrow(profile, "tokens long, best double, classes array<long>").toPandas()
+    seen_classes = np.sum([np.array(x) for x in clean["classes"] if x is not None] or [np.zeros(CLASSES)], axis=0)
+    lam = _root(seen_classes, max(1.0, float(clean["tokens"].sum())), float(max(scores.odds, default=1.0)))
     best, tokens = clean["best"].to_numpy(), clean["tokens"].to_numpy()
     # Maximum likelihood of K under P(S <= s) = exp(-K m exp(-lambda s)).
     k = (len(best) + 1) / (float((tokens * np.exp(-lam * best)).sum()) + 1)
 
     def weigh(batches):
         for batch in batches:
-            x = [evidence(t.as_py(), table.value, lam, k)[0] for t in clean_texts(batch.column("__text")).cast(pa.binary())]
+            x = [evidence(own, lam, k)[0] for _, own in _scored_texts(clean_texts(batch.column("__text")), folds.value, batch.column("fold").to_numpy())]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x, pa.float64())], names=["label", "x"])
 
-    points = fitted.select("__text", "label").mapInArrow(weigh, "label int, x double").toPandas()  # MAX_LABELLED rows at most
-    intercept, slope = _logistic(np.sqrt(np.maximum(points["x"].to_numpy(), 0)), points["label"].to_numpy(float))
+    points = fitted.select("__text", "fold", "label").mapInArrow(weigh, "label int, x double").toPandas()  # MAX_LABELLED rows at most
+    folds.destroy()
+    dropped(known, once, counts)
+    intercept, slope = _logistic(np.sqrt(np.maximum(points["x"].to_numpy(), 0)), (points["label"] != 0).to_numpy(float))
     return ToxicityModel(scores, lam, k, intercept, max(slope, 1e-3))
 
 
@@ -262,43 +308,40 @@ def _root(seen: np.ndarray, total: float, top: float) -> float:
     return max(high, 1e-3)
 
 
-def _apply(model: ToxicityModel, docs: DataFrame, columns: str, rows):
-    shared = docs.sparkSession.sparkContext.broadcast((WordScores(model.scores), model))
+def _scoring(model: ToxicityModel) -> Callable:
+    """A Spark function of a text column: the score from 0 to 1."""
 
-    def run(batches):
-        scores, m = shared.value
-        _units.clear()  # counting is over: its memory makes room for the scores
-        for batch in batches:
-            yield rows(batch, [evidence(t.as_py(), scores, m.lam, m.k) for t in clean_texts(batch.column("__text")).cast(pa.binary())], m)
+    @F.arrow_udf("double")
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            x = [evidence(own, model.lam, model.k)[0] for _, own in _scored_texts(clean_texts(column), [model.scores])]
+            yield pa.array(1 / (1 + np.exp(-np.clip(model.intercept + model.slope * np.sqrt(np.maximum(x, 0.0)), -700, 700))), pa.float64())
 
-    return docs.mapInArrow(run, columns)
+    return score
 
 
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``id_col, score, predicted``; only the text is an input. Null and empty texts have no evidence."""
-
-    def rows(batch, found, m):
-        x = np.sqrt(np.maximum([f[0] for f in found], 0.0))
-        score = 1 / (1 + np.exp(-np.clip(m.intercept + m.slope * x, -700, 700)))
-        return pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))], names=["__id", "score", "predicted"])
-
-    source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    kind = source.schema["__id"].dataType.simpleString()
-    return _apply(model, source, f"__id {kind}, score double, predicted int", rows).withColumnRenamed("__id", id_col)
+    """Per row: ``id_col, score, predicted``; only the text is an input. Null and empty texts have no evidence, repeated rows
+    and null ids have rows of their own."""
+    scored = docs.select(F.col(id_col), _scoring(model)(F.col(text_col).cast("string")).alias("score"))
+    return scored.select(id_col, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def toxic_passages(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every significant passage: ``id_col, first_word, n_words, passage_score, chance``."""
+    """Every significant passage: ``id_col, first_word, n_words, passage_score, chance``. Null and empty texts have none;
+    repeated rows give theirs again."""
 
-    def rows(batch, found, m):
-        at = pa.array([i for i, f in enumerate(found) for _ in f[1]], pa.int64())
-        flat = [s for f in found for s in f[1]]
-        columns = [pa.array([s[c] for s in flat], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-        return pa.RecordBatch.from_arrays([batch.column("__id").take(at), *columns], names=["__id", "first_word", "n_words", "passage_score", "chance"])
+    def passages(batches):
+        for batch in batches:
+            found = [evidence(own, model.lam, model.k)[1] for _, own in _scored_texts(clean_texts(batch.column("__text")), [model.scores])]
+            at = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
+            flat = [s for f in found for s in f]
+            columns = [pa.array([s[c] for s in flat], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("__id").take(at), *columns], names=["__id", "first_word", "n_words", "passage_score", "chance"])
 
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     kind = source.schema["__id"].dataType.simpleString()
-    return _apply(model, source, f"__id {kind}, first_word long, n_words long, passage_score double, chance double", rows).withColumnRenamed("__id", id_col)
+    return source.mapInArrow(passages, f"__id {kind}, first_word long, n_words long, passage_score double, chance double").withColumnRenamed("__id", id_col)
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -308,9 +351,9 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that score below the threshold; all labels are used for fitting."""
+    """The rows of ``docs``, all columns as they are, that score below the threshold; all labels are used for fitting.
+
+    Each row is judged by its own text where it stands: nothing is joined back."""
     model = fit(docs, labels, id_col, text_col, hold_out=False)
-    text = F.col(text_col).cast("string")
-    scores = toxicity_scores(docs.select(F.xxhash64(text).alias("__th"), text.alias("__scored")), model, "__th", "__scored")
-    toxic = staged(scores.where(F.col("score") >= threshold).select(F.col("__th").alias("__toxic")).distinct(), "toxic")
-    return docs.join(toxic, F.xxhash64(docs[text_col].cast("string")) == toxic["__toxic"], "left_anti")
+    judged = docs.select(F.struct("*").alias("row"), _scoring(model)(F.col(text_col).cast("string")).alias("score"))
+    return judged.where(F.col("score") < threshold).select("row.*")
