@@ -2,11 +2,11 @@
 
 Encoding is done by distinct word. A batch is cut into slices of a few MB; Arrow splits a slice at white
 space and numbers its distinct words; only words that a worker has not met yet go to the tokenizer, in one
-call. That is exact where no token and no rule of the tokenizer reaches over the boundary used:
+call; a memory of bounded size keeps words met lately. That is exact where no token and no rule of the tokenizer reaches over the boundary used:
 
 * ``.json`` word tokenizers whose pre-tokenizer drops white space: every ASCII white-space character is a
-  boundary. A word is further cut before one trailing full stop or comma that follows a letter. ASCII words are
-  lower-cased first if the normalizer does so, but not those that this would turn into an added token: added tokens are found before.
+  boundary. A word is further cut before ASCII punctuation at its end that follows a letter. Words of Latin letters
+  are lower-cased first if the normalizer does so. Words that hold an added token in any case go to the library as they are.
 * ``.model`` sentencepiece models with escaped white space, a dummy prefix, no normalisation and no piece with
   the space sign after another character: each space that follows a character other than a space or the space
   sign itself is a boundary, and the dummy prefix of the next part stands for it.
@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
+import zlib
+from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +28,42 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import CACHED_WORDS
+from touchline.llm.common import clean_texts, slices
 
-#: Bytes of text worked on at a time inside a task.
-SLICE_BYTES = 4 << 20
+#: Words that each half of a memory keeps (some 16 MB), and the longest word it keeps.
+KEPT_WORDS, KEPT_LENGTH = 100_000, 48
+#: A word with ASCII punctuation at its end that follows a Latin letter; no apostrophes, which may belong to a contraction.
+TAILED = r"(?s)^(?P<core>.*[A-Za-zÀ-ÖØ-öø-įı-ɏ])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
+#: Characters other than those whose lower case is the same whatever stands around them.
+NOT_LATIN = r"[^\x{0}-\x{12F}\x{131}-\x{24F}]"
 SPACE_SIGN = "▁"
 
 _loaded: dict[str, object] = {}
 
 
+class Memory:
+    """What words that occur more than once in a slice came to, in two halves: when the newer is full, the older is forgotten."""
+
+    def __init__(self, most: int = KEPT_WORDS):
+        self.most, self.new, self.old = most, {}, {}
+
+    def all(self, words: list[str]) -> list:
+        """What is kept of each word; None where nothing is."""
+        found = list(map(self.new.get, words))
+        if self.old:
+            for i in [i for i, x in enumerate(found) if x is None]:
+                if (value := self.old.get(words[i])) is not None:
+                    found[i] = value
+                    self.put(words[i], value)
+        return found
+
+    def put(self, word: str, value) -> None:
+        if len(word) <= KEPT_LENGTH:
+            if len(self.new) >= self.most:
+                self.old, self.new = self.new, {}
+            self.new[word] = value
+
+
 class WordTokenizer:
     """A ``tokenizers`` file; ``ids`` gives the little-endian unsigned 32-bit ids of words as bytes."""
 
@@ -52,8 +81,7 @@ class WordTokenizer:
         rules = spec.get("normalizer") or {}
         self.lowers = any(r.get("type") == "Lowercase" for r in rules.get("normalizers") or [rules])
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.cache: dict[str, bytes] = {}
-        self.stop = {c: self._one(c) for c in ".,"} if self.by_word else {}
+        self.kept = Memory()
 
     @staticmethod
     def _word_end_ids(spec: dict) -> np.ndarray | None:
@@ -93,32 +121,29 @@ class WordTokenizer:
         out.update(zip(rest, self.whole(rest), strict=True))
         return [out[w] for w in words]
 
-    def _core(self, word: str) -> tuple[str, bytes]:
-        if word.isascii():
-            low = word.lower() if self.lowers else word
-            if low != word and any(t in low for t in self.added):
-                return word, b""
-            word = low
-            if len(word) > 1 and word[-1] in self.stop and word[-2].isalpha():
-                return word[:-1], self.stop[word[-1]]
-        return word, b""
-
-    def words(self, words: list[str]) -> list[bytes]:
-        cache = self.cache
-        found = [cache.get(w) for w in words]
-        missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            cores = [self._core(words[i]) for i in missing]
-            known = {c: cache[c] for c, _ in cores if c in cache}
-            new = list(dict.fromkeys(c for c, _ in cores if c not in known))
-            known.update(zip(new, self._encode_new(new), strict=True))
-            for i, (core, tail) in zip(missing, cores, strict=True):
-                found[i] = value = known[core] + tail
-                if len(cache) < CACHED_WORDS and len(words[i]) <= 48:
-                    cache[words[i]] = value
-                    if tail and len(cache) < CACHED_WORDS:
-                        cache[core] = known[core]
-        return found
+    def _cut(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Words in lower case, and their punctuation at the end, which is encoded apart."""
+        special = pa.array(np.zeros(len(words), bool))
+        for token in self.added:
+            special = pc.or_(special, pc.match_substring(words, token, ignore_case=True))
+        low = pc.if_else(pc.match_substring_regex(words, NOT_LATIN), words, pc.utf8_lower(words)) if self.lowers else words
+        parts = pc.extract_regex(low, TAILED)
+        cut = pc.and_(parts.is_valid(), pc.invert(special))
+        return pc.if_else(cut, parts.field("core"), pc.if_else(special, words, low)), pc.if_else(cut, parts.field("tail"), "")
+
+    def words(self, words: pa.Array, times: np.ndarray) -> list[bytes]:
+        """Ids of distinct words, given how often each occurs here."""
+        cores, tails = (x.dictionary_encode() for x in self._cut(words))
+        own, which = cores.dictionary.to_numpy(zero_copy_only=False).tolist(), cores.indices.to_numpy()
+        known = self.kept.all(own)
+        new = [i for i, ids in enumerate(known) if ids is None]
+        seen = np.bincount(which, times, len(own))
+        for i, ids in zip(new, self._encode_new([own[i] for i in new]), strict=True):
+            known[i] = ids
+            if seen[i] > 1:
+                self.kept.put(own[i], ids)
+        ends = [self._one(t) if t else b"" for t in tails.dictionary.to_pylist()]
+        return [known[c] + ends[t] for c, t in zip(which.tolist(), tails.indices.to_numpy().tolist(), strict=True)]
 
     def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         parts = pc.ascii_split_whitespace(texts)
@@ -138,21 +163,19 @@ class PieceTokenizer:
             model.ParseFromString(f.read())
         rules = model.normalizer_spec
         self.by_word = bool(rules.add_dummy_prefix and rules.escape_whitespaces and not rules.remove_extra_whitespaces and not rules.precompiled_charsmap and not any(SPACE_SIGN in p.piece.lstrip(SPACE_SIGN) or p.type == 4 for p in model.pieces))
-        self.cache: dict[str, int] = {}
+        self.kept = Memory()
 
     def whole(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.inner.encode(texts, num_threads=1)]
 
-    def words(self, words: list[str]) -> list[int]:
-        cache = self.cache
-        found = [cache.get(w) for w in words]
+    def words(self, words: list[str], times: np.ndarray) -> list[int]:
+        found = self.kept.all(words)
         missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            for i, n in zip(missing, self.whole([words[i] for i in missing]), strict=True):
-                # An empty part only stands for a space at the end of a text (or an empty text: see count_slice).
-                found[i] = n = n or 1
-                if len(cache) < CACHED_WORDS and len(words[i]) <= 48:
-                    cache[words[i]] = n
+        for i, n in zip(missing, self.whole([words[i] for i in missing]) if missing else [], strict=True):
+            # An empty part only stands for a space at the end of a text (or an empty text: see count_slice).
+            found[i] = n or 1
+            if times[i] > 1:
+                self.kept.put(words[i], found[i])
         return found
 
     def split_text(self, text: str) -> list[str]:
@@ -161,27 +184,13 @@ class PieceTokenizer:
 
 
 def tokenizer(path: str):
-    """The tokenizer of a file, loaded once a worker."""
+    """The tokenizer of a file, loaded once a worker; a worker keeps one at a time."""
     if path not in _loaded:
+        _loaded.clear()
         _loaded[path] = PieceTokenizer(path) if path.endswith(".model") else WordTokenizer(path)
     return _loaded[path]
 
 
-def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``most`` bytes; a longer text has a range of its own."""
-    ends = np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0)), dtype=np.int64)
-    i = 0
-    while i < len(texts):
-        before = ends[i - 1] if i else 0
-        j = max(i + 1, int(np.searchsorted(ends, before + most, "right")))
-        yield i, j
-        i = j
-
-
-def clean_texts(column: pa.Array) -> pa.Array:
-    return column.cast(pa.string()).fill_null("")
-
-
 def encode_slice(tok: WordTokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts, one after the other, and where each text's ids start (with the end)."""
     if not tok.by_word:
@@ -190,7 +199,7 @@ def encode_slice(tok: WordTokenizer, texts: pa.Array) -> tuple[np.ndarray, np.nd
     offsets, values = tok.split(texts)
     coded = values.dictionary_encode()
     which = coded.indices.to_numpy(zero_copy_only=False)
-    known = tok.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    known = tok.words(coded.dictionary, np.bincount(which, minlength=len(coded.dictionary)))
     size = np.fromiter(map(len, known), np.int64, len(known)) // 4
     flat = np.frombuffer(b"".join(known), "<u4")
     first = np.concatenate([[0], np.cumsum(size)])[:-1] if len(size) else size
@@ -211,12 +220,14 @@ def count_slice(tok, texts: pa.Array) -> np.ndarray:
     if len(at):
         parts = pc.split_pattern(texts.take(pa.array(at)), " ")
         coded = parts.flatten().dictionary_encode()
-        n = np.array(tok.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int64)
-        total = np.concatenate([[0], np.cumsum(n[coded.indices.to_numpy(zero_copy_only=False)])])
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        n = np.array(tok.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), np.bincount(which, minlength=len(coded.dictionary))), np.int64)
+        total = np.concatenate([[0], np.cumsum(n[which])])
         offsets = parts.offsets.to_numpy()
         out[at] = np.diff(total[offsets - offsets[0]])
     for i in np.flatnonzero(~plain.to_numpy(zero_copy_only=False)).tolist():
-        out[i] = sum(tok.words(tok.split_text(texts[i].as_py())))
+        own = Counter(tok.split_text(texts[i].as_py()))
+        out[i] = sum(n * k for n, k in zip(tok.words(list(own), list(own.values())), own.values(), strict=True))
     out[np.asarray(pc.binary_length(texts)) == 0] = 0
     return out
 
@@ -244,7 +255,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 4096, id_col
     return out.select(F.col("__id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > F.lit(limit)).alias("over_limit"))
 
 
-def _piece_encoder(path: str, end_id: int, most: int | None, keys: list[str]) -> Callable:
+def _piece_encoder(path: str, end_id: int, most: int | None, keep_ids: bool, keys: list[str]) -> Callable:
     tail = np.array([end_id], "<u4").tobytes()
 
     def encode(batches):
@@ -254,31 +265,38 @@ def _piece_encoder(path: str, end_id: int, most: int | None, keys: list[str]) ->
             for i, j in slices(texts):
                 ids, starts = encode_slice(tok, texts.slice(i, j - i))
                 raw = memoryview(np.ascontiguousarray(ids)).cast("B")
-                row, piece, start, length, data = [], [], [], [], []
+                row, piece, start, length, crc, data = [], [], [], [], [], []
                 for k in range(j - i):
                     a, b = int(starts[k]), int(starts[k + 1])
                     own = bytes(raw[4 * a : 4 * b]) + tail
                     n = b - a + 1
                     step = most or n
                     for p, at in enumerate(range(0, n, step)):
+                        part = own[4 * at : 4 * (at + step)] if n > step else own
                         row.append(i + k)
                         piece.append(p)
                         start.append(at)
-                        length.append(min(step, n - at))
-                        data.append(own[4 * at : 4 * (at + step)] if n > step else own)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
+                        if keep_ids:
+                            data.append(part)
                 at = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary())], names=[*keys, "piece", "start", "length", "ids"])
+                columns = [pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in (start, length, crc))]
+                names = ["piece", "start", "length", "ids_crc32"]
+                if keep_ids:
+                    columns, names = [*columns, pa.array(data, pa.binary())], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), *columns], names=[*keys, *names])
 
     return encode
 
 
-def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, max_tokens: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, max_tokens: int | None = None, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """Ids of every whole text, then ``end_id``, cut into pieces of at most ``max_tokens`` ids (None: uncut).
 
-    Returns ``id_col, piece, start, length, ids``; ``ids`` holds little-endian unsigned 32-bit ids. A null or
-    empty text is one piece with the end id alone. Repeated rows and null ids give rows of their own.
+    Returns ``id_col, piece, start, length, ids_crc32`` and, with ``keep_ids``, ``ids``: little-endian unsigned 32-bit ids. A
+    null or empty text is one piece with the end id alone. Repeated rows and null ids give rows of their own.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     kind = rows.schema["__id"].dataType.simpleString()
-    out = rows.mapInArrow(_piece_encoder(tokenizer_path, end_id, max_tokens, ["__id"]), f"__id {kind}, piece int, start long, length long, ids binary")
-    return out.withColumnRenamed("__id", id_col)
+    columns = f"__id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
+    return rows.mapInArrow(_piece_encoder(tokenizer_path, end_id, max_tokens, keep_ids, ["__id"]), columns).withColumnRenamed("__id", id_col)
