@@ -2,17 +2,21 @@
 
 The numbers of pieces of each length form a histogram with at most ``capacity`` entries, whatever the corpus. On it
 stands the configuration linear program: a variable for each multiset of lengths that fits into a sequence, as few
-sequences as possible, every length covered as often as it occurs. Multiplicative weights solve it: lengths that
-are covered little get dearer, a knapsack dynamic program over the capacity prices the best configurations, and each
-of them gets a small share. The fractional answer is rounded to whole sequences, and what is left over is packed
-best fit, longest first. The plan says how many sequences each configuration fills; pieces get their place in it by
+sequences as possible, every length covered as often as it occurs. Multiplicative weights solve it: a round covers a
+small share of every length with configurations that a knapsack dynamic program over the capacity prices best, and lengths that it
+covers less than others get dearer. A length that is covered has no weight any more. Each round's prices also bound the program from
+below. The fractional answer is rounded: each configuration is taken a whole number of times, those that fill a sequence first; what is left
+is priced and filled again as long as configurations that fill a sequence are found; the rest is packed best fit, longest first.
+The plan says how many sequences each configuration fills; pieces get their place in it by
 their rank among the pieces of their length, which Spark computes without bringing a length into one task.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,69 +27,139 @@ from pyspark.sql import functions as F
 from touchline.llm.common import staged
 from touchline.llm.tokens import encode_pieces
 
-#: Rounds of the multiplicative weights, and the share of a length's count that a round may cover.
-ROUNDS = 60
-#: Rows ranked together; the number of rank groups of a length follows the number of pieces.
-RANK_ROWS = 50_000
+#: Columns priced in all, and the fewest and most rounds of the multiplicative weights: a round covers its part of every length.
+COLUMNS, LEAST_ROUNDS, MOST_ROUNDS = 24_000, 12, 120
+#: How fast prices follow the shares that rounds leave uncovered, and what a column's value may lack of the best one's.
+RATE, LACK = 0.01, 0.004
+#: Sequences' worth of the shortest pieces that rounding keeps for the last, to fill gaps.
+RESERVE = 8
+#: Rank groups of a length for each shuffle partition, and the fewest pieces for one.
+GROUPS, RANK_ROWS = 4, 64
 
 Config = tuple[tuple[int, int], ...]
 
 
-def _knapsack(sizes: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best value for each capacity, items in any number; and an item of a best filling (-1: none)."""
-    best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for c in range(1, capacity + 1):
-        n = int(np.searchsorted(sizes, c, "right"))
-        if n:
-            got = best[c - sizes[:n]] + value[:n]
-            k = int(np.argmax(got))
-            if got[k] > best[c - 1]:
-                best[c], take[c] = got[k], k
-                continue
-        best[c], take[c] = best[c - 1], -2 if take[c - 1] != -1 else -1
-    return best, take
-
-
-def _filling(take: np.ndarray, sizes: np.ndarray, c: int) -> list[int]:
-    """Items of the best filling of ``c``."""
-    out = []
-    while c > 0 and take[c] != -1:
-        if take[c] == -2:
-            c -= 1
-            continue
-        out.append(int(take[c]))
-        c -= int(sizes[take[c]])
-    return out
+def _knapsack(sizes: np.ndarray, value: np.ndarray, capacity: int) -> np.ndarray:
+    """Best value for each capacity, items in any number."""
+    best = np.zeros(capacity + 1)
+    until = np.searchsorted(sizes, np.arange(capacity + 1), "right")
+    for c in range(int(sizes[0]), capacity + 1):
+        n = until[c]
+        best[c] = max(best[c - 1], (best[c - sizes[:n]] + value[:n]).max())
+    return best
 
 
-def configuration_lp(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[Config, float]:
-    """A fractional covering of ``counts`` by configurations, near the optimum of the linear program."""
+def _column(k: int, sizes: np.ndarray, price: np.ndarray, best: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(items, how often) of a filling with item ``k``: of the items that the table of best values allows for, within LACK, the one
+    with the largest share left; if none of these has any left, the one that loses least."""
+    out, c = {k: 1}, len(best) - 1 - int(sizes[k])
+    slack = LACK / 2 * best[-1] - (best[-1] - price[k] - best[c])
+    while c >= sizes[0]:
+        n = int(np.searchsorted(sizes, c, "right"))
+        lost = best[c] - best[c - sizes[:n]] - price[:n]
+        fitting = np.where(lost <= max(slack, 0.0) + 1e-9, share[:n], 0.0)
+        i = int(fitting.argmax())
+        if fitting[i] <= 1e-9:
+            fitting = np.where(share[:n] > 1e-9, -lost, -np.inf)
+            i = int(fitting.argmax())
+            if fitting[i] == -np.inf:
+                break
+        slack -= lost[i]
+        out[i] = out.get(i, 0) + 1
+        c -= int(sizes[i])
+    return np.array(list(out)), np.array(list(out.values()))
+
+
+@dataclass(frozen=True)
+class Covering:
+    """Configurations and how many sequences each fills, those whose value came near the best, and a bound that no covering goes below."""
+
+    x: dict[Config, float]
+    good: set[Config]
+    bound: float
+
+
+def configuration_lp(counts: dict[int, int], capacity: int) -> Covering:
+    """A fractional covering of ``counts`` by configurations: every length exactly as often as it occurs."""
     sizes = np.array(sorted(counts), np.int64)
     need = np.array([counts[s] for s in sizes.tolist()], float)
-    weight = sizes / capacity
-    covered, x = np.zeros(len(sizes)), defaultdict(float)
-    for _ in range(rounds):
-        best, take = _knapsack(sizes, weight, capacity)
-        columns: dict[Config, None] = {}
-        for k in range(len(sizes)):
-            if weight[k] + best[capacity - sizes[k]] >= 0.98 * best[capacity]:
-                items = Counter([k, *_filling(take, sizes, int(capacity - sizes[k]))])
-                columns[tuple(sorted(items.items()))] = None
-        used = np.zeros(len(sizes))
-        for column in columns:
-            for k, a in column:
-                used[k] += a
-        gained = np.zeros(len(sizes))
-        for column in columns:
-            step = min(need[k] / used[k] for k, _ in column) / rounds * 4
-            x[column] += step
-            for k, a in column:
-                gained[k] += a * step
-        covered += gained
-        weight = weight * np.exp(-0.5 * gained / need * rounds / 4)
-        weight = np.maximum(weight / weight.max() if weight.max() else weight, 1e-9) * 1.0
-        weight = np.where(covered >= need, weight * 0.5, weight)
-    return {tuple((int(sizes[k]), a) for k, a in column): v for column, v in x.items()}
+    rounds = int(np.clip(COLUMNS / len(sizes), LEAST_ROUNDS, MOST_ROUNDS))
+    price, want, covered = sizes / capacity, need / rounds, np.zeros(len(sizes))
+    x, good, bound = defaultdict(float), set(), 0.0
+    for r in range(1, rounds + 1):
+        best = _knapsack(sizes, price, capacity)
+        bound = max(bound, float(need @ price) / best[-1])  # these prices, scaled so that no configuration costs more than 1
+        left = want * r - covered
+        for k in np.argsort(-price, kind="stable").tolist():
+            while left[k] > 1e-9 * need[k]:
+                i, a = _column(k, sizes, price, best, left / want)
+                near = price[i] @ a >= (1 - LACK) * best[-1]
+                if not near and r < rounds:
+                    break  # a later round, with other prices, covers it
+                step = float((left[i] / a).min())
+                left[i] -= step * a
+                covered[i] += step * a
+                config = tuple(sorted(zip(sizes[i].tolist(), a.tolist(), strict=True)))
+                x[config] += step
+                if near:
+                    good.add(config)
+        behind = np.minimum(left / want, 4.0)
+        price = price * np.exp(RATE * (behind - behind.mean()))
+    return Covering(dict(x), good, bound)
+
+
+def _exact_column(k: int, sizes: np.ndarray, best: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(items, how often) of what fills a sequence without a gap, item ``k`` and the longest others first; None if pieces lack."""
+    out, c = {k: 1}, len(best) - 1 - int(sizes[k])
+    while c > 0:
+        n = int(np.searchsorted(sizes, c, "right"))
+        fitting = (best[c - sizes[:n]] + sizes[:n] == c) & (left[:n] > 0)
+        for i, a in out.items():
+            if i < n and left[i] <= a:
+                fitting[i] = False
+        good = np.flatnonzero(fitting)
+        if not len(good):
+            return None
+        i = int(good[-1])
+        out[i] = out.get(i, 0) + 1
+        c -= int(sizes[i])
+    return np.array(list(out)), np.array(list(out.values()))
+
+
+def _rounded(covering: Covering, counts: dict[int, int], capacity: int, whole: set[Config]) -> Counter[Config]:
+    """Whole sequences from a covering: the whole parts of the configurations in ``whole``, then those that fill a sequence,
+    rounded up as long as their pieces last, then new ones that fill a sequence, then best fit."""
+    left, kept, out, room = dict(counts), Counter(), Counter(), RESERVE * capacity
+    for s in sorted(counts):
+        kept[s] = min(left[s], -(-room // s)) if room > 0 else 0
+        left[s] -= kept[s]
+        room -= kept[s] * s
+
+    def take(config: Config, most: int) -> None:
+        if (n := min(most, *(left[s] // a for s, a in config))) > 0:
+            out[config] += n
+            for s, a in config:
+                left[s] -= n * a
+
+    for config in sorted(whole):
+        take(config, int(covering.x[config] + 1e-6))
+    full = [c for c in covering.x if sum(s * a for s, a in c) == capacity]
+    for config in sorted(full, key=lambda c: (-covering.x[c], c)):
+        take(config, math.ceil(covering.x[config] - 1e-6) - out[config])
+    while any(left.values()):
+        sizes = np.array(sorted(s for s in left if left[s]), np.int64)
+        own, before = np.array([left[s] for s in sizes.tolist()]), out.total()
+        best = _knapsack(sizes, sizes.astype(float), capacity)
+        for k in range(len(sizes) - 1, -1, -1):
+            while own[k] > 0 and (column := _exact_column(k, sizes, best, own)) is not None:
+                i, a = column
+                n = int((own[i] // a).min())
+                take(tuple(sorted(zip(sizes[i].tolist(), a.tolist(), strict=True))), n)
+                own[i] -= n * a
+        if out.total() == before:
+            break
+    rest = Counter(left) + kept
+    return out + best_fit({s: n for s, n in rest.items() if n}, capacity)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Counter[Config]:
@@ -145,18 +219,10 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[Config, int]]:
         out[((capacity, 1),)] = n
     if not counts:
         return sorted(out.items())
-    left, rounded = dict(counts), Counter()
-    fractional = configuration_lp(counts, capacity)
-    fill = {c: sum(s * a for s, a in c) for c in fractional}
-    for config in sorted(fractional, key=lambda c: (-fill[c], -fractional[c], c)):
-        n = min(min(left[s] // a for s, a in config), int(np.ceil(fractional[config])))
-        if n and fill[config] >= 0.98 * capacity:
-            rounded[config] += n
-            for s, a in config:
-                left[s] -= n * a
-    rounded += best_fit({s: n for s, n in left.items() if n}, capacity)
-    plain = best_fit(counts, capacity)
-    out += min(rounded, plain, key=lambda c: c.total())
+    covering = configuration_lp(counts, capacity)
+    full = {c for c in covering.good if sum(s * a for s, a in c) == capacity}
+    # Two roundings of the one covering: whether configurations with a small gap may come first depends on the lengths.
+    out += min((_rounded(covering, counts, capacity, whole) for whole in (full, covering.good)), key=lambda c: c.total())
     return sorted(out.items())
 
 
@@ -174,26 +240,26 @@ def _places(configs: list[tuple[Config, int]]) -> dict[int, np.ndarray]:
 
 
 def pack(pieces: DataFrame, capacity: int, length_col: str = "length", order_by: list[str] | None = None) -> DataFrame:
-    """Give every piece a ``sequence_id`` and an ``offset`` in it; other columns stay.
+    """Give every piece a ``sequence_id`` and an ``offset`` in it; other columns stay, and columns of these names are replaced.
 
     Sequences have no gaps and start at 0. Pieces must be 1 to ``capacity`` long. The order among pieces of one
     length decides nothing but which of them goes where; rows that are alike in every column are interchangeable.
+    ``order_by``: columns that tell pieces apart (all of them by default).
     """
     spark = pieces.sparkSession
-    order = order_by or [c for c in pieces.columns if c != length_col]
-    histogram = pieces.groupBy(F.col(length_col).cast("long").alias("size")).count().toPandas()  # at most capacity rows
+    pieces = pieces.drop("sequence_id", "offset")
+    order = F.struct(*(order_by or [c for c in pieces.columns if c != length_col]))
+    rows = pieces.select(F.struct("*").alias("row"), F.col(length_col).cast("long").alias("size"), order.alias("order"))
+    histogram = rows.groupBy("size").count().toPandas()  # at most capacity rows
     counts = dict(zip(histogram["size"].tolist(), histogram["count"].tolist(), strict=True))
-    total = sum(counts.values())
     places = _places(plan(counts, capacity))
-    groups = max(1, -(-total // RANK_ROWS))
-    keyed = pieces.withColumn("__group", F.pmod(F.xxhash64(*order), F.lit(groups)))
-    local = Window.partitionBy(length_col, "__group").orderBy(*order)
-    keyed = keyed.withColumn("__rank", F.row_number().over(local) - 1)
-    sums = keyed.groupBy(length_col, "__group").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(length_col).orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col(length_col).alias("__length"), F.col("__group").alias("__g"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    keyed = keyed.join(sums, (F.col(length_col) == F.col("__length")) & (F.col("__group") == F.col("__g")))
-    shared = spark.sparkContext.broadcast(places)  # bounded by the capacity and the rounds, not by the corpus
+    groups = max(1, min(sum(counts.values()) // RANK_ROWS, GROUPS * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    keyed = rows.withColumn("group", F.pmod(F.xxhash64("order"), F.lit(groups)))
+    keyed = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("size", "group").orderBy("order")) - 1)
+    sums = keyed.groupBy("size", "group").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("size").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = keyed.join(sums.select("size", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), ["size", "group"])
+    shared = spark.sparkContext.broadcast(places)  # bounded by the capacity and the columns, not by the corpus
 
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
         sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
@@ -208,8 +274,7 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length", order_by:
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
     placed = F.pandas_udf(place, "sequence_id long, offset long")
-    out = keyed.withColumn("__place", placed(F.col(length_col).cast("long"), F.col("__rank") + F.col("__before")))
-    return out.select(*pieces.columns, F.col("__place.sequence_id").alias("sequence_id"), F.col("__place.offset").alias("offset"))
+    return keyed.withColumn("place", placed(F.col("size"), F.col("rank") + F.col("before"))).select("row.*", "place.*")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -218,14 +283,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, e
     Only documents longer than ``capacity`` ids (the end id counts) are cut, every ``capacity`` ids. A null or empty
     text is one piece of one id. An empty table gives no rows. Repeated rows are packed once each.
     """
-    pieces = encode_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col).withColumn("ids_crc32", F.crc32("ids"))
-    pieces = staged(pieces if keep_ids else pieces.drop("ids"), "pieces")
-    order = [id_col, "piece", "start", "ids_crc32"]
-    return pack(pieces, capacity, "length", order)
+    pieces = staged(encode_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, keep_ids), "pieces")
+    return pack(pieces, capacity, "length", [id_col, "piece", "start", "ids_crc32"])
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """``sequence_id, n_ids, ids``: the ids of each sequence, joined in order; a sequence has at most the capacity."""
+    """``sequence_id, n_ids, ids``: the ids of each sequence, joined in order; a sequence has at most the capacity. No pieces, no rows."""
 
     def join(table: pa.Table) -> pa.Table:
         table = table.sort_by("offset")
