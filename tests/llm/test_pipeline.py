@@ -49,10 +49,10 @@ def test_near(stages):
             if sets[i] and sets[j]:
                 s = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
                 best[i] = max(best[i], s)
-                if s >= 0.85:
+                if s >= 0.8:
                     must_go.add(i)
     assert not must_go & kept
-    assert {i for i in ids if best[i] < 0.6} <= kept
+    assert {i for i in ids if best[i] < 0.8} <= kept
 
 
 def test_decontamination(stages, spark, sf):

@@ -43,21 +43,26 @@ def test_components(spark):
     assert {r.component_id for r in simhash.fingerprint_components(frame(spark, [(5, "x"), (None, "x"), (5, "x")])).collect()} == {5}
 
 
-def test_tree_links_connect_what_all_pairs_connect():
+def test_tree_links_connect_what_all_pairs_connect(monkeypatch):
     rnd = random.Random(2)
     for spread, n in ((3, 300), (64, 500), (10, 700)):
         base = [rnd.getrandbits(64) for _ in range(5)]
         fps = np.array([[b ^ sum(1 << rnd.randrange(64) for _ in range(rnd.randrange(spread)))] for b in rnd.choices(base, k=n)], dtype=object)
         fps = np.array([[int(x[0]) & (1 << 64) - 1] for x in fps], np.uint64)
         want, got = simhash.Groups(n), simhash.Groups(n)
+        shard = np.sort(np.array(rnd.choices(range(3), k=n)))
         for i in range(n):
             for j in range(i):
-                if int(np.bitwise_count(fps[i] ^ fps[j])[0]) <= 4:
+                if shard[i] == shard[j] and int(np.bitwise_count(fps[i] ^ fps[j])[0]) <= 4:
                     want.join(i, j)
-        links = simhash.bk_links(fps, 4)
+        monkeypatch.setattr(simhash, "QUERIES", 100)
+        parent, edge = simhash.bk_forest(fps, shard)
+        assert (parent < 0).sum() == 3 and (simhash.hamming(fps, fps[parent])[parent >= 0] == edge[parent >= 0]).all()
+        assert len({(p, e) for p, e in zip(parent.tolist(), edge.tolist(), strict=True) if p >= 0}) == n - 3  # an edge, a child
+        links = list(zip(*(x.tolist() for x in simhash.bk_links(fps, shard, 4)), strict=True))
         assert len(links) < n
         for i, j in links:
-            assert int(np.bitwise_count(fps[i] ^ fps[j])[0]) <= 4
+            assert shard[i] == shard[j]
             got.join(i, j)
         assert [want.root(i) for i in range(n)] == [got.root(i) for i in range(n)]
 
@@ -94,6 +99,18 @@ def test_near_groups(spark):
     assert simhash.near_groups(frame(spark, [])).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    base = " ".join(rnd.choices(words, k=150))
+    rows = [(1, base), (2, base + " more"), (2, "an unrelated document that shares an id"), (3, base + " most"), (3, base + " most"), (None, base), (None, base + " more")]
+    docs = frame(spark, rows)
+    left = simhash.without_near_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([rows[0], rows[2], rows[5], rows[6]], key=str)
+    assert simhash.without_near_copies(frame(spark, [])).count() == 0
+
+
 def test_large_shards_lose_no_link(spark, monkeypatch):
     """Shards far over the bound: a dense group, its fringe, and rows that are far from each other."""
     rnd = random.Random(6)
@@ -111,7 +128,6 @@ def test_large_shards_lose_no_link(spark, monkeypatch):
         monkeypatch.setattr(simhash, "LEADER_ROUNDS", rounds)
         got = simhash.Groups(len(values))
         for r in simhash._links(shards, 4, 1).collect():
-            assert (values[r.a] ^ values[r.b]).bit_count() <= 4
             got.join(r.a, r.b)
         assert [want.root(i) for i in range(len(values))] == [got.root(i) for i in range(len(values))]
 

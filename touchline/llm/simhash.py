@@ -2,17 +2,19 @@
 
 Fingerprints within the radius are found in shards. A shard's distinct fingerprints form a BK-tree: a node's children
 are keyed by their integer Hamming distance to it, and a search goes only along edges whose key differs from the
-distance between query and node by the radius at most. The search runs for all of a shard's fingerprints at once.
+distance between query and node by the radius at most. A task builds the trees of many shards at once, level by level, and
+searches them for all of their fingerprints at once.
 
 A small radius uses blocks: 64 bits in b > r blocks, and one shard for each value of each choice of b - r blocks; two
 fingerprints that differ in r bits or fewer agree on one of the choices at least, so no link is lost. A large radius
 (near copies with a given share of changed shingles) uses shards of documents that agree on two of the
 smallest hashes of their shingles, several times with other hash functions. There the sketch only names candidates, with a
-radius that practically no pair at the similarity exceeds. Documents with a candidate are then searched once more with
-their shingles, and two are linked only if the exact Jaccard similarity of these is high enough.
+radius that practically no pair at the similarity exceeds. Documents that candidates tie together form a shard, which is searched once
+more with their shingles, and two are linked only if the exact Jaccard similarity of these is high enough.
 
-Trees are sent to the tasks that hold their shard's queries. They are not broadcast: all trees together have no bound.
-Inside a shard only the links that join two groups leave the task, so a group of k near copies gives k - 1 links.
+Trees are built in the tasks that hold their shard's queries. They are not broadcast: all trees together have no bound, and a
+broadcast would bring the fingerprints of all documents to the driver.
+Inside a shard only links to a group's first member leave the task, so a group of k near copies gives k - 1 links.
 
 A shard of more than SHARD_MOST rows never reaches a task whole. Spark takes one of its fingerprints as the root of the tree and
 computes all edges to it: rows within the radius are linked to the root and leave; rows at most two radii away are searched
@@ -33,12 +35,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import WordHashes, mixed, shingle_hashes, staged
-from touchline.llm.tokens import clean_texts
+from touchline.llm.common import clean_texts, dropped, keyed_rows, mixed, shingle_hashes, slice_hashes, slices, small, staged
 from touchline.operators.graph import connected_components
 
-#: A tree's branches of this many fingerprints or fewer are compared directly.
-LEAF = 64
+#: Queries that go down the trees together.
+QUERIES = 4096
 #: Fingerprints a block shard holds on average, before more blocks are used.
 SHARD_ROWS = 512
 #: Rows of a shard that are searched in one task, and roots taken out of a larger one before it is searched in blocks.
@@ -48,8 +49,6 @@ BANDS, BAND_ROWS = 10, 2
 #: Deviations above the expected distance up to which a pair of sketches is a candidate: at the similarity, one in 30,000 lies beyond.
 DEVIATIONS = 4
 
-_words = WordHashes()
-
 
 def contract_fingerprint(text: bytes, words: int = 4) -> bytes:
     """64 bits, big-endian: bit i is set if it is set in over half of the shingles' XXH64 (seed 42), repeats included."""
@@ -75,13 +74,19 @@ def majority(rows: np.ndarray) -> bytes:
     return np.packbits(total * 2 > len(rows)).tobytes()
 
 
-def wide_fingerprint(text: bytes, words: int, lanes: int) -> tuple[bytes, np.ndarray]:
-    """64 * ``lanes`` bits over the distinct shingles, and the shingles' hashes; fewer words: the whole sequence."""
-    w = text.lower().split()
-    if not w:
-        return bytes(8 * lanes), np.zeros(0, np.uint64)
-    shingles = np.unique(shingle_hashes(_words.array(w), min(words, len(w))))
-    return majority(np.stack([mixed(shingles, 101 + i) for i in range(lanes)], axis=1).view(np.uint8).reshape(len(shingles), 8 * lanes)), shingles
+def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The distinct shingles of each lower-cased text, as hashes; fewer words: the whole sequence; no words: none."""
+    for i, j in slices(texts):
+        hashes, starts = slice_hashes(texts.slice(i, j - i), lower=True)
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            yield np.unique(shingle_hashes(hashes[a:b], min(words, b - a))) if b > a else hashes[:0]
+
+
+def wide_fingerprint(shingles: np.ndarray, lanes: int) -> bytes:
+    """64 * ``lanes`` bits over a set of shingles; zero for none."""
+    if not len(shingles):
+        return bytes(8 * lanes)
+    return majority(np.stack([mixed(shingles, 101 + i) for i in range(lanes)], axis=1).view(np.uint8).reshape(len(shingles), 8 * lanes))
 
 
 def _fingerprints(batches):
@@ -98,11 +103,9 @@ def _band_keys(shingles: np.ndarray) -> list[int]:
 def _wide(words: int, lanes: int) -> Callable:
     def run(batches):
         for batch in batches:
-            texts = clean_texts(batch.column("__text")).cast(pa.binary())
             fps, keys = [], []
-            for t in texts:
-                fp, shingles = wide_fingerprint(t.as_py(), words, lanes)
-                fps.append(fp)
+            for shingles in shingle_sets(clean_texts(batch.column("__text")), words):
+                fps.append(wide_fingerprint(shingles, lanes))
                 keys.append([k - (1 << 64) if k >= 1 << 63 else k for k in _band_keys(shingles)] if len(shingles) else [0])
             yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["__id", "__fp", "__keys"])
 
@@ -112,13 +115,10 @@ def _wide(words: int, lanes: int) -> Callable:
 def _shingle_sets(words: int) -> Callable:
     def run(batches):
         for batch in batches:
-            texts = clean_texts(batch.column("__text")).cast(pa.binary())
-            for i in range(0, len(texts), 256):  # shingles take more room than the text
-                sets = []
-                for t in texts[i : i + 256]:
-                    w = t.as_py().lower().split()
-                    sets.append(np.unique(shingle_hashes(_words.array(w), min(words, len(w)))).view(np.int64) if w else np.zeros(0, np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column("__id").slice(i, 256), pa.array(sets, pa.list_(pa.int64()))], names=["__id", "__set"])
+            for i in range(0, batch.num_rows, 256):  # shingles take more room than the text
+                own = batch.slice(i, 256)
+                sets = [x.view(np.int64) for x in shingle_sets(clean_texts(own.column("__text")), words)]
+                yield pa.RecordBatch.from_arrays([own.column("__id"), own.column("__key"), own.column("__fp"), pa.array(sets, pa.list_(pa.int64()))], names=["__id", "__key", "__fp", "__set"])
 
     return run
 
@@ -168,9 +168,14 @@ class Sets:
         return others[both / (own + self.size[others] - both) >= self.similarity]
 
 
-def set_links(fps: np.ndarray, radius: int, sets: Sets) -> list[tuple[int, int]]:
-    """As ``bk_links``, for rows within the radius whose sets are similar too; a pair inside one group is not compared."""
+def set_links(fps: np.ndarray, radius: int, sets: Sets, known: np.ndarray) -> list[tuple[int, int]]:
+    """Links between rows within the radius whose sets are similar too; a pair inside one group is not compared.
+
+    Rows that are ``known`` to be in one group start as one; no links are given for that."""
     groups = Groups(len(fps))
+    for i in np.flatnonzero(known)[1:].tolist():
+        groups.join(i, int(np.flatnonzero(known)[0]))
+    groups.links.clear()
     for i in range(1, len(fps)):
         near = np.flatnonzero(hamming(fps[:i], fps[i]) <= radius)
         while len(near):
@@ -182,52 +187,74 @@ def set_links(fps: np.ndarray, radius: int, sets: Sets) -> list[tuple[int, int]]
     return groups.links
 
 
-def bk_links(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that connect all rows of ``fps`` within the radius of each other: a spanning forest of them."""
-    groups = Groups(len(fps))
-
-    def direct(members: np.ndarray, queries: np.ndarray) -> None:
-        """All pairs of a leaf and its queries, a block of queries at a time."""
-        for i in range(0, len(queries), 256):
-            part = queries[i : i + 256]
-            near = np.argwhere(hamming(fps[part][:, None, :], fps[members][None, :, :]) <= radius)
-            q, m = part[near[:, 0]], members[near[:, 1]]
-            while len(q):  # a pair inside one group says nothing new
-                root = np.fromiter((groups.root(i) for i in range(len(fps))), np.int64, len(fps))
-                apart = root[q] != root[m]
-                q, m = q[apart], m[apart]
-                for a, b in zip(q[:256].tolist(), m[:256].tolist(), strict=True):
-                    groups.join(a, b)
-                q, m = q[256:], m[256:]
-
-    # (members of a subtree, queries that may lie within the radius of some of them)
-    todo = [(np.arange(len(fps)), np.arange(len(fps)))]
-    while todo:
-        members, queries = todo.pop()
-        if len(members) <= LEAF:
-            direct(members, queries)
-            continue
-        node, rest = members[0], members[1:]
-        to_node = hamming(fps[queries], fps[node])
-        for q in queries[to_node <= radius].tolist():
-            if q != node:
-                groups.join(q, int(node))
-        edge = hamming(fps[rest], fps[node])
-        order = np.argsort(edge, kind="stable")
-        keys, first = np.unique(edge[order], return_index=True)
-        for key, child in zip(keys.tolist(), np.split(rest[order], first[1:]), strict=True):
-            if key == 0:
-                for m in child.tolist():
-                    groups.join(m, int(node))
-                continue
-            inside = queries[np.abs(to_node - key) <= radius]
-            if len(inside):
-                todo.append((child, inside))
-    return groups.links
+def bk_forest(fps: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(parent, edge) of each fingerprint in its shard's BK-tree; roots, the first of each shard, have the parent -1.
+
+    All trees grow by one level at a time: the first of each branch becomes its node, the others go to the branches keyed by
+    their distance to it."""
+    parent, edge = np.full(len(fps), -1), np.zeros(len(fps), np.int64)
+    left, branch = np.arange(len(fps)), shard.astype(np.int64)
+    while len(left):
+        order = np.argsort(branch, kind="stable")
+        left, branch = left[order], branch[order]
+        first = np.concatenate([[True], branch[1:] != branch[:-1]])
+        node = left[first][np.cumsum(first) - 1][~first]
+        left = left[~first]
+        parent[left], edge[left] = node, hamming(fps[left], fps[node])
+        branch = node * (64 * fps.shape[1] + 1) + edge[left]
+    return parent, edge
+
+
+def bk_hits(fps: np.ndarray, shard: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one shard within the radius, found by going down the shards' trees."""
+    parent, edge = bk_forest(fps, shard)
+    roots = np.flatnonzero(parent < 0)
+    root = roots[np.searchsorted(shard[roots], shard)]
+    span = 64 * fps.shape[1] + 1
+    children = np.argsort(parent * span + edge, kind="stable")[len(roots) :]
+    keys = parent[children] * span + edge[children]
+    for i in range(0, len(fps), QUERIES):
+        query = np.arange(i, min(i + QUERIES, len(fps)))
+        node = root[query]
+        while len(query):
+            d = hamming(fps[query], fps[node])
+            near = (d <= radius) & (query > node)
+            yield query[near], node[near]
+            low = np.searchsorted(keys, node * span + np.maximum(d - radius, 0))
+            n = np.searchsorted(keys, node * span + np.minimum(d + radius, span - 1), "right") - low
+            at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+            query, node = np.repeat(query, n), children[at]
+
+
+def bk_links(fps: np.ndarray, shard: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each row to the first row of its group: rows of a shard that are connected within the radius. ``shard`` ascends."""
+    low = np.arange(len(fps))
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def settle() -> None:
+        a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        while len(a):
+            m = np.minimum(low[a], low[b])
+            np.minimum.at(low, low[a], m)
+            np.minimum.at(low, low[b], m)
+            while (low[low] != low).any():
+                low[:] = low[low]
+            apart = low[a] != low[b]
+            a, b = a[apart], b[apart]
+
+    for pair in bk_hits(fps, shard, radius):
+        held.append(pair)
+        if sum(len(a) for a, _ in held) > 1 << 20:
+            settle()
+    if held:
+        settle()
+    row = np.flatnonzero(low != np.arange(len(fps)))
+    return row, low[row]
 
 
 def _shard_links(radius: int, similarity: float | None) -> Callable:
-    """Rows (__key, __fp, __id), with a similarity also __set, sorted by key to links (a, b) between ids; a shard may span Arrow batches."""
+    """Rows (__key, __fp, __id), with a similarity also __set and __known, sorted by key to links (a, b) between ids; a shard may span Arrow batches."""
 
     def links(rows: list[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
         table = pa.Table.from_batches(rows)
@@ -236,14 +263,18 @@ def _shard_links(radius: int, similarity: float | None) -> Callable:
         fps = np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(len(table), -1)
         ids = table.column("__id").combine_chunks()
         cut = np.flatnonzero(np.diff(key)) + 1
+        if similarity is None:
+            shard = np.zeros(len(key), np.int64)
+            shard[cut] = 1
+            a, b = bk_links(fps, np.cumsum(shard), radius)
+            yield ids.take(pa.array(a)), ids.take(pa.array(b))
+            return
+        known = table.column("__known").to_numpy()
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(key)], strict=True):
             if b - a > 1:
-                if similarity is None:
-                    got = bk_links(fps[a:b], radius)
-                else:
-                    own = table.column("__set").slice(a, b - a).combine_chunks()
-                    starts = own.offsets.to_numpy()
-                    got = set_links(fps[a:b], radius, Sets(own.flatten().to_numpy(), (starts - starts[0]).astype(np.int64), similarity))
+                own = table.column("__set").slice(a, b - a).combine_chunks()
+                starts = own.offsets.to_numpy()
+                got = set_links(fps[a:b], radius, Sets(own.flatten().to_numpy(), (starts - starts[0]).astype(np.int64), similarity), known[a:b])
                 if got:
                     at = np.array(got) + a
                     yield ids.take(pa.array(at[:, 0])), ids.take(pa.array(at[:, 1]))
@@ -271,14 +302,14 @@ def _shard_links(radius: int, similarity: float | None) -> Callable:
 
 
 def _searched(shards: DataFrame, radius: int, similarity: float | None = None) -> DataFrame:
-    """Links ``a, b`` inside shards (``__key, __fp, __id``, with a similarity also ``__set``) of bounded size, each searched in one task."""
+    """Links ``a, b`` inside shards (``__key, __fp, __id``, with a similarity also ``__set, __known``) of bounded size, each searched in one task."""
     kind = shards.schema["__id"].dataType.simpleString()
     dealt = shards.select("__key", "__fp", "__id", *_sets(similarity)).repartition("__key").sortWithinPartitions("__key")
     return dealt.mapInArrow(_shard_links(radius, similarity), f"a {kind}, b {kind}")
 
 
 def _sets(similarity: float | None) -> list[str]:
-    return [] if similarity is None else ["__set"]
+    return [] if similarity is None else ["__set", "__known"]
 
 
 def _distance(a: str, b: str, lanes: int) -> Column:
@@ -303,6 +334,8 @@ def _links(shards: DataFrame, radius: int, lanes: int, similarity: float | None
     With a similarity, the rows hold their shingles as ``__set`` and links are between similar sets only.
     """
     half = SHARD_MOST // 2
+    if similarity is not None:
+        shards = shards.withColumn("__known", F.lit(False))
     held = ["__key", "__fp", "__id", *_sets(similarity)]
     blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / half)).cast("long")
     shards = staged(shards.select(*held), "shards")
@@ -330,6 +363,8 @@ def _links(shards: DataFrame, radius: int, lanes: int, similarity: float | None
             inside = _jaccard("__set", "root_set") >= similarity
         rows = staged(rows.select(*held, "root_id", edge.alias("edge"), inside.alias("inside")), "edges")
         inside = F.col("inside")
+        if similarity is not None:
+            rows = rows.withColumn("__known", inside)  # those that the root ties together
         fringe = ~inside & (F.col("edge") <= 2 * reach)
         found.append(rows.where(inside & ~F.col("__id").eqNullSafe(F.col("root_id"))).select(F.col("__id").alias("a"), F.col("root_id").alias("b")))
         nearest = rows.where(fringe).groupBy("__key").agg(F.count(F.lit(1)).alias("n_fringe"), F.min("edge").alias("least"))
@@ -340,6 +375,8 @@ def _links(shards: DataFrame, radius: int, lanes: int, similarity: float | None
         two = _dealt(rows.where(fringe).join(counts, "__key"), blocks("n_fringe"), blocks("n_inside"), held).withColumn("__key", shard("other", "own"))
         found.append(_searched(one.select(*held).unionByName(two.select(*held)), radius, similarity))
         shards = rows.where(~inside).select(*held)
+        if similarity is not None:
+            shards = shards.withColumn("__known", F.lit(False))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -392,32 +429,43 @@ def _shared(shards: DataFrame) -> DataFrame:
     return shards.join(shards.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key"), "__key")
 
 
+def _near(rows: DataFrame, words: int, similarity: float, lanes: int) -> DataFrame:
+    """``rows``: ``__id`` (any type with an order), ``__text``. ``node, component`` of those with a partner."""
+    kind = rows.schema["__id"].dataType.simpleString()
+    radius = similarity_radius(similarity, 64 * lanes)
+    marked = staged(rows.mapInArrow(_wide(words, lanes), f"__id {kind}, __fp binary, __keys array<long>").where("size(__keys) > 1"), "wide")
+    exploded = marked.select(F.explode("__keys").alias("__key"), "__fp", "__id")
+    near = staged(_links(_shared(exploded), radius, lanes), "near")
+    # Only documents with a candidate take their shingles along; those tied together by candidates are one shard.
+    tied = connected_components(near, staged)
+    tied = staged(tied.select(F.col("node").alias("__id"), F.xxhash64("component").alias("__key")).join(marked.select("__id", "__fp").dropDuplicates(["__id"]), "__id"), "candidates")
+    shards = rows.join(tied, "__id").mapInArrow(_shingle_sets(words), f"__id {kind}, __key long, __fp binary, __set array<long>")
+    links = staged(_links(shards, radius, lanes, similarity), "similar")
+    dropped(marked, near, tied)
+    return connected_components(links, staged)
+
+
 def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Near-duplicate groups of whole documents: ``id_col, group_id, group_size`` for rows that have a partner.
+    """Near-duplicate groups of whole documents: ``id_col, group_id, group_size`` for documents that have a partner.
 
     Documents are linked when their sets of ``words``-word shingles have a Jaccard similarity of ``similarity`` or more.
     Candidates are documents that share two smallest shingle hashes and whose fingerprints of 64 * ``lanes`` bits lie
     within a radius that practically no such pair exceeds; every link is compared shingle by shingle (64-bit hashes of them).
-    Rows without words or without an id form no groups. ``group_id`` is the smallest id of the group. Ids must be distinct.
+    Rows without words or without an id form no groups. ``group_id`` is the smallest id of the group. Rows that share an id
+    and not the text are documents of their own; rows alike in both are one.
     """
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where(F.col("__id").isNotNull())
-    kind = rows.schema["__id"].dataType.simpleString()
-    radius = similarity_radius(similarity, 64 * lanes)
-    marked = staged(rows.mapInArrow(_wide(words, lanes), f"__id {kind}, __fp binary, __keys array<long>").where("size(__keys) > 1"), "wide")
-    exploded = marked.select(F.explode("__keys").alias("__key"), "__fp", "__id")
-    near = staged(_links(_shared(exploded), radius, lanes), "near")
-    # Only documents with a candidate take their shingles along.
-    ids = staged(near.select(F.explode(F.array("a", "b")).alias("__id")).distinct(), "candidates")
-    sets = staged(rows.join(ids, "__id").mapInArrow(_shingle_sets(words), f"__id {kind}, __set array<long>"), "shingles")
-    shards = _shared(staged(exploded.join(ids, "__id"), "candidate-shards"))
-    links = staged(_links(shards.join(sets, "__id"), radius, lanes, similarity), "similar")
-    components = connected_components(links, staged)
+    rows = keyed_rows(docs, id_col, text_col).where(F.col("__id").isNotNull()).select(F.struct("__id", "__tie").alias("__id"), "__text")
+    components = staged(_near(rows, words, similarity, lanes), "near-groups")
     size = components.groupBy("component").agg(F.count(F.lit(1)).alias("group_size"))
-    return components.join(size, "component").select(F.col("node").alias(id_col), F.col("component").alias("group_id"), "group_size")
+    return components.join(size, "component").select(F.col("node.__id").alias(id_col), F.col("component.__id").alias("group_id"), "group_size")
 
 
 def without_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, without those that have a near copy with a smaller id in their group."""
-    groups = near_groups(docs, words, similarity, id_col=id_col, text_col=text_col)
-    others = groups.where(F.col(id_col) > F.col("group_id")).select(F.col(id_col).alias("__goes"))
-    return docs.join(others, docs[id_col] == others["__goes"], "left_anti")
+    """The rows of ``docs``, all columns as they are, without those of a group other than its first document.
+
+    The first is the one with the smallest id (of rows that share it, the smallest SHA-256 of the text). Rows that share an id
+    are judged by their own text; rows alike in both share their fate."""
+    rows = keyed_rows(docs, id_col, text_col, whole=True)
+    near = _near(rows.where(F.col("__id").isNotNull()).select(F.struct("__id", "__tie").alias("__id"), "__text"), words, similarity, 4)
+    goes = staged(near.where("node <> component").select(F.col("node.__id").alias("__gid"), F.col("node.__tie").alias("__gtie")), "near-copies")
+    return rows.join(small(goes), (F.col("__id") == F.col("__gid")) & (F.col("__tie") == F.col("__gtie")), "left_anti").select("__row.*")
