@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from tests.llm.helpers import documents, frame
 from touchline.llm import substring
 
@@ -40,8 +41,36 @@ def test_short_windows_and_loops(spark):
     assert result(substring.remove_repeats(frame(spark, rows), window=5, anchor=2)) == brute(rows, 5)
 
 
+def spans(spark, rows, **more):
+    return substring.repeated_spans(substring.keyed_rows(frame(spark, rows), "doc_id", "text"), **more).collect()
+
+
 def test_spans_name_their_source(spark):
     passage = " ".join(f"p{i}" for i in range(60))
-    rows = [(4, "x y " + passage), (9, passage + " z")]
-    (span,) = substring.repeated_spans(frame(spark, rows)).collect()
-    assert (span["__id"], span.start, span.n, span.source) == (9, 0, 60, 4)
+    (span,) = spans(spark, [(4, "x y " + passage), (9, passage + " z")])
+    assert (span["__id"], span.start, span.n, span.sid, span.sstart) == (9, 0, 60, 4, 2)
+
+
+def test_paths_end_where_the_graph_branches(spark):
+    """Two documents repeat a passage and go on in two ways that others repeat: one path to the fork, one for each way."""
+    head, ways = [f"p{i}" for i in range(30)], [[f"{c}{i}" for i in range(20)] for c in "xy"]
+    texts = [(k, " ".join(head + ways[k % 2])) for k in range(1, 5)]
+    texts[2] = (3, texts[2][1] + " other")
+    texts[3] = (4, "other " + texts[3][1])
+    got = {(r["__id"], r.start, r.n, r.sid, r.sstart) for r in spans(spark, texts)}
+    # The fork's node is the passage's last 12 words: the edge into it is the last of the first path.
+    assert got == {(2, 0, 30, 1, 0), (3, 0, 30, 1, 0), (3, 18, 32, 1, 18), (4, 1, 30, 1, 0), (4, 19, 32, 2, 18)}
+
+
+@pytest.mark.parametrize("bits", [1, 6, 12])
+def test_words_whose_hashes_meet_by_chance_are_kept(spark, bits):
+    rows = documents(n=25)
+    assert result(substring.remove_repeats(frame(spark, rows), bits=bits)) == brute(rows, 13)
+
+
+def test_many_anchors_and_hot_edges(spark, monkeypatch):
+    """Windows picked by a join instead of the bitmap, and edges joined by broadcast, give the same."""
+    rows = documents()
+    for name, value in (("FILTER_ANCHORS", 0), ("HOT_ROWS", 2), ("HOT_SHARE", 10**9), ("BROADCAST_GROUPS", 0)):
+        monkeypatch.setattr(substring, name, value)
+    assert result(substring.remove_repeats(frame(spark, rows))) == brute(rows, 13)

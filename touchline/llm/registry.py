@@ -45,7 +45,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.substring import remove_repeats
 
-    return remove_repeats(_table(spark, sf_dir, "documents"), window=13).drop("kept_text")
+    return remove_repeats(_table(spark, sf_dir, "documents"), window=13, keep_text=False)
 
 
 def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
