@@ -68,7 +68,7 @@ def test_units_that_share_twenty_bits_are_counted_apart(spark):
     rows = [(i, " ".join(rnd.choices(words, k=40) + [toxic if i % 4 == 0 else clean] * 3 + rnd.choices(words, k=40))) for i in range(200)]
     docs = frame(spark, rows)
     model = toxicity.fit(docs, docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic")), hold_out=False)
-    of_toxic, of_clean = model.scores.of([toxic.encode(), clean.encode()])
+    of_toxic, of_clean = model.scores.of(*toxicity.Units().of([toxic.encode(), clean.encode()], np.ones(2)))
     assert of_toxic > 0 > of_clean
     assert {r.doc_id for r in toxicity.toxic_passages(docs, model).collect()} == {i for i in range(200) if i % 4 == 0}
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from functools import lru_cache
 
 import numpy as np
@@ -92,7 +94,54 @@ def ascii_lower(text: Column) -> Column:
 
 
 #: Bytes of text worked on at a time inside a task: what a task holds for its words follows from this, not from the corpus.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Large objects that a worker keeps from task to task, by name.
+kept_objects: dict[str, object] = {}
+
+
+def arrow_task(run: Callable, keep: bool = False) -> Callable:
+    """``run`` (Arrow batches to Arrow batches) that leaves no memory behind in a worker that goes on to other tasks.
+
+    Objects kept for later tasks go too, unless ``keep`` says that this task uses them."""
+
+    def tidy() -> None:
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    def task(batches):
+        if not keep and kept_objects:
+            kept_objects.clear()
+            tidy()
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return task
+
+
+class Memory:
+    """What words that occur more than once in a slice came to, in two halves: when the newer is full, the older is forgotten."""
+
+    def __init__(self, most: int, longest: int = 48):
+        self.most, self.longest, self.new, self.old = most, longest, {}, {}
+
+    def all(self, words: list) -> list:
+        """What is kept of each word; None where nothing is."""
+        found = list(map(self.new.get, words))
+        if self.old:
+            for i in [i for i, x in enumerate(found) if x is None]:
+                if (value := self.old.get(words[i])) is not None:
+                    found[i] = value
+                    self.put(words[i], value)
+        return found
+
+    def put(self, word, value) -> None:
+        if len(word) <= self.longest:
+            if len(self.new) >= self.most:
+                self.old, self.new = self.new, {}
+            self.new[word] = value
 
 
 def clean_texts(column: pa.Array) -> pa.Array:

@@ -35,11 +35,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import clean_texts, dropped, keyed_rows, mixed, shingle_hashes, slice_hashes, slices, small, staged
+from touchline.llm.common import arrow_task, clean_texts, dropped, keyed_rows, mixed, shingle_hashes, slice_hashes, slices, small, staged
 from touchline.operators.graph import connected_components
 
 #: Queries that go down the trees together.
-QUERIES = 4096
+QUERIES = 2048
 #: Fingerprints a block shard holds on average, before more blocks are used.
 SHARD_ROWS = 512
 #: Rows of a shard that are searched in one task, and roots taken out of a larger one before it is searched in blocks.
@@ -109,7 +109,7 @@ def _wide(words: int, lanes: int) -> Callable:
                 keys.append([k - (1 << 64) if k >= 1 << 63 else k for k in _band_keys(shingles)] if len(shingles) else [0])
             yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["__id", "__fp", "__keys"])
 
-    return run
+    return arrow_task(run)
 
 
 def _shingle_sets(words: int) -> Callable:
@@ -120,7 +120,7 @@ def _shingle_sets(words: int) -> Callable:
                 sets = [x.view(np.int64) for x in shingle_sets(clean_texts(own.column("__text")), words)]
                 yield pa.RecordBatch.from_arrays([own.column("__id"), own.column("__key"), own.column("__fp"), pa.array(sets, pa.list_(pa.int64()))], names=["__id", "__key", "__fp", "__set"])
 
-    return run
+    return arrow_task(run)
 
 
 def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -298,7 +298,7 @@ def _shard_links(radius: int, similarity: float | None) -> Callable:
         for a, b in links(kept) if kept else ():
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
-    return run
+    return arrow_task(run)
 
 
 def _searched(shards: DataFrame, radius: int, similarity: float | None = None) -> DataFrame:
@@ -405,7 +405,7 @@ def fingerprint_components(docs: DataFrame, radius: int = 4, id_col: str = "doc_
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     kind = rows.schema["__id"].dataType.simpleString()
-    marked = staged(rows.mapInArrow(_fingerprints, f"__id {kind}, __fp binary"), "fingerprints")
+    marked = staged(rows.mapInArrow(arrow_task(_fingerprints), f"__id {kind}, __fp binary"), "fingerprints")
     distinct = staged(marked.groupBy("__fp").agg(F.min("__id").alias("__low")), "distinct")
     value = F.conv(F.hex("__fp"), 16, -10).cast("long")
     nodes = distinct.select("__fp", value.alias("__id"))
@@ -439,7 +439,7 @@ def _near(rows: DataFrame, words: int, similarity: float, lanes: int) -> DataFra
     # Only documents with a candidate take their shingles along; those tied together by candidates are one shard.
     tied = connected_components(near, staged)
     tied = staged(tied.select(F.col("node").alias("__id"), F.xxhash64("component").alias("__key")).join(marked.select("__id", "__fp").dropDuplicates(["__id"]), "__id"), "candidates")
-    shards = rows.join(tied, "__id").mapInArrow(_shingle_sets(words), f"__id {kind}, __key long, __fp binary, __set array<long>")
+    shards = rows.join(small(tied), "__id").mapInArrow(_shingle_sets(words), f"__id {kind}, __key long, __fp binary, __set array<long>")
     links = staged(_links(shards, radius, lanes, similarity), "similar")
     dropped(marked, near, tied)
     return connected_components(links, staged)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import clean_texts, dropped, keyed_rows, shingle_hashes, slice_hashes, slices, small, staged
+from touchline.llm.common import arrow_task, clean_texts, dropped, keyed_rows, shingle_hashes, slice_hashes, slices, small, staged
 
 #: Bits of the anchor filter (16 MB), and repeated anchors up to which it is used.
 FILTER_BITS, FILTER_ANCHORS = 1 << 27, 1 << 24
@@ -78,7 +78,7 @@ def _anchors(window: int, anchor: int):
                 new = np.concatenate([[True], (row[1:] != row[:-1]) | (low[1:] != low[:-1])]) if len(low) else np.zeros(0, bool)
                 yield pa.RecordBatch.from_arrays([pa.array(low[new].view(np.int64), pa.int64())], names=["h"])
 
-    return run
+    return arrow_task(run)
 
 
 def _runs(window: int, anchor: int, salt: int, bits: int, shared):
@@ -106,7 +106,7 @@ def _runs(window: int, anchor: int, salt: int, bits: int, shared):
                 own, word = pa.array(row[first] + i), pa.array(at[first] - starts[row[first]], pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column("__id").take(own), batch.column("__tie").take(own), word, lists, pa.array(low[first].view(np.int64))], names=["__id", "__tie", "start", "nodes", "h"])
 
-    return run
+    return arrow_task(run)
 
 
 def _spoken(batches):
@@ -151,7 +151,7 @@ def _kept(keep_text: bool):
             names = ["__id", "n_words", "n_removed", "kept_sha256", "n_false"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(kept_texts, pa.string())] if keep_text else columns, names=[*names, "kept_text"] if keep_text else names)
 
-    return run
+    return arrow_task(run)
 
 
 def _with_first(rows: DataFrame) -> DataFrame:
@@ -250,7 +250,7 @@ def _sources(rows: DataFrame, spans: DataFrame) -> DataFrame:
     wanted = staged(wanted.select(F.col("sid").alias("__wid"), F.col("stie").alias("__wtie"), "wanted"), "wanted")
     same = (F.col("__id") == F.col("__wid")) & (F.col("__tie") == F.col("__wtie"))
     texts = rows.join(small(wanted.select("__wid", "__wtie")), same, "left_semi").join(wanted, same).select("__id", "__tie", "__text", "wanted")
-    return texts.mapInArrow(_spoken, f"sid {kind}, stie binary, sstart int, n int, words string")
+    return texts.mapInArrow(arrow_task(_spoken), f"sid {kind}, stie binary, sstart int, n int, words string")
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = 5, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, bits: int = 64) -> DataFrame:

@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import clean_texts, slices, staged
-from touchline.llm.tokens import encode_slice, tokenizer
+from touchline.llm.common import arrow_task, clean_texts, slices, staged
+from touchline.llm.tokens import ENCODED_BYTES, encode_slice, tokenizer
 
 #: Rows between two entries of a file's row index; a reader skips whole stretches by their smallest and largest id.
 INDEX_STRIDE = 1000
@@ -24,7 +24,7 @@ def _lists(path: str, end_id: int):
         tok, row = tokenizer(path), 0
         for batch in batches:
             texts = clean_texts(batch.column("__text"))
-            for i, j in slices(texts):
+            for i, j in slices(texts, ENCODED_BYTES):
                 ids, starts = encode_slice(tok, texts.slice(i, j - i))
                 offsets = starts + np.arange(len(starts))
                 flat, own = np.full(offsets[-1], end_id, np.int32), np.ones(offsets[-1], bool)
@@ -34,7 +34,7 @@ def _lists(path: str, end_id: int):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), lists, pa.array(np.arange(row, row + j - i))], names=["doc_id", "ids", "row"])
                 row += j - i
 
-    return encode
+    return arrow_task(encode, keep=True)
 
 
 def write_token_orc(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, files: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -87,7 +87,7 @@ def token_offsets(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = spark.read.orc(path).select("doc_id", "ids", "row", F.col("_metadata.file_name").alias("file"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    per = staged(rows.mapInArrow(_digests, f"doc_id {kind}, n_tokens long, ids_crc32 long, row long, file string"), "token-digests")
+    per = staged(rows.mapInArrow(arrow_task(_digests), f"doc_id {kind}, n_tokens long, ids_crc32 long, row long, file string"), "token-digests")
     files = per.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     number = F.regexp_extract("file", "part-([0-9]+)", 1).cast("long")
     before = Window.orderBy(F.col("lo").asc_nulls_first(), F.col("hi").asc_nulls_first(), number, "file").rowsBetween(Window.unboundedPreceding, -1)

@@ -28,41 +28,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import clean_texts, slices
+from touchline.llm.common import Memory, arrow_task, clean_texts, kept_objects, slices
 
-#: Words that each half of a memory keeps (some 16 MB), and the longest word it keeps.
-KEPT_WORDS, KEPT_LENGTH = 100_000, 48
+#: Words that each half of a memory keeps (some 12 MB), and bytes of text encoded at a time.
+KEPT_WORDS, ENCODED_BYTES = 80_000, 2 << 20
 #: A word with ASCII punctuation at its end that follows a Latin letter; no apostrophes, which may belong to a contraction.
 TAILED = r"(?s)^(?P<core>.*[A-Za-zÀ-ÖØ-öø-įı-ɏ])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
 #: Characters other than those whose lower case is the same whatever stands around them.
 NOT_LATIN = r"[^\x{0}-\x{12F}\x{131}-\x{24F}]"
 SPACE_SIGN = "▁"
 
-_loaded: dict[str, object] = {}
-
-
-class Memory:
-    """What words that occur more than once in a slice came to, in two halves: when the newer is full, the older is forgotten."""
-
-    def __init__(self, most: int = KEPT_WORDS):
-        self.most, self.new, self.old = most, {}, {}
-
-    def all(self, words: list[str]) -> list:
-        """What is kept of each word; None where nothing is."""
-        found = list(map(self.new.get, words))
-        if self.old:
-            for i in [i for i, x in enumerate(found) if x is None]:
-                if (value := self.old.get(words[i])) is not None:
-                    found[i] = value
-                    self.put(words[i], value)
-        return found
-
-    def put(self, word: str, value) -> None:
-        if len(word) <= KEPT_LENGTH:
-            if len(self.new) >= self.most:
-                self.old, self.new = self.new, {}
-            self.new[word] = value
-
 
 class WordTokenizer:
     """A ``tokenizers`` file; ``ids`` gives the little-endian unsigned 32-bit ids of words as bytes."""
@@ -81,7 +56,7 @@ class WordTokenizer:
         rules = spec.get("normalizer") or {}
         self.lowers = any(r.get("type") == "Lowercase" for r in rules.get("normalizers") or [rules])
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.kept = Memory()
+        self.kept = Memory(KEPT_WORDS)
 
     @staticmethod
     def _word_end_ids(spec: dict) -> np.ndarray | None:
@@ -163,7 +138,7 @@ class PieceTokenizer:
             model.ParseFromString(f.read())
         rules = model.normalizer_spec
         self.by_word = bool(rules.add_dummy_prefix and rules.escape_whitespaces and not rules.remove_extra_whitespaces and not rules.precompiled_charsmap and not any(SPACE_SIGN in p.piece.lstrip(SPACE_SIGN) or p.type == 4 for p in model.pieces))
-        self.kept = Memory()
+        self.kept = Memory(KEPT_WORDS)
 
     def whole(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.inner.encode(texts, num_threads=1)]
@@ -185,10 +160,10 @@ class PieceTokenizer:
 
 def tokenizer(path: str):
     """The tokenizer of a file, loaded once a worker; a worker keeps one at a time."""
-    if path not in _loaded:
-        _loaded.clear()
-        _loaded[path] = PieceTokenizer(path) if path.endswith(".model") else WordTokenizer(path)
-    return _loaded[path]
+    if path not in kept_objects:
+        kept_objects.clear()
+        kept_objects[path] = PieceTokenizer(path) if path.endswith(".model") else WordTokenizer(path)
+    return kept_objects[path]
 
 
 def encode_slice(tok: WordTokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -237,10 +212,10 @@ def _counter(path: str, keys: list[str]) -> Callable:
         tok = tokenizer(path)
         for batch in batches:
             texts = clean_texts(batch.column("__text"))
-            n = [count_slice(tok, texts.slice(i, j - i)) for i, j in slices(texts)]
+            n = [count_slice(tok, texts.slice(i, j - i)) for i, j in slices(texts, ENCODED_BYTES)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pc.binary_length(texts).cast(pa.int64()), pa.array(np.concatenate(n) if n else np.zeros(0, np.int64), pa.int64())], names=[*keys, "n_bytes", "n_tokens"])
 
-    return count
+    return arrow_task(count, keep=True)
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,7 +237,7 @@ def _piece_encoder(path: str, end_id: int, most: int | None, keep_ids: bool, key
         tok = tokenizer(path)
         for batch in batches:
             texts = clean_texts(batch.column("__text"))
-            for i, j in slices(texts):
+            for i, j in slices(texts, ENCODED_BYTES):
                 ids, starts = encode_slice(tok, texts.slice(i, j - i))
                 raw = memoryview(np.ascontiguousarray(ids)).cast("B")
                 row, piece, start, length, crc, data = [], [], [], [], [], []
@@ -287,7 +262,7 @@ def _piece_encoder(path: str, end_id: int, most: int | None, keep_ids: bool, key
                     columns, names = [*columns, pa.array(data, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), *columns], names=[*keys, *names])
 
-    return encode
+    return arrow_task(encode, keep=True)
 
 
 def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, max_tokens: int | None = None, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:

@@ -16,9 +16,9 @@ hashes; lambda, K and the curve are fitted on each fold with the scores learnt f
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import clean_texts, dropped, slice_words, slices, staged, word_lengths_to_starts
+from touchline.llm.common import Memory, arrow_task, clean_texts, dropped, kept_objects, slice_words, slices, staged, word_lengths_to_starts
 
 #: Units a counting task holds before it hands on their counts.
 HELD_UNITS = 1 << 19
+#: Words that each half of a task's memory keeps (some 8 MB).
+KEPT_WORDS = 40_000
 #: Labelled documents used for fitting at most: those with the smallest hashes of their ids.
 MAX_LABELLED = 40_000
 #: Parts of the labelled documents, each scored with what the others teach.
@@ -69,11 +71,20 @@ def unit_hashes(word: bytes) -> list[int]:
     return [digest(u.encode()) for u in ([text] if text else []) + [f"^{text[:n]}" for n in PREFIXES if n < len(text)]]
 
 
-def all_units(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The units of all words, one after the other, and where each word's start, with the end."""
-    own = [unit_hashes(w) for w in words]
-    starts = word_lengths_to_starts(np.fromiter(map(len, own), np.int64, len(own)))
-    return np.fromiter(chain.from_iterable(own), np.uint64, int(starts[-1])), starts
+class Units:
+    """The units of words; those of words that are frequent at present are kept."""
+
+    def __init__(self):
+        self.kept = Memory(KEPT_WORDS)
+
+    def of(self, words: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The units of distinct words, one word after the other, and where each word's start, with the end."""
+        found = self.kept.all(words)
+        for i in [i for i, x in enumerate(found) if x is None]:
+            found[i] = array("Q", unit_hashes(words[i])).tobytes()
+            if times[i] > 1:
+                self.kept.put(words[i], found[i])
+        return np.frombuffer(b"".join(found), np.uint64), word_lengths_to_starts(np.fromiter(map(len, found), np.int64, len(found)) // 8)
 
 
 @dataclass(frozen=True)
@@ -84,35 +95,36 @@ class UnitScores:
     odds: np.ndarray
     z: np.ndarray
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Score of each word: the log-odds of its unit that stands out most, the first of equal ones; DRIFT if none does."""
-        if not len(self.units) or not words:
-            return np.full(len(words), DRIFT)
-        flat, starts = all_units(words)
+    def of(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Score of each word, given its units: the log-odds of the one that stands out most, the first of equal ones; DRIFT if none does."""
+        n = len(starts) - 1
+        if not len(self.units) or not n:
+            return np.full(n, DRIFT)
         at = np.minimum(np.searchsorted(self.units, flat), len(self.units) - 1)
         known = self.units[at] == flat
-        row = np.repeat(np.arange(len(words)), np.diff(starts))
-        z, odds = np.zeros((2, len(words), 1 + len(PREFIXES)))
+        row = np.repeat(np.arange(n), np.diff(starts))
+        z, odds = np.zeros((2, n, 1 + len(PREFIXES)))
         column = np.arange(len(flat)) - starts[row]
         z[row, column], odds[row, column] = np.where(known, np.abs(self.z[at]), 0), self.odds[at]
         best = z.argmax(axis=1)
-        there = np.arange(len(words))
+        there = np.arange(n)
         return np.where(z[there, best] > 0, odds[there, best], DRIFT)
 
 
-def _scored_texts(texts: pa.Array, scores: list[UnitScores], fold: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+def _scored_texts(texts: pa.Array, units: Units, scores: list[UnitScores], fold: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """(row, scores of its words) for each text, with the scores that belong to its fold."""
     for i, j in slices(texts):
         words, codes, starts = slice_words(texts.slice(i, j - i))
-        by_word = [s.of(words) for s in scores]
+        own = units.of(words, np.bincount(codes, minlength=len(words)))
+        by_word = [s.of(*own) for s in scores]
         for k in range(j - i):
             yield i + k, by_word[0 if fold is None else fold[i + k]][codes[starts[k] : starts[k + 1]]]
 
 
-def _slice_counts(texts: pa.Array, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _slice_counts(texts: pa.Array, kind: np.ndarray, units_of: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(unit, kind, documents): how many documents hold each unit; kind 0 counts all documents, others those of that kind."""
     words, codes, starts = slice_words(texts)
-    flat, first = all_units(words)
+    flat, first = units_of.of(words, np.bincount(codes, minlength=len(words)))
     units, local = np.unique(flat, return_inverse=True)
     if not len(units):
         return units, np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -129,6 +141,7 @@ def _slice_counts(texts: pa.Array, kind: np.ndarray) -> tuple[np.ndarray, np.nda
 def _document_counts(batches):
     """(text, kind) to (unit, kind, docs): partial counts; kind is 0 for rows without a label."""
     held: list[tuple] = []
+    units_of = Units()
 
     def merged() -> pa.RecordBatch:
         unit, kind, docs = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -141,7 +154,7 @@ def _document_counts(batches):
     for batch in batches:
         texts, kind = clean_texts(batch.column("__text")), batch.column("kind").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         for i, j in slices(texts):
-            held.append(_slice_counts(texts.slice(i, j - i), kind[i:j]))
+            held.append(_slice_counts(texts.slice(i, j - i), kind[i:j], units_of))
             if sum(len(x[0]) for x in held) >= HELD_UNITS:
                 yield merged()
                 held.clear()
@@ -231,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     kind = 1 + 2 * F.col("fold") + F.col("label").cast("boolean").cast("int")
     marked = rows.join(F.broadcast(once), "__id", "left").select("__text", kind.cast("int").alias("kind"))
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("docs")))
-    counts = marked.mapInArrow(_document_counts, "unit long, kind int, docs long").groupBy("unit")
+    counts = marked.mapInArrow(arrow_task(_document_counts), "unit long, kind int, docs long").groupBy("unit")
     counts = staged(counts.agg(of(0).alias("docs"), *(of(1 + 2 * f + y).alias(f"y{y}_{f}") for f in range(FOLDS) for y in (0, 1))), "counts")
     seen = lambda y, left_out: sum((F.coalesce(f"y{y}_{f}", F.lit(0)) for f in range(FOLDS) if f != left_out), F.lit(0))
     models = [None, *range(FOLDS)]  # with all folds, and without each
@@ -263,9 +276,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def profile(batches):
         """Per clean fitted document: tokens, best segment; with a batch's first row, its tokens by class of score."""
+        units = Units()
         for batch in batches:
             tokens, best, classes = [], [], np.zeros(CLASSES, np.int64)
-            for _, own in _scored_texts(clean_texts(batch.column("__text")), folds.value, batch.column("fold").to_numpy()):
+            for _, own in _scored_texts(clean_texts(batch.column("__text")), units, folds.value, batch.column("fold").to_numpy()):
                 tokens.append(len(own))
                 best.append(max((s for _, _, s in maximal_segments(own)), default=0.0))
                 classes += np.bincount(np.minimum(own[own > 0] / CLASS_WIDTH, CLASSES - 1).astype(np.int64), minlength=CLASSES)
@@ -274,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     fitted = rows.join(F.broadcast(once), "__id")
     # MAX_LABELLED rows at most
-    clean = fitted.where("label = 0").select("__text", "fold").mapInArrow(profile, "tokens long, best double, classes array<long>").toPandas()
+    clean = fitted.where("label = 0").select("__text", "fold").mapInArrow(arrow_task(profile), "tokens long, best double, classes array<long>").toPandas()
     seen_classes = np.sum([np.array(x) for x in clean["classes"] if x is not None] or [np.zeros(CLASSES)], axis=0)
     lam = _root(seen_classes, max(1.0, float(clean["tokens"].sum())), float(max(scores.odds, default=1.0)))
     best, tokens = clean["best"].to_numpy(), clean["tokens"].to_numpy()
@@ -282,11 +296,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     k = (len(best) + 1) / (float((tokens * np.exp(-lam * best)).sum()) + 1)
 
     def weigh(batches):
+        units = Units()
         for batch in batches:
-            x = [evidence(own, lam, k)[0] for _, own in _scored_texts(clean_texts(batch.column("__text")), folds.value, batch.column("fold").to_numpy())]
+            x = [evidence(own, lam, k)[0] for _, own in _scored_texts(clean_texts(batch.column("__text")), units, folds.value, batch.column("fold").to_numpy())]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x, pa.float64())], names=["label", "x"])
 
-    points = fitted.select("__text", "fold", "label").mapInArrow(weigh, "label int, x double").toPandas()  # MAX_LABELLED rows at most
+    points = fitted.select("__text", "fold", "label").mapInArrow(arrow_task(weigh), "label int, x double").toPandas()  # MAX_LABELLED rows at most
     folds.destroy()
     dropped(known, once, counts)
     intercept, slope = _logistic(np.sqrt(np.maximum(points["x"].to_numpy(), 0)), (points["label"] != 0).to_numpy(float))
@@ -313,8 +328,10 @@ def _scoring(model: ToxicityModel) -> Callable:
 
     @F.arrow_udf("double")
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kept_objects.clear()
+        units = Units()
         for column in columns:
-            x = [evidence(own, model.lam, model.k)[0] for _, own in _scored_texts(clean_texts(column), [model.scores])]
+            x = [evidence(own, model.lam, model.k)[0] for _, own in _scored_texts(clean_texts(column), units, [model.scores])]
             yield pa.array(1 / (1 + np.exp(-np.clip(model.intercept + model.slope * np.sqrt(np.maximum(x, 0.0)), -700, 700))), pa.float64())
 
     return score
@@ -332,8 +349,9 @@ def toxic_passages(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     repeated rows give theirs again."""
 
     def passages(batches):
+        units = Units()
         for batch in batches:
-            found = [evidence(own, model.lam, model.k)[1] for _, own in _scored_texts(clean_texts(batch.column("__text")), [model.scores])]
+            found = [evidence(own, model.lam, model.k)[1] for _, own in _scored_texts(clean_texts(batch.column("__text")), units, [model.scores])]
             at = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
             flat = [s for f in found for s in f]
             columns = [pa.array([s[c] for s in flat], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
@@ -341,7 +359,7 @@ def toxic_passages(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     kind = source.schema["__id"].dataType.simpleString()
-    return source.mapInArrow(passages, f"__id {kind}, first_word long, n_words long, passage_score double, chance double").withColumnRenamed("__id", id_col)
+    return source.mapInArrow(arrow_task(passages), f"__id {kind}, first_word long, n_words long, passage_score double, chance double").withColumnRenamed("__id", id_col)
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
