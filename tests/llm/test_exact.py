@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
 from tests.llm.helpers import documents, frame
 from touchline.llm import exact
 
@@ -42,3 +44,21 @@ def test_history_of_earlier_batches(spark):
     new = spark.createDataFrame([(7, "a  b"), (8, "new"), (9, "new")], "doc_id long, text string")
     got = {r.doc_id: (r.keep_id, r.kept) for r in exact.exact_groups(new, known).collect()}
     assert got == {7: (1, False), 8: (8, True), 9: (8, False)}
+
+
+def test_known_digests_that_repeat_or_are_null(spark):
+    docs = frame(spark, [(1, "a"), (2, "b"), (3, "a"), (4, None)])
+    digest = docs.select(exact.digest_of(F.col("text")).alias("digest")).where("doc_id = 1")
+    known = digest.select("digest", F.lit(90).cast("long").alias("winner"), F.lit(2).alias("copies"))
+    known = known.unionByName(known.withColumn("winner", F.lit(80).cast("long"))).unionByName(known.withColumn("digest", F.lit(None).cast("binary")))
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact.exact_groups(docs, known).collect()}
+    assert got == {1: (80, 4), 3: (80, 4), 2: (2, 1), 4: (4, 1)}
+    with pytest.raises(ValueError, match="distinct"):
+        exact.place_keys([b"x", b"x"], [0, 0])
+
+
+def test_lookup_replaces_columns_of_its_names(spark):
+    rows = frame(spark, [(1, "a"), (2, "b")]).withColumn("digest", exact.digest_of(F.col("text"))).withColumn("slot", F.lit(5))
+    index = exact.build_index(rows.select("digest", F.col("doc_id").alias("winner"), F.lit(1).alias("copies")).where("winner = 1"))
+    got = {r.doc_id: (r.winner, r.copies, r["__member"], r.slot) for r in exact.lookup(rows, index).collect()}
+    assert got == {1: (1, 1, True, 5), 2: (None, None, False, 5)}

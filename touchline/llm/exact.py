@@ -14,6 +14,8 @@ from touchline.llm.common import staged
 
 #: Digests a shard holds on average, and the buckets a shard divides them into.
 SHARD_KEYS, BUCKETS = 4096, 1024
+#: Pilots tried for a bucket; a full table of 4,096 keys needs some thousands at most.
+MOST_PILOTS = 10_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -41,6 +43,8 @@ def place_keys(digests: list[bytes], buckets: list[int]) -> tuple[list[int], lis
     free slots; a bucket of one key gets a free slot itself, kept as the negative pilot ``-1 - slot``.
     """
     n = len(digests)
+    if len(set(digests)) < n or None in digests:
+        raise ValueError("digests must be distinct and not null")
     inside: dict[int, list[int]] = {}
     for i, b in enumerate(buckets):
         inside.setdefault(b, []).append(i)
@@ -50,12 +54,12 @@ def place_keys(digests: list[bytes], buckets: list[int]) -> tuple[list[int], lis
         if len(keys) == 1:
             single.append(keys[0])
             continue
-        pilot = 0
-        while True:
+        for pilot in range(MOST_PILOTS):
             got = [slot_hash(digests[i], pilot, n) for i in keys]
             if len(set(got)) == len(got) and all(free[got]):
                 break
-            pilot += 1
+        else:
+            raise ValueError(f"no pilot below {MOST_PILOTS} places a bucket of {len(keys)} digests")
         for i, s in zip(keys, got, strict=True):
             pilots[i], slots[i], free[s] = pilot, s, False
     for i, s in zip(single, np.flatnonzero(free).tolist(), strict=True):
@@ -83,8 +87,11 @@ class DigestIndex:
 
 
 def build_index(known: DataFrame) -> DigestIndex:
-    """``known``: one row a distinct digest (``digest, winner, copies``). Shards are built in parallel tasks."""
-    known = staged(known.select("digest", "winner", F.col("copies").cast("long").alias("copies")), "digests")
+    """``known``: digests with their winners and copies (``digest, winner, copies``). Shards are built in parallel tasks.
+
+    A digest that comes several times has the smallest of its winners and the sum of its copies; null digests are left out."""
+    once = known.where("digest is not null").groupBy("digest").agg(F.min("winner").alias("winner"), F.sum(F.col("copies").cast("long")).alias("copies"))
+    known = staged(once, "digests")
     shards = max(1, -(-known.count() // SHARD_KEYS))
     shard, bucket = _where(F.col("digest"), shards)
     kind = known.schema["winner"].dataType.simpleString()
@@ -94,20 +101,21 @@ def build_index(known: DataFrame) -> DigestIndex:
 
 
 def lookup(rows: DataFrame, index: DigestIndex) -> DataFrame:
-    """``rows`` with ``winner`` and ``copies`` of their digest; both null where the index doesn't hold it.
+    """``rows`` with ``winner``, ``copies`` and ``__member`` of their digest, in place of columns of these names; the first two null
+    and the last false where the index doesn't hold it or the digest is null.
 
     Digest to bucket, bucket to pilot, pilot to slot; the slot's full digest is compared byte for byte. Both joins are
     left joins that adaptive execution can split, so a digest that a third of the rows share is no bottleneck.
     """
     shard, bucket = _where(F.col("digest"), index.shards)
-    at = rows.withColumns({"__shard": shard, "__bucket": bucket})
-    pilots = index.pilots.select(F.col("shard").alias("__shard"), F.col("bucket").alias("__bucket"), F.col("pilot").alias("__pilot"), F.col("n").alias("__n"))
-    at = at.join(pilots, ["__shard", "__bucket"], "left")
-    slot = F.when(F.col("__pilot") < 0, -1 - F.col("__pilot")).otherwise(F.pmod(F.xxhash64("digest", "__pilot"), F.col("__n")))
-    slots = index.slots.select(F.col("shard").alias("__shard"), F.col("slot").alias("__slot"), F.col("digest").alias("__digest"), "winner", "copies")
-    at = at.withColumn("__slot", slot).join(slots, ["__shard", "__slot"], "left")
-    same = F.col("digest") == F.col("__digest")
-    return at.withColumns({"winner": F.when(same, F.col("winner")), "copies": F.when(same, F.col("copies")), "__member": F.coalesce(same, F.lit(False))}).select(*rows.columns, "winner", "copies", "__member")
+    at = rows.select(F.struct("*").alias("row"), "digest", shard, bucket)
+    at = at.join(index.pilots, ["shard", "bucket"], "left")
+    slot = F.when(F.col("pilot") < 0, -1 - F.col("pilot")).otherwise(F.pmod(F.xxhash64("digest", "pilot"), F.col("n")))
+    slots = index.slots.withColumnRenamed("digest", "held")
+    at = at.withColumn("slot", slot).join(slots, ["shard", "slot"], "left")
+    same = F.coalesce(F.col("digest") == F.col("held"), F.lit(False))
+    own = [F.col("row")[c].alias(c) for c in rows.columns if c not in ("winner", "copies", "__member")]
+    return at.select(*own, F.when(same, F.col("winner")).alias("winner"), F.when(same, F.col("copies")).alias("copies"), same.alias("__member"))
 
 
 def exact_groups(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

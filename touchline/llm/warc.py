@@ -220,12 +220,12 @@ class WarcWriter(DataSourceArrowWriter):
     """Rows: record_type, record_id, target_uri, date, payload_digest, refers_to, http_length, payload."""
 
     def __init__(self, path: str):
-        self.path = path
+        self.path, self.job = path, uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, path = _store(self.path)
         store.create_dir(path, recursive=True)
-        name = f"{path}/.{uuid.uuid4().hex}.writing"
+        name = f"{path}/.{self.job}-{uuid.uuid4().hex}.writing"
         with store.open_output_stream(name, compression=None) as out:
             out.write(member(record("warcinfo", f"<urn:uuid:{uuid.uuid4()}>", None, "1970-01-01T00:00:00Z", None, None, b"format: WARC File Format 1.1\r\n", 0)))
             for batch in iterator:
@@ -240,12 +240,19 @@ class WarcWriter(DataSourceArrowWriter):
         for i, m in enumerate(messages):
             if m is not None:
                 store.move(m.path, f"{path}/part-{i:05d}-{uuid.uuid4().hex[:8]}.warc.gz")
+        self._clear()
 
     def abort(self, messages: list) -> None:
-        store, _ = _store(self.path)
-        for m in messages:
-            if m is not None:
-                store.delete_file(m.path)
+        self._clear()
+
+    def _clear(self) -> None:
+        """Remove what this job's failed or repeated tasks have left."""
+        from pyarrow import fs
+
+        store, path = _store(self.path)
+        for x in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+            if x.base_name.startswith(f".{self.job}-"):
+                store.delete_file(x.path)
 
 
 def register(spark: SparkSession) -> None:
@@ -286,7 +293,8 @@ def write_pages(pages: DataFrame, path: str, least_bytes: int = 0, id_col: str =
 
 
 def read_warc(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """All records of the archives below ``path``; filters on the header columns reach the source."""
+    """All records of the archives below ``path``; filters on the header columns reach the source. An empty folder has no
+    records; a header that a record lacks is null; repeated records have rows of their own."""
     register(spark)
     return spark.read.format("warc").options(**options).load(path)
 
