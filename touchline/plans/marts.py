@@ -151,11 +151,11 @@ def a20_share_of_total(spark, d):
 
 
 @query("""
-    WITH z AS (SELECT event_type, least(greatest(floor(value / 10)::BIGINT, 0), 11) AS zone FROM events)
+    WITH z AS (SELECT event_type, CASE WHEN value IS NOT NULL THEN least(greatest(floor(value / 10)::BIGINT, 0), 11) END AS zone FROM events)
     SELECT zone, count(*) FILTER (WHERE event_type = 'view') AS views, count(*) FILTER (WHERE event_type = 'click') AS clicks, count(*) FILTER (WHERE event_type = 'purchase') AS purchases, count(*) AS total FROM z GROUP BY zone
 """)
 def a15_grid_zones(spark, d):
-    zone = F.when(F.col("value").isNotNull(), F.least(F.greatest(F.floor(F.col("value") / 10), F.lit(0)), F.lit(11))).otherwise(F.lit(0))
+    zone = F.when(F.col("value").isNotNull(), F.least(F.greatest(F.floor(F.col("value") / 10), F.lit(0)), F.lit(11)))
     of = lambda kind, name: F.count_if(F.col("event_type") == kind).alias(name)
     return table(spark, d, "events").groupBy(zone.alias("zone")).agg(of("view", "views"), of("click", "clicks"), of("purchase", "purchases"), F.count(F.lit(1)).alias("total"))
 

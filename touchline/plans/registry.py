@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from touchline.operators.tables import full_outer, surrogate_key, upsert
 from touchline.operators.temporal import asof_join, band_join, latest_state, sessions
 from touchline.operators.vectors import mean_vector, nearest
-from touchline.plans import marts, relational  # noqa: F401  (register their queries)
+from touchline.plans import marts, relational, staging  # noqa: F401  (register their queries)
 from touchline.plans.base import QUERIES, SQL, query  # noqa: F401
 from touchline.sources.shared import table
 from touchline.streaming.windows import hourly_counts
@@ -86,7 +86,7 @@ def j11_new_id_discovery(spark, d):
     s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id)::BIGINT AS session_no FROM n)
     SELECT user_id, session_no, count(*) AS n_events, min(event_id) AS first_event FROM s GROUP BY 1, 2
 """)
-def w01_gap_sessions(spark, d):
+def w07_gap_sessions(spark, d):
     return sessions(_events(spark, d), ["user_id"], "ts", "event_id", 6 * 3600).groupBy("user_id", "session_no").agg(F.count(F.lit(1)).alias("n_events"), F.min("event_id").alias("first_event"))
 
 
@@ -94,7 +94,7 @@ def w01_gap_sessions(spark, d):
     WITH t AS (SELECT event_type AS a, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events)
     SELECT a AS from_type, b AS to_type, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY a), 9)::DOUBLE AS share FROM t WHERE b IS NOT NULL GROUP BY a, b
 """)
-def w02_transition_grid(spark, d):
+def d30_transition_grid(spark, d):
     follows = F.lead("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     n = _events(spark, d).select(F.col("event_type").alias("from_type"), follows.alias("to_type")).where("to_type is not null").groupBy("from_type", "to_type").agg(F.count(F.lit(1)).alias("n"))
     return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("from_type")), 9))
@@ -103,26 +103,26 @@ def w02_transition_grid(spark, d):
 @query("""
     SELECT o_orderkey, o_custkey, row_number() OVER w AS nth, count(*) OVER w AS orders_so_far, max(o_totalprice) OVER w AS highest_so_far FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
 """)
-def w03_cumulative(spark, d):
+def w02_cumulative(spark, d):
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     return table(spark, d, "orders").select("o_orderkey", "o_custkey", F.row_number().over(w).cast("long").alias("nth"), F.count(F.lit(1)).over(w).alias("orders_so_far"), F.max("o_totalprice").over(w).alias("highest_so_far"))
 
 
 @query("""SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90, count(*) AS n FROM events GROUP BY 1""")
-def a01_percentiles(spark, d):
+def a05_percentiles(spark, d):
     p = lambda q: F.round(F.percentile("value", F.lit(q)), 6)
     return _events(spark, d).groupBy("event_type").agg(p(0.5).alias("p50"), p(0.9).alias("p90"), F.count(F.lit(1)).alias("n"))
 
 
 @query("""SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")
-def a02_rollup(spark, d):
+def a25_rollup(spark, d):
     return table(spark, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
 
 
 @query("""
     SELECT event_type, sum((props->>'k')::BIGINT)::BIGINT AS k_sum, count(DISTINCT user_id) AS users FROM events GROUP BY 1
 """)
-def p01_json_paths(spark, d):
+def f14_json_paths(spark, d):
     return _events(spark, d).groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").try_cast("long")).alias("k_sum"), F.countDistinct("user_id").alias("users"))
 
 
@@ -130,7 +130,7 @@ def p01_json_paths(spark, d):
     SELECT md5(concat_ws('-', coalesce(l_orderkey::VARCHAR, '_dbt_utils_surrogate_key_null_'), coalesce(l_linenumber::VARCHAR, '_dbt_utils_surrogate_key_null_'), coalesce(nullif(l_returnflag, 'N'), '_dbt_utils_surrogate_key_null_'))) AS row_key,
         CASE WHEN l_discount > 0.06 THEN 'deep' WHEN l_discount < 0.02 THEN 'none' ELSE 'some' END AS discount_class FROM lineitem
 """)
-def p02_surrogate_key_and_ladder(spark, d):
+def p03_surrogate_key_and_ladder(spark, d):
     rows = table(spark, d, "lineitem").withColumn("flag", F.nullif(F.col("l_returnflag"), F.lit("N")))
     return rows.select(surrogate_key("l_orderkey", "l_linenumber", "flag").alias("row_key"), F.when(F.col("l_discount") > 0.06, "deep").when(F.col("l_discount") < 0.02, "none").otherwise("some").alias("discount_class"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.temporal import asof_join
 from touchline.plans.base import query
 from touchline.sources.shared import table
 
@@ -38,11 +39,11 @@ def j02_two_roles_of_one_dimension(spark, d):
     SELECT c.event_id, p.price FROM events c JOIN p ON p.user_id = c.user_id AND c.ts >= p.price_start AND (p.price_end IS NULL OR c.ts < p.price_end) WHERE c.event_type = 'click'
 """)
 def j07_slowly_changing_price(spark, d):
+    """A price holds until the next one: the latest price at or before the click, without a product of a user's clicks and prices."""
     rows = table(spark, d, "events")
-    ends = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    prices = rows.where("event_type = 'purchase'").select("user_id", F.col("value").alias("price"), F.col("ts").alias("price_start"), ends.alias("price_end"))
     clicks = rows.where("event_type = 'click'").select("user_id", "event_id", "ts")
-    return clicks.join(prices, "user_id").where("ts >= price_start and (price_end is null or ts < price_end)").select("event_id", "price")
+    priced = asof_join(clicks, rows.where("event_type = 'purchase'"), ["user_id"], "ts", "event_id", ["value"])
+    return priced.where("right_ts is not null").select("event_id", F.col("right_value").alias("price"))
 
 
 @query("""
