@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import Memory, arrow_task, clean_texts, kept_objects, slices
 
 #: Words that each half of a memory keeps (some 12 MB), and bytes of text encoded at a time.
-KEPT_WORDS, ENCODED_BYTES = 80_000, 2 << 20
+KEPT_WORDS, ENCODED_BYTES = 80_000, 4 << 20
 #: A word with ASCII punctuation at its end that follows a Latin letter; no apostrophes, which may belong to a contraction.
 TAILED = r"(?s)^(?P<core>.*[A-Za-zÀ-ÖØ-öø-įı-ɏ])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
 #: Characters other than those whose lower case is the same whatever stands around them.
