@@ -5,8 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def smoothed(rows: DataFrame, by: list[str], order: list[str], value: str, window: int = 7, degree: int = 2, out: str = "smoothed") -> DataFrame:
@@ -48,3 +50,36 @@ def control_share(home: Column, arrival: Column, fastest: Column, spread: float
     """Aggregate: the home side's share of logistic influence on a point, given each player's arrival and the least one."""
     influence = 1 / (1 + F.exp((arrival - fastest) * (np.pi / np.sqrt(3.0) / spread)))
     return F.sum(F.when(home, influence).otherwise(0.0)) / F.sum(influence)
+
+
+def control_surface(players: DataFrame, frame: list[str], home: Column, columns: int = 50, rows: int = 32, length: float = 105.0, width: float = 68.0, spread: float = 0.45) -> DataFrame:
+    """``*frame, cell, home_control``: the home side's share of influence on each point of an even grid that
+    includes the edges; cell = row * columns + column.
+
+    ``players`` has x, y, vx, vy in metres and metres a second; rows without one of them are left out. Each player is compared
+    with the opponents' least arrival; where one side has no players, all is the other's. One shuffle, by frame: a frame holds
+    two teams, so a task's group is small; Arrow carries it to the kernel."""
+    gx, gy = np.meshgrid(np.linspace(0, length, columns), np.linspace(0, width, rows))
+    gx, gy, steep = gx.ravel(), gy.ravel(), np.pi / np.sqrt(3.0) / spread
+
+    def arrivals(p: pd.DataFrame) -> np.ndarray:
+        x, y, vx, vy = (p[c].to_numpy(float)[:, None] for c in ("x", "y", "vx", "vy"))
+        d = np.hypot(gx - x, gy - y)
+        along = (vx * (gx - x) + vy * (gy - y)) / np.maximum(d, 1e-10)
+        return 0.7 + np.maximum((np.sqrt(along * along + 14.0 * d) - along) / 7.0, 0.0)
+
+    def share(p: pd.DataFrame) -> pd.DataFrame:
+        own = p["__home"].to_numpy(bool)
+        if own.all() or not own.any():
+            control = np.full(len(gx), 1.0 if own.all() else 0.0)
+        else:
+            h, a = arrivals(p[own]), arrivals(p[~own])
+            influence = lambda t, least: (1 / (1 + np.exp(np.clip((t - least.min(axis=0)) * steep, -50.0, 50.0)))).sum(axis=0)
+            hi, ai = influence(h, a), influence(a, h)
+            control = np.where(hi + ai > 1e-10, hi / np.maximum(hi + ai, 1e-10), 0.5)
+        return pd.DataFrame({**{c: p[c].iloc[0] for c in frame}, "cell": np.arange(len(gx), dtype="int32"), "home_control": control})
+
+    places = players.where("x is not null and y is not null and vx is not null and vy is not null")
+    places = places.select(*frame, F.coalesce(home, F.lit(False)).alias("__home"), *(F.col(c).cast("double").alias(c) for c in ("x", "y", "vx", "vy")))
+    schema = T.StructType([*places.select(*frame).schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("home_control", T.DoubleType())])
+    return places.groupBy(*frame).applyInPandas(share, schema)

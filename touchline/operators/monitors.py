@@ -23,6 +23,22 @@ def distribution_distance(rows: DataFrame, by: list[str], value: str, is_new: Co
     return counts.withColumn("__gap", F.abs(share("__new") - share("__old"))).groupBy(*by).agg(F.max("__gap").alias("ks"))
 
 
+def transport_distance(rows: DataFrame, by: list[str], value: str, is_new: Column, width: float) -> DataFrame:
+    """Per ``by``: ``wasserstein``, the area between the two empirical distributions. Values are counted in ranges of ``width``;
+    running sums go over ranges' totals first and then inside a range, so no task gathers the values of a group."""
+    ranged = rows.where(F.col(value).isNotNull()).withColumn("__range", F.floor(F.col(value) / width))
+    counts = ranged.groupBy(*by, "__range", value).agg(F.count_if(is_new).alias("__new"), F.count_if(~is_new).alias("__old"))
+    totals = counts.groupBy(*by, "__range").agg(F.sum("__new").alias("__rn"), F.sum("__old").alias("__ro"), F.min(value).alias("__first"))
+    whole, ordered = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("__range")
+    before = lambda c: F.sum(c).over(ordered) - F.col(c)
+    totals = totals.select(*by, "__range", before("__rn").alias("__bn"), before("__ro").alias("__bo"), F.sum("__rn").over(whole).alias("__n"), F.sum("__ro").over(whole).alias("__o"), F.lead("__first").over(ordered).alias("__after"))
+    inside = Window.partitionBy(*by, "__range").orderBy(value)
+    shares = lambda c, b, n: (F.sum(c).over(inside) + F.col(b)) / F.col(n)
+    step = F.coalesce(F.lead(value).over(inside), "__after") - F.col(value)
+    gaps = counts.join(totals, [*by, "__range"]).select(*by, (F.abs(shares("__new", "__bn", "__n") - shares("__old", "__bo", "__o")) * step).alias("__area"))
+    return gaps.groupBy(*by).agg(F.coalesce(F.sum("__area"), F.lit(0.0)).alias("wasserstein"))
+
+
 def upper_cusum(rows: DataFrame, by: list[str], order: list[str], excess: Column, out: str = "cusum") -> DataFrame:
     """``rows`` with S = max(0, S before + excess): the running sum less its least value so far (0 included), in one window."""
     ordered = Window.partitionBy(*by).orderBy(*order)
