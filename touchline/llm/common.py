@@ -99,24 +99,26 @@ SLICE_BYTES = 1 << 20
 kept_objects: dict[str, object] = {}
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_task(run: Callable, keep: bool = False) -> Callable:
     """``run`` (Arrow batches to Arrow batches) that leaves no memory behind in a worker that goes on to other tasks.
 
     Objects kept for later tasks go too, unless ``keep`` says that this task uses them."""
 
-    def tidy() -> None:
-        pa.default_memory_pool().release_unused()
-        with suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
-
     def task(batches):
         if not keep and kept_objects:
             kept_objects.clear()
-            tidy()
+            give_back()
         try:
             yield from run(batches)
         finally:
-            tidy()
+            give_back()
 
     return task
 

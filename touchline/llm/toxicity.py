@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import Memory, arrow_task, clean_texts, dropped, kept_objects, slice_words, slices, staged, word_lengths_to_starts
+from touchline.llm.common import Memory, arrow_task, clean_texts, dropped, give_back, kept_objects, slice_words, slices, staged, word_lengths_to_starts
 
 #: Units a counting task holds before it hands on their counts.
 HELD_UNITS = 1 << 19
@@ -364,7 +364,9 @@ def toxic_passages(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fit without the held-out fifth, then per row: ``id_col, held_out, score, predicted``."""
-    out = toxicity_scores(docs, fit(docs, labels, id_col, text_col), id_col, text_col)
+    model = fit(docs, labels, id_col, text_col)
+    give_back()  # the driver's tables of the fit
+    out = toxicity_scores(docs, model, id_col, text_col)
     return out.select(id_col, F.coalesce(_held_out(F.col(id_col)), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
@@ -373,5 +375,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     Each row is judged by its own text where it stands: nothing is joined back."""
     model = fit(docs, labels, id_col, text_col, hold_out=False)
+    give_back()  # the driver's tables of the fit
     judged = docs.select(F.struct("*").alias("row"), _scoring(model)(F.col(text_col).cast("string")).alias("score"))
     return judged.where(F.col("score") < threshold).select("row.*")
