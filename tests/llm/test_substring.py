@@ -36,6 +36,16 @@ def test_repeats(spark):
     assert substring.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_equal_texts_around_the_window(spark):
+    """Equal texts of 1 to 14 words beside long ones: only those with a window repeat each other."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(10 * n + k, " ".join(words[20 * n : 20 * n + n])) for n in range(15) for k in range(3)]
+    rows += [(500, " ".join(words)), (501, " ".join(words)), (502, "That it."), (503, "That it."), (504, " \n "), (505, " \n ")]
+    got = result(substring.remove_repeats(frame(spark, rows)))
+    assert got == brute(rows, 13)
+    assert [r[2] for r in got if r[0] in (122, 132, 501, 503)] == [0, 13, 300, 0]
+
+
 def test_short_windows_and_loops(spark):
     rows = [(1, "a b c d e f g h"), (2, "a b c d e x a b c d e"), (3, "a a a a a a a a"), (4, "a a a a a a b"), (5, "q a b c d e f g h z")]
     assert result(substring.remove_repeats(frame(spark, rows), window=5, anchor=2)) == brute(rows, 5)

@@ -178,11 +178,11 @@ def slice_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return words, codes, starts
 
 
-def slice_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def slice_hashes(texts: pa.Array, lower: bool = False, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """XXH64 of all words of the texts in order (in lower case (A-Z) if asked for), and where each text's start."""
     words, codes, starts = slice_words(texts)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(w.lower() if lower else w) for w in words), np.uint64, len(words))
+    hashes = np.fromiter((digest(w.lower() if lower else w, seed) for w in words), np.uint64, len(words))
     return hashes[codes] if len(words) else hashes, starts
 
 

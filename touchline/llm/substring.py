@@ -2,7 +2,7 @@
 
 Nodes are ``window - 1`` consecutive words, edges are windows of ``window`` words from one node to the next. An edge is repeated if
 it occurs in two documents or more; its source is its first occurrence in the document with the smallest id. Of equal
-texts only the one with the smallest id takes part; the others repeat it as a whole.
+texts only the one with the smallest id takes part; the others repeat it as a whole, unless they are shorter than a window.
 
 1. Anchors. A window's anchor is the smallest hash among its ``anchor``-word shingles; equal windows have equal anchors,
    and only about a fifth of the shingles are anchors. Spark counts the documents of each anchor. Windows whose anchor two
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import arrow_task, clean_texts, dropped, keyed_rows, shingle_hashes, slice_hashes, slices, small, staged
 
+WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of the anchor filter (16 MB), and repeated anchors up to which it is used.
 FILTER_BITS, FILTER_ANCHORS = 1 << 27, 1 << 24
 #: Groups of equal texts up to which their table is broadcast; a larger one is joined by a shuffle.
@@ -54,9 +55,12 @@ def node_hashes(h: np.ndarray, words: int, salt: int, bits: int = 64) -> np.ndar
     return shingle_hashes(h, words, 2 + salt) >> np.uint64(64 - bits if salt == 0 else 0)
 
 
-def _windows(texts: pa.Array, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a slice of texts: word hashes and where each text's start; place among all words and anchor of each window."""
-    h, starts = slice_hashes(texts)
+def _windows(texts: pa.Array, window: int, anchor: int, salt: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a slice of texts: word hashes and where each text's start; place among all words and anchor of each window.
+
+    The words' hashes are others for each salt as well: two words that meet in one round are told apart in the next."""
+    h, starts = slice_hashes(texts, seed=salt)
+    h = h >> np.uint64(64 - bits if salt == 0 else 0)
     if len(h) < window:
         return h, starts, np.zeros(0, np.int64), h[:0]
     row = np.repeat(np.arange(len(texts)), np.diff(starts))
@@ -64,14 +68,14 @@ def _windows(texts: pa.Array, window: int, anchor: int) -> tuple[np.ndarray, np.
     return h, starts, at, _sliding_min(shingle_hashes(h, anchor, 1), window - anchor + 1)[at]
 
 
-def _anchors(window: int, anchor: int):
+def _anchors(window: int, anchor: int, salt: int, bits: int):
     """Texts to the anchors of each, once a text."""
 
     def run(batches):
         for batch in batches:
             texts = clean_texts(batch.column("__text"))
             for i, j in slices(texts):
-                _, starts, at, low = _windows(texts.slice(i, j - i), window, anchor)
+                _, starts, at, low = _windows(texts.slice(i, j - i), window, anchor, salt, bits)
                 row = np.searchsorted(starts, at, "right")
                 order = np.lexsort((low, row))
                 row, low = row[order], low[order]
@@ -89,7 +93,7 @@ def _runs(window: int, anchor: int, salt: int, bits: int, shared):
         for batch in batches:
             texts = clean_texts(batch.column("__text"))
             for i, j in slices(texts):
-                h, starts, at, low = _windows(texts.slice(i, j - i), window, anchor)
+                h, starts, at, low = _windows(texts.slice(i, j - i), window, anchor, salt, bits)
                 if shared is not None:
                     bit = low & np.uint64(FILTER_BITS - 1)
                     there = (shared.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
@@ -164,7 +168,7 @@ def _with_first(rows: DataFrame) -> DataFrame:
 
 def window_runs(rows: DataFrame, window: int, anchor: int, salt: int = 0, bits: int = 64) -> DataFrame:
     """Runs of windows that two documents or more may hold: ``__id, __tie, start, nodes``."""
-    repeated = staged(rows.select("__text").mapInArrow(_anchors(window, anchor), "h long").groupBy("h").count().where("count > 1").select("h"), "anchors")
+    repeated = staged(rows.select("__text").mapInArrow(_anchors(window, anchor, salt, bits), "h long").groupBy("h").count().where("count > 1").select("h"), "anchors")
     kind = f"__id {rows.schema['__id'].dataType.simpleString()}, __tie binary, start int, nodes array<long>, h long"
     if repeated.count() > FILTER_ANCHORS:
         runs = rows.mapInArrow(_runs(window, anchor, salt, bits, None), kind).join(repeated, "h", "left_semi")
@@ -222,12 +226,13 @@ def repeated_spans(rows: DataFrame, window: int = 13, anchor: int = 5, salt: int
     """Spans of rows (``__id, __tie, __text``) that repeat a document with a smaller id: ``__id, __tie, start, n, sid, stie, sstart``.
 
     ``start`` is the first word, ``n`` the number of words, and ``sid, stie, sstart`` the source's first word: the spans lie on one path.
-    A copy of a whole text has ``n`` = -1. Rows without an id are neither sources nor repeats. Spans rest on hashes of words: whoever
+    A copy of a whole text of a window or more has ``n`` = -1; shorter texts repeat nothing. Rows without an id are neither sources nor repeats. Spans rest on hashes of words: whoever
     acts on them compares them with their source, as ``remove_repeats`` does."""
     rows = _with_first(rows)
     me = F.struct("__id", "__tie")
     copy = F.coalesce(me > F.col("__first"), F.lit(False))
-    whole = rows.where(copy & (F.col("__id") > F.col("__first.__id"))).select("__id", "__tie", F.lit(0).alias("start"), F.lit(-1).alias("n"), F.col("__first.__id").alias("sid"), F.col("__first.__tie").alias("stie"), F.lit(0).alias("sstart"))
+    has_window = F.regexp_count("__text", F.lit(WORD)) >= window
+    whole = rows.where(copy & (F.col("__id") > F.col("__first.__id")) & has_window).select("__id", "__tie", F.lit(0).alias("start"), F.lit(-1).alias("n"), F.col("__first.__id").alias("sid"), F.col("__first.__tie").alias("stie"), F.lit(0).alias("sstart"))
     runs = window_runs(rows.where(~copy).select("__id", "__tie", "__text"), window, anchor, salt, bits)
     edges = edges_of(runs)
     paths = compacted(edges)
