@@ -81,6 +81,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_components(_table(spark, sf_dir, "documents"), radius=4)
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.mixing import mixed_sources
+
+    return mixed_sources(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.audit import filter_audit
+
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), min_words=200, distinct_percent=50, capital_percent=3)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.ranked import ranked_search
+
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=50)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
@@ -92,6 +110,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op11_source_mix": op11_source_mix,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 SQL: dict[str, str] = {
@@ -131,4 +152,51 @@ SQL: dict[str, str] = {
         SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256
         FROM n JOIN g ON n.t = g.t
     """,
+    "op11_source_mix": r"""
+        WITH r AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|' || coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents),
+        s AS (SELECT source, sum(size)::HUGEINT AS total, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM r GROUP BY source),
+        c AS (SELECT *, row_number() OVER (ORDER BY total::DOUBLE / weight, source) AS k, sum(total) OVER () AS budget FROM s),
+        p AS (SELECT *, budget - 3 * coalesce(sum(total) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over, sum(weight) OVER (ORDER BY k DESC) AS weights FROM c),
+        f AS (SELECT *, 3 * total * weights < left_over * weight AS capped FROM p),
+        lv AS (SELECT (any_value(budget) - 3 * coalesce(sum(total) FILTER (capped), 0))::DOUBLE AS left_over, (sum(weight) FILTER (NOT capped))::DOUBLE AS weights FROM f),
+        t AS (SELECT source, total, CASE WHEN capped THEN (3 * total)::DOUBLE ELSE weight::DOUBLE * lv.left_over / lv.weights END AS target FROM f, lv),
+        n AS (SELECT *, CASE WHEN total > 0 THEN floor(target / total::DOUBLE)::BIGINT ELSE 0 END AS repeats FROM t),
+        w AS (SELECT r.doc_id, r.size, n.total, n.target, n.repeats, n.target - n.repeats * n.total::DOUBLE AS need,
+                sum(r.size) OVER (PARTITION BY r.source ORDER BY r.h) AS run, sum(r.size) OVER (PARTITION BY r.source, r.h) AS own
+              FROM r JOIN n ON r.source IS NOT DISTINCT FROM n.source)
+        SELECT doc_id, size, total::BIGINT AS source_size, target,
+            (size * (repeats + CASE WHEN run <= need OR (run - own <= need AND need - (run - own) > own / 2) THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM w
+    """,
+    "op12_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        c AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, length(t) AS chars, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals FROM d),
+        k AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        m AS (SELECT c.part, (len(w) < 200)::INT AS a, (100 * len(list_distinct(w)) < 50 * len(w))::INT AS b, (100 * capitals > 3 * chars)::INT AS c, regexp_matches(t, '[#$%&*|]')::INT AS d,
+                (coalesce(c.doc_id > min(c.doc_id) OVER (PARTITION BY t), false))::INT AS e, coalesce(k.good, false) AS good, coalesce(k.toxic, false) AS toxic FROM c LEFT JOIN k ON c.doc_id = k.doc_id),
+        f AS (SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL),
+        l AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, bit)),
+        o AS (SELECT p.l || q.l || r.l || s.l || t.l AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits FROM l p, l q, l r, l s, l t WHERE p.bit | q.bit | r.bit | s.bit | t.bit = 31),
+        g AS (SELECT filter_order, step, bits[step] AS own, list_sum(bits[1:step - 1]) AS before FROM (SELECT *, unnest(range(1, 6)) AS step FROM o)),
+        x AS (SELECT part, filter_order, step::INT AS step, own, coalesce(before, 0)::INT AS before, mask, n, good, toxic FROM g, f),
+        y AS (SELECT part, filter_order, step, any_value(own) AS own,
+                coalesce(sum(n) FILTER (mask & (own | before) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS removed,
+                coalesce(sum(n) FILTER (mask & own > 0 AND mask & before > 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+                coalesce(sum(good) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+              FROM x GROUP BY part, filter_order, step)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM y
+    """,
+    "op13_ranked_search": r"""
+        WITH w AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        t AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL),
+        d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM t GROUP BY doc_id),
+        g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM d),
+        m AS (SELECT doc_id, 50 + (50 * n * docs) // words AS m FROM d, g),
+        i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        f AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM t, g WHERE term IN (SELECT term FROM i) GROUP BY term, docs),
+        s AS (SELECT item_id, t.doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score FROM i JOIN f USING (term) JOIN t USING (term) JOIN m ON m.doc_id = t.doc_id GROUP BY ALL),
+        r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+    """,
 }
