@@ -16,12 +16,12 @@ def rows(df):
 @pytest.fixture(scope="module")
 def db(sf):
     con = duckdb.connect()
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings", "documents"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     return con
 
 
-@pytest.mark.parametrize("name", registry.QUERIES)
+@pytest.mark.parametrize("name", registry.SQL)
 def test_query(spark, sf, db, name):
     assert rows(registry.QUERIES[name](spark, sf).toPandas()) == rows(db.sql(registry.SQL[name]).df())
 

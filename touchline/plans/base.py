@@ -10,9 +10,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str):
+def query(sql: str | None):
+    """Registers a query with SQL that gives the same rows; None where SQL can't say it, and a test compares with brute force."""
+
     def add(f):
-        QUERIES[f.__name__], SQL[f.__name__] = f, sql
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
         return f
 
     return add

@@ -7,18 +7,11 @@ from pyspark.sql import functions as F
 
 from touchline.functions.parsing import access_tier, clock_seconds, exact_millimetres
 from touchline.functions.pitch import grid_token, normalized, progressive
-from touchline.operators.graph import connected_components
 from touchline.plans.base import query
 from touchline.sources.merging import merge
 from touchline.sources.shared import shared_path, table
 
 
-def _staged(df, name):
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @query("""
     SELECT event_id, round(value / 100 * 120, 6) AS m_x, round((1 - (user_id % 68) / 68.0::DOUBLE) * 80, 6) AS m_y, round((value - 50 + 52.5) * (120 / 105.0::DOUBLE), 6) AS c_x,
         round(((user_id % 68) - 34 + 34) * (80 / 68.0::DOUBLE), 6) AS c_y, round(value * (120 / 105.0::DOUBLE), 6) AS p_x, round(value * 1.2::DOUBLE, 6) AS pct_x FROM events
@@ -215,14 +208,3 @@ def k05_merge_into_parquet(spark, d):
     added = rows.where("o_orderkey % 11 = 0").select((F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey"), F.lit("F").alias("o_orderstatus"), F.lit(0.0).alias("o_totalprice"))
     merge(spark, path, changed.unionByName(added), ["o_orderkey", "o_orderstatus"], "o_orderstatus")
     return spark.read.schema(rows.schema).parquet(path)
-
-
-@query("""
-    WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS o, l_suppkey % 10 AS s FROM lineitem WHERE l_orderkey % 97 < 2), p AS (SELECT DISTINCT a.s AS a, b.s AS b FROM e a JOIN e b ON a.o = b.o),
-    r AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a)
-    SELECT a::BIGINT AS node, min(b)::BIGINT AS component FROM r GROUP BY a HAVING count(*) > 1
-""")
-def x00_connected_components(spark, d):
-    rows = table(spark, d, "lineitem").where("l_orderkey % 97 < 2").select("l_orderkey", (F.col("l_suppkey") % 10).cast("long").alias("s")).distinct()
-    low = rows.groupBy("l_orderkey").agg(F.min("s").alias("b"))
-    return connected_components(rows.join(low, "l_orderkey").select(F.col("s").alias("a"), "b"), _staged)
