@@ -6,13 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def stability_index(rows: DataFrame, by: list[str], bucket: Column, is_new: Column, least: float = 1e-4) -> DataFrame:
-    """Per ``by``: ``psi``, the sum over buckets of (new share - old share) * ln(new share / old share); shares are ``least`` or more."""
-    counts = rows.groupBy(*by, bucket.alias("__bucket")).agg(F.count_if(is_new).alias("__new"), F.count_if(~is_new).alias("__old"))
-    whole = Window.partitionBy(*by)
-    share = lambda c: F.greatest(F.col(c) / F.sum(c).over(whole), F.lit(least))
-    shares = counts.select(*by, share("__new").alias("__n"), share("__old").alias("__o"))
-    return shares.groupBy(*by).agg(F.sum((F.col("__n") - F.col("__o")) * F.log(F.col("__n") / F.col("__o"))).alias("psi"))
+def stability_index(rows: DataFrame, by: list[str], value: str, is_new: Column, bins: int = 10, extra: float = 1e-6) -> DataFrame:
+    """Per ``by``: ``psi``, the sum over bins of (new share - old share) * ln(new share / old share), 0 at least.
+
+    ``bins`` bins of equal width lie from the least to the greatest old value (half a unit to both sides of a single one); ``extra`` is added to each share. New values
+    outside count in the number of all only. Null values don't count; a group without old or new values has null. Two partial aggregates: no task gathers a group."""
+    rows = rows.where(F.col(value).isNotNull()).withColumn("__new", is_new)
+    old = F.when(~F.col("__new"), F.col(value))
+    ends = rows.groupBy(*by).agg(F.min(old).alias("__low"), F.max(old).alias("__high"), F.count_if("__new").alias("__n"), F.count_if(~F.col("__new")).alias("__o"))
+    flat = F.col("__low") == F.col("__high")
+    ends = ends.select(*by, (F.col("__low") - F.when(flat, 0.5).otherwise(0.0)).alias("__low"), (F.col("__high") + F.when(flat, 0.5).otherwise(0.0)).alias("__high"), "__n", "__o")
+    placed = rows.join(ends, by).where(F.col(value).between(F.col("__low"), F.col("__high")))
+    bin_ = F.least(F.floor((F.col(value) - F.col("__low")) / (F.col("__high") - F.col("__low")) * bins), F.lit(bins - 1))
+    counts = placed.withColumn("__bin", bin_).groupBy(*by, "__bin").agg(F.count_if("__new").alias("n"), F.count_if(~F.col("__new")).alias("o"))
+    counts = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__bin", F.struct("n", "o").alias("c")))).alias("c"))  # ``bins`` at most
+    share = lambda c, k, of: F.coalesce(F.try_element_at("c", k.cast("long"))[c], F.lit(0)) / F.col(of) + extra
+    term = lambda k: (share("n", k, "__n") - share("o", k, "__o")) * F.log(share("n", k, "__n") / share("o", k, "__o"))
+    psi = F.aggregate(F.sequence(F.lit(0), F.lit(bins - 1)), F.lit(0.0), lambda s, k: s + term(k))
+    return ends.join(counts, by, "left").select(*by, F.when((F.col("__n") > 0) & (F.col("__o") > 0), F.greatest(psi, F.lit(0.0))).alias("psi"))
 
 
 def distribution_distance(rows: DataFrame, by: list[str], value: str, is_new: Column) -> DataFrame:

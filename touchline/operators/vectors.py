@@ -19,6 +19,16 @@ def mean_vector(df: DataFrame, by: str, vector: str) -> DataFrame:
     return df.select(by, F.posexplode(vector).alias("position", "value")).groupBy(by, "position").agg(F.avg("value").alias("mean"))
 
 
+def longest_mean(df: DataFrame, by: str, vector: str) -> DataFrame:
+    """``by, position, mean, n_vectors``: element-wise means of the vectors of each ``by`` that have its greatest length.
+
+    Shorter, empty and null vectors are left out. The greatest length comes by a partial aggregate and is joined back."""
+    rows = df.where(F.size(vector) > 0)
+    longest = rows.groupBy(F.col(by).alias("__by")).agg(F.max(F.size(vector)).alias("__n"))
+    own = rows.join(longest, F.col(by).eqNullSafe(F.col("__by")) & (F.size(vector) == F.col("__n")))
+    return own.select(by, F.posexplode(vector).alias("position", "value")).groupBy(by, "position").agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n_vectors"))
+
+
 def nearest(rows: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int) -> DataFrame:
     """``query_id, neighbour_id, rank``: the ``k`` most similar other rows of each query, ties by id.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.kinematics import control_surface
 from touchline.operators.monitors import transport_distance
+from touchline.operators.vectors import longest_mean
 from touchline.plans.base import query
 from touchline.sources.fields import Field, csv_fields, json_fields, xml_fields
 from touchline.sources.shared import shared_path, table
@@ -113,12 +114,26 @@ def a06_first_and_last(spark, d):
     return table(spark, d, "events").groupBy("user_id").agg(F.min_by("event_type", at).alias("first_type"), F.max_by("event_type", at).alias("last_type"))
 
 
+@query("""
+    WITH m AS (SELECT user_id, ts::DATE AS day, list(value ORDER BY ts, event_id) AS v FROM events WHERE value IS NOT NULL GROUP BY 1, 2),
+    b AS (SELECT user_id, max(len(v)) AS n FROM m GROUP BY 1),
+    e AS (SELECT user_id, generate_subscripts(v, 1) - 1 AS p, unnest(v) AS x FROM m JOIN b USING (user_id) WHERE len(v) = n)
+    SELECT user_id, p::INTEGER AS position, round(avg(x), 6) AS mean, count(*) AS n_vectors FROM e GROUP BY 1, 2
+""")
+def a10_longest_vectors(spark, d):
+    """Each user's days as vectors of values: the element-wise mean of those of the user's greatest length."""
+    at = F.sort_array(F.collect_list(F.struct("ts", "event_id", "value")))
+    days = table(spark, d, "events").where("value is not null").groupBy("user_id", F.to_date("ts").alias("day")).agg(at.alias("v"))  # a user's day
+    own = longest_mean(days.select("user_id", F.transform("v", lambda x: x["value"]).alias("v")), "user_id", "v")
+    return own.withColumn("mean", F.round("mean", 6))
+
+
 @query("""
     WITH v AS (SELECT label, generate_subscripts(embedding, 1) AS p, unnest(embedding)::DOUBLE AS x FROM embeddings),
     m AS (SELECT label, p, round(avg(x), 9) AS m FROM v GROUP BY ALL)
     SELECT label, (p - 1)::INTEGER AS position, m AS mean FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY abs(m) DESC, p) AS r FROM m) WHERE r = 1
 """)
-def a10_dominant_dimension(spark, d):
+def v03_dominant_dimension(spark, d):
     means = table(spark, d, "embeddings").select("label", F.posexplode("embedding").alias("p", "x")).groupBy("label", "p").agg(F.round(F.avg(F.col("x").cast("double")), 9).alias("m"))
     best = F.struct(F.abs("m"), -F.col("p"))
     return means.groupBy("label").agg(F.max_by("p", best).alias("position"), F.max_by("m", best).alias("mean"))

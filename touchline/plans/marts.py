@@ -57,13 +57,16 @@ def d01_pitch_control(spark, d):
 
 
 @query("""
-    WITH c AS (SELECT event_type, least(floor(value / 10), 9) AS b, count(*) FILTER (WHERE event_id % 2 = 1) AS n, count(*) FILTER (WHERE event_id % 2 = 0) AS o FROM events WHERE value IS NOT NULL GROUP BY ALL),
-    s AS (SELECT event_type, greatest(n / sum(n) OVER w, 0.0001) AS n, greatest(o / sum(o) OVER w, 0.0001) AS o FROM c WINDOW w AS (PARTITION BY event_type))
-    SELECT event_type, round(sum((n - o) * ln(n / o)), 6) AS psi FROM s GROUP BY event_type
+    WITH e AS (SELECT event_type, value, event_id % 3 = 1 AND value > 5 AS new FROM events WHERE value IS NOT NULL),
+    s AS (SELECT event_type, min(value) FILTER (NOT new) AS low, max(value) FILTER (NOT new) AS high, count(*) FILTER (new) AS n, count(*) FILTER (NOT new) AS o FROM e GROUP BY 1),
+    b AS (SELECT event_type, n, o, unnest(range(10)) AS k FROM s),
+    c AS (SELECT event_type, least(floor((value - low) / (high - low) * 10), 9) AS k, count(*) FILTER (new) AS cn, count(*) FILTER (NOT new) AS co FROM e JOIN s USING (event_type) WHERE value BETWEEN low AND high GROUP BY 1, 2),
+    p AS (SELECT b.event_type, coalesce(cn, 0) / b.n::DOUBLE + 1e-6::DOUBLE AS x, coalesce(co, 0) / b.o::DOUBLE + 1e-6::DOUBLE AS y FROM b LEFT JOIN c ON b.event_type = c.event_type AND b.k = c.k)
+    SELECT event_type, round(greatest(sum((x - y) * ln(x / y)), 0), 6) AS psi FROM p GROUP BY 1
 """)
 def d23_stability_index(spark, d):
-    rows = table(spark, d, "events").where("value is not null")
-    return stability_index(rows, ["event_type"], F.least(F.floor(F.col("value") / 10), F.lit(9)), F.col("event_id") % 2 == 1).withColumn("psi", F.round("psi", 6))
+    """Shift of the values of a third of the events against the others: ten bins over the others' range."""
+    return stability_index(table(spark, d, "events"), ["event_type"], "value", (F.col("event_id") % 3 == 1) & (F.col("value") > 5)).withColumn("psi", F.round("psi", 6))
 
 
 @query("""

@@ -15,9 +15,9 @@ from touchline.streaming.ratings import Ratings
 
 
 def duels(spark, d):
-    """Games from events: in an hour each user meets the next one, and the higher value wins; a day is a period."""
+    """Games from events: in an hour each user meets the next one, and the higher value wins; a week is a period."""
     after = Window.partitionBy(F.date_trunc("hour", "ts")).orderBy("ts", "event_id")
-    pairs = table(spark, d, "events").select(F.datediff(F.col("ts").cast("date"), F.lit("2020-01-01").cast("date")).cast("long").alias("period"), F.col("user_id").alias("a"), "value", F.lead("user_id").over(after).alias("b"), F.lead("value").over(after).alias("other"))
+    pairs = table(spark, d, "events").select(F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2020-01-06").cast("date")) / 7).alias("period"), F.col("user_id").alias("a"), "value", F.lead("user_id").over(after).alias("b"), F.lead("value").over(after).alias("other"))
     pairs = pairs.where("b is not null and a <> b and value <> other")
     won = F.col("value") > F.col("other")
     return pairs.select("period", F.when(won, F.col("a")).otherwise(F.col("b")).alias("winner"), F.when(won, F.col("b")).otherwise(F.col("a")).alias("loser"))
@@ -25,7 +25,7 @@ def duels(spark, d):
 
 @query(None)
 def d19_duel_ratings(spark, d):
-    """Glicko-2 ratings of the users after each day."""
+    """Glicko-2 ratings of the users after each week."""
     ratings = Ratings(spark, shared_path(spark, "ratings"))
     ratings.advance(duels(spark, d), 0, close=True)
     return ratings.ratings().select("player", "last_period", *(F.round(c, 6).alias(c) for c in ("rating", "deviation", "volatility")), "contested", "won", "lost")
