@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import arrow_task, clean_texts, dropped, keyed_rows, shingle_hashes, slice_hashes, slices, small, staged
+from touchline.llm.common import SLICE_BYTES, arrow_task, clean_texts, dropped, keyed_rows, shingle_hashes, slice_hashes, slices, small, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of the anchor filter (16 MB), and repeated anchors up to which it is used.
@@ -114,18 +114,26 @@ def _runs(window: int, anchor: int, salt: int, bits: int, shared):
 
 
 def _spoken(batches):
-    """Texts and wanted stretches (first word, words) to the words of each stretch."""
+    """Texts and wanted stretches (first word, words) to the words of each stretch, about a slice's bytes at a time."""
+
+    def rows():
+        own = pa.array(at, pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column("__id").take(own), batch.column("__tie").take(own), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(words, pa.string())], names=["sid", "stie", "sstart", "n", "words"])
+
     for batch in batches:
-        at, start, n, words = [], [], [], []
-        for i, (text, wanted) in enumerate(zip(clean_texts(batch.column("__text")).cast(pa.binary()), batch.column("wanted").to_pylist(), strict=True)):
+        at, start, n, words, held = [], [], [], [], 0
+        for i, (text, wanted) in enumerate(zip(clean_texts(batch.column("__text")).cast(pa.binary()), batch.column("wanted"), strict=True)):
             own = text.as_py().split()
-            for s in wanted:
+            for s in wanted.as_py():
                 at.append(i)
                 start.append(s["sstart"])
                 n.append(s["n"])
                 words.append(b" ".join(own[s["sstart"] : s["sstart"] + s["n"]]).decode())
-        own = pa.array(at, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("__id").take(own), batch.column("__tie").take(own), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(words, pa.string())], names=["sid", "stie", "sstart", "n", "words"])
+                held += len(words[-1])
+                if held >= SLICE_BYTES:  # near copies in thousands ask one source for stretches of most of its text
+                    yield rows()
+                    at, start, n, words, held = [], [], [], [], 0
+        yield rows()
 
 
 def _kept(keep_text: bool):
