@@ -41,7 +41,8 @@ def off_ball_value(cells: DataFrame, frame: list[str], transition: Surface = def
     rows = cells.withColumn("__t", transition(u, v) * weight)
     most = F.max("__t").over(Window.partitionBy(*frame))  # the cells of a frame
     part = F.when(most > LEAST, F.col("__t") / most).otherwise(F.col("__t"))
-    return rows.withColumn("off_ball_value", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("control") * part * value(u, v)))).drop("__t")
+    whole = F.col("control") * part * value(u, v)
+    return rows.withColumn("off_ball_value", F.when(whole.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), whole)))).drop("__t")
 
 
 def _padded(lists: pa.Array, fields: list[str]) -> tuple[np.ndarray, np.ndarray]:

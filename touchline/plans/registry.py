@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from touchline.operators.tables import full_outer, surrogate_key, upsert
 from touchline.operators.temporal import asof_join, band_join, latest_state, sessions
 from touchline.operators.vectors import mean_vector, nearest
-from touchline.plans import calibrating, entities, feeds, kernels, marts, ordered, relational, sinks, staging  # noqa: F401  (register their queries)
+from touchline.plans import calibrating, entities, feeds, kernels, marts, ordered, relational, sinks, staging, trackers  # noqa: F401  (register their queries)
 from touchline.plans.base import QUERIES, SQL, query  # noqa: F401
 from touchline.sources.shared import table
 from touchline.streaming.windows import hourly_counts
