@@ -26,28 +26,50 @@ def stability_index(rows: DataFrame, by: list[str], value: str, is_new: Column,
     return ends.join(counts, by, "left").select(*by, F.when((F.col("__n") > 0) & (F.col("__o") > 0), F.greatest(psi, F.lit(0.0))).alias("psi"))
 
 
-def distribution_distance(rows: DataFrame, by: list[str], value: str, is_new: Column) -> DataFrame:
-    """Per ``by``: ``ks``, the largest distance of the two empirical distributions; values are counted before they are sorted."""
-    counts = rows.groupBy(*by, value).agg(F.count_if(is_new).alias("__new"), F.count_if(~is_new).alias("__old"))
-    below, whole = Window.partitionBy(*by).orderBy(value), Window.partitionBy(*by)
-    share = lambda c: F.sum(c).over(below) / F.sum(c).over(whole)
-    return counts.withColumn("__gap", F.abs(share("__new") - share("__old"))).groupBy(*by).agg(F.max("__gap").alias("ks"))
+def ranged_sums(rows: DataFrame, by: list[str], value: str, width: float, counts: dict[str, Column]) -> DataFrame:
+    """``*by, value``, the named counts of each value, their running sums ``below_*`` (this value included), totals ``all_*``, and ``after``, the next value.
 
-
-def transport_distance(rows: DataFrame, by: list[str], value: str, is_new: Column, width: float) -> DataFrame:
-    """Per ``by``: ``wasserstein``, the area between the two empirical distributions. Values are counted in ranges of ``width``;
-    running sums go over ranges' totals first and then inside a range, so no task gathers the values of a group."""
+    Values are counted in ranges of ``width``; sums run over the ranges' totals first and then inside a range, so no task gathers the values of a group."""
     ranged = rows.where(F.col(value).isNotNull()).withColumn("__range", F.floor(F.col(value) / width))
-    counts = ranged.groupBy(*by, "__range", value).agg(F.count_if(is_new).alias("__new"), F.count_if(~is_new).alias("__old"))
-    totals = counts.groupBy(*by, "__range").agg(F.sum("__new").alias("__rn"), F.sum("__old").alias("__ro"), F.min(value).alias("__first"))
+    own = ranged.groupBy(*by, "__range", value).agg(*(c.alias(k) for k, c in counts.items()))
+    totals = own.groupBy(*by, "__range").agg(*(F.sum(k).alias(f"__{k}") for k in counts), F.min(value).alias("__first"))
     whole, ordered = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("__range")
-    before = lambda c: F.sum(c).over(ordered) - F.col(c)
-    totals = totals.select(*by, "__range", before("__rn").alias("__bn"), before("__ro").alias("__bo"), F.sum("__rn").over(whole).alias("__n"), F.sum("__ro").over(whole).alias("__o"), F.lead("__first").over(ordered).alias("__after"))
+    totals = totals.select(*by, "__range", *((F.sum(f"__{k}").over(ordered) - F.col(f"__{k}")).alias(f"__before_{k}") for k in counts), *(F.sum(f"__{k}").over(whole).alias(f"all_{k}") for k in counts), F.lead("__first").over(ordered).alias("__next"))
     inside = Window.partitionBy(*by, "__range").orderBy(value)
-    shares = lambda c, b, n: (F.sum(c).over(inside) + F.col(b)) / F.col(n)
-    step = F.coalesce(F.lead(value).over(inside), "__after") - F.col(value)
-    gaps = counts.join(totals, [*by, "__range"]).select(*by, (F.abs(shares("__new", "__bn", "__n") - shares("__old", "__bo", "__o")) * step).alias("__area"))
-    return gaps.groupBy(*by).agg(F.coalesce(F.sum("__area"), F.lit(0.0)).alias("wasserstein"))
+    joined = own.join(totals, [*by, "__range"])
+    return joined.select(*by, value, *counts, *((F.col(f"__before_{k}") + F.sum(k).over(inside)).alias(f"below_{k}") for k in counts), *(f"all_{k}" for k in counts), F.coalesce(F.lead(value).over(inside), "__next").alias("after"))
+
+
+def _two(is_new: Column) -> dict[str, Column]:
+    return {"new": F.count_if(is_new), "old": F.count_if(~is_new)}
+
+
+def distribution_distance(rows: DataFrame, by: list[str], value: str, is_new: Column, width: float) -> DataFrame:
+    """Per ``by``: ``ks``, the largest distance of the two empirical distributions (see ``ranged_sums``)."""
+    sums = ranged_sums(rows, by, value, width, _two(is_new))
+    return sums.groupBy(*by).agg(F.max(F.abs(F.col("below_new") / F.col("all_new") - F.col("below_old") / F.col("all_old"))).alias("ks"))
+
+
+def transport_distance(rows: DataFrame, by: list[str], value: str, is_new: Column, width: float) -> DataFrame:
+    """Per ``by``: ``wasserstein``, the area between the two empirical distributions (see ``ranged_sums``)."""
+    sums = ranged_sums(rows, by, value, width, _two(is_new))
+    area = F.abs(F.col("below_new") / F.col("all_new") - F.col("below_old") / F.col("all_old")) * (F.col("after") - F.col(value))
+    return sums.groupBy(*by).agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("wasserstein"))
+
+
+def percentiles(rows: DataFrame, by: list[str], value: str, shares: dict[str, float], width: float) -> DataFrame:
+    """``*by``, the named percentiles of the values, between two values in proportion, and ``n``, the number of values; exactly (see ``ranged_sums``)."""
+    sums = ranged_sums(rows, by, value, width, {"n": F.count(F.lit(1))})
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("below_n") - F.col("n") <= place) & (place < F.col("below_n")), F.col(value)))
+
+    def between(share: float) -> Column:
+        place = F.lit(share) * (F.col("all_n") - 1)
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        return low + (high - low) * F.max(place - F.floor(place))
+
+    return sums.groupBy(*by).agg(*(between(q).alias(k) for k, q in shares.items()), F.max("all_n").alias("n"))
 
 
 def upper_cusum(rows: DataFrame, by: list[str], order: list[str], excess: Column, out: str = "cusum") -> DataFrame:

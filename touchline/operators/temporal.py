@@ -53,3 +53,16 @@ def sessions(events: DataFrame, by: list[str], on: str, tie: str, gap_seconds: i
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
     new = F.coalesce(micros(F.col(on)) - micros(F.lag(on).over(order)) > gap_seconds * 1_000_000, F.lit(False)).cast("long")
     return events.withColumn("__new", new).withColumn("session_no", F.sum("__new").over(order)).drop("__new")
+
+
+def lead_in_parts(rows: DataFrame, by: list[str], part: Column, order: list[str], columns: dict[str, str]) -> DataFrame:
+    """``rows`` with the next row's values of ``columns`` (old name to new) in a group's order.
+
+    ``part`` must not fall along the order (an hour, for example). Rows look ahead inside their part; the last one of a part takes the first of the next
+    part there is, from a table with a row a part. So a group that holds a third of all rows is worked on by many tasks."""
+    rows, value = rows.withColumn("__part", part), F.struct(*columns)
+    first = rows.groupBy(*by, "__part").agg(F.min_by(value, F.struct(*order)).alias("__first"))
+    first = first.select(*by, "__part", F.lead("__first").over(Window.partitionBy(*by).orderBy("__part")).alias("__next"))
+    inside = F.lead(value).over(Window.partitionBy(*by, "__part").orderBy(*order))
+    ahead = rows.withColumn("__ahead", inside).join(first, [*by, "__part"], "left").withColumn("__ahead", F.coalesce("__ahead", "__next"))
+    return ahead.select(*(c for c in rows.columns if c != "__part"), *(F.col(f"__ahead.{c}").alias(new) for c, new in columns.items()))

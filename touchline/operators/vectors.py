@@ -32,10 +32,14 @@ def longest_mean(df: DataFrame, by: str, vector: str) -> DataFrame:
 def nearest(rows: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int) -> DataFrame:
     """``query_id, neighbour_id, rank``: the ``k`` most similar other rows of each query, ties by id.
 
-    Similarities are ranked per (query, salt) first, so that no task gathers all rows of a query."""
-    unit = lambda df: df.select(F.col(id_col).alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
+    Vectors are brought to unit length once, so that a pair costs one product. Similarities are ranked per (query, salt) first, so that no task gathers all rows of a query."""
+
+    def unit(df: DataFrame) -> DataFrame:
+        rows = df.select(F.col(id_col).alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
+        return rows.withColumn("n", F.sqrt(dot(F.col("v"), F.col("v")))).select("id", F.transform("v", lambda x: x / F.col("n")).alias("v"))
+
     q = unit(queries).select(F.col("id").alias("query_id"), F.col("v").alias("qv"))
-    pairs = q.join(unit(rows), F.col("query_id") != F.col("id")).select("query_id", F.col("id").alias("neighbour_id"), F.round(cosine(F.col("qv"), F.col("v")), 9).alias("s"), F.pmod(F.xxhash64("id"), F.lit(64)).alias("salt"))
+    pairs = q.join(unit(rows), F.col("query_id") != F.col("id")).select("query_id", F.col("id").alias("neighbour_id"), F.round(dot(F.col("qv"), F.col("v")), 9).alias("s"), F.pmod(F.xxhash64("id"), F.lit(64)).alias("salt"))
     order = [F.col("s").desc(), F.col("neighbour_id")]
     first = pairs.withColumn("r", F.row_number().over(Window.partitionBy("query_id", "salt").orderBy(*order))).where(F.col("r") <= k)
     return first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k).select("query_id", "neighbour_id", "rank")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.kinematics import control_surface
 from touchline.operators.monitors import transport_distance
+from touchline.operators.temporal import lead_in_parts
 from touchline.operators.vectors import longest_mean
 from touchline.plans.base import query
 from touchline.sources.fields import Field, csv_fields, json_fields, xml_fields
@@ -74,8 +75,8 @@ def d01_pitch_surface(spark, d):
     SELECT node, count(*) AS n_places, round(sum(x), 2) / count(x) AS mean_x FROM (SELECT a AS node, x FROM t WHERE b IS NOT NULL UNION ALL SELECT b, bx FROM t WHERE b IS NOT NULL) GROUP BY node
 """)
 def d28_network_nodes(spark, d):
-    after = Window.partitionBy("event_type").orderBy(*TIME)
-    moves = table(spark, d, "events").select(F.col("user_id").alias("a"), F.col("value").alias("x"), F.lead("user_id").over(after).alias("b"), F.lead("value").over(after).alias("bx")).where("b is not null")
+    places = table(spark, d, "events").select("event_type", *TIME, F.col("user_id").alias("a"), F.col("value").alias("x"))
+    moves = lead_in_parts(places, ["event_type"], F.date_trunc("hour", "ts"), TIME, {"a": "b", "x": "bx"}).where("b is not null")
     ends = moves.select(F.explode(F.array(F.struct(F.col("a").alias("node"), "x"), F.struct(F.col("b").alias("node"), F.col("bx").alias("x")))).alias("e"))
     return ends.groupBy("e.node").agg(F.count(F.lit(1)).alias("n_places"), F.try_divide(F.round(F.sum("e.x"), 2), F.count("e.x")).alias("mean_x"))
 

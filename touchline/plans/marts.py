@@ -75,7 +75,7 @@ def d23_stability_index(spark, d):
     SELECT event_type, round(max(gap), 6) AS ks FROM g GROUP BY event_type
 """)
 def d23_distribution_distance(spark, d):
-    return distribution_distance(table(spark, d, "events").where("value is not null"), ["event_type"], "value", F.col("event_id") % 2 == 1).withColumn("ks", F.round("ks", 6))
+    return distribution_distance(table(spark, d, "events").where("value is not null"), ["event_type"], "value", F.col("event_id") % 2 == 1, width=5).withColumn("ks", F.round("ks", 6))
 
 
 @query("""

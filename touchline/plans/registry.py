@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from touchline.operators.monitors import percentiles
 from touchline.operators.tables import full_outer, surrogate_key, upsert
 from touchline.operators.temporal import asof_join, band_join, latest_state, sessions
 from touchline.operators.vectors import mean_vector, nearest
@@ -110,8 +111,8 @@ def w02_cumulative(spark, d):
 
 @query("""SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90, count(*) AS n FROM events GROUP BY 1""")
 def a05_percentiles(spark, d):
-    p = lambda q: F.round(F.percentile("value", F.lit(q)), 6)
-    return _events(spark, d).groupBy("event_type").agg(p(0.5).alias("p50"), p(0.9).alias("p90"), F.count(F.lit(1)).alias("n"))
+    out = percentiles(_events(spark, d), ["event_type"], "value", {"p50": 0.5, "p90": 0.9}, width=5)
+    return out.select("event_type", F.round("p50", 6).alias("p50"), F.round("p90", 6).alias("p90"), "n")
 
 
 @query("""SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")
