@@ -128,6 +128,50 @@ def line_breaking(passes: DataFrame, opponents: DataFrame, by: list[str], id_col
     return own.mapInArrow(run, f"{id_col} {kind}, is_line_breaking boolean, lines_broken int, line_breaking_type string")
 
 
+def hull_area(points: np.ndarray) -> float:
+    """The area of the convex hull of (points, 2), by walking round it; 0 for points on one line."""
+    order = points[np.lexsort((points[:, 1], points[:, 0]))].tolist()
+
+    def half(way: list) -> list:
+        chain: list = []
+        for p in way:
+            while len(chain) > 1 and (chain[-1][0] - chain[-2][0]) * (p[1] - chain[-2][1]) <= (chain[-1][1] - chain[-2][1]) * (p[0] - chain[-2][0]):
+                chain.pop()
+            chain.append(p)
+        return chain[:-1]
+
+    hull = half(order) + half(order[::-1])
+    return abs(sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(hull, [*hull[1:], *hull[:1]], strict=True))) / 2
+
+
+def team_shapes(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``*by, players, centre_x, centre_y, length, width, stretch, hull_area, line_height, line_gaps`` of each frame (``*by, xs, ys``).
+
+    ``stretch`` is the mean distance from the centre. Along the pitch the players form three lines (``ward_lines``): ``line_height`` is where the hindmost is, ``line_gaps`` lie between
+    neighbours. Frames of fewer than three players have nulls."""
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in by)
+    names = ["centre_x", "centre_y", "length", "width", "stretch", "hull_area", "line_height"]
+
+    def run(batches):
+        for batch in batches:
+            n = np.asarray(batch.column("xs").value_lengths().fill_null(0))
+            out, gaps = np.full((batch.num_rows, len(names)), np.nan), [None] * batch.num_rows
+            for own, xy in _points(batch):
+                if xy.shape[1] < LINES:
+                    continue
+                centre = xy.mean(axis=1)
+                line = ward_lines(xy * [1.0, 0.0])
+                heights = [sorted(p[l == k, 0].mean() for k in set(l.tolist())) for p, l in zip(xy, line, strict=True)]
+                area = [hull_area(p) for p in xy]
+                out[own] = np.column_stack([centre, np.ptp(xy, axis=1), np.sqrt(((xy - centre[:, None]) ** 2).sum(axis=2)).mean(axis=1), area, [h[0] for h in heights]])
+                for i, h in zip(own.tolist(), heights, strict=True):
+                    gaps[i] = np.diff(h).tolist()
+            columns = [pa.array(out[:, k], pa.float64(), mask=np.isnan(out[:, k])) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in by), pa.array(n, pa.int32()), *columns, pa.array(gaps, pa.list_(pa.float64()))], names=[*by, "players", *names, "line_gaps"])
+
+    return rows.select(*by, "xs", "ys").mapInArrow(run, f"{kinds}, players int, " + ", ".join(f"{c} double" for c in names) + ", line_gaps array<double>")
+
+
 @lru_cache(maxsize=64)
 def _triples(n: int) -> np.ndarray:
     return np.array(list(combinations(range(n), 3)), np.int64).reshape(-1, 3)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from touchline.operators import offball, shapes
+from touchline.operators import offball, shapes, threat
 from touchline.operators.kinematics import control_surface
 from touchline.plans.base import query
 from touchline.sources.shared import table
@@ -98,3 +98,71 @@ def d08_pass_timing(spark, d):
     mates = F.filter("players", lambda p: (p["side"] == F.col("side")) & (p["user_id"] != F.col("user_id")))
     found = offball.pass_values(moves.join(teams, "frame").withColumn("mates", mates), "event_id")
     return found.select("event_id", *(F.round(c, 6).alias(c) for c in ("actual", "peak", "optimal", "score")))
+
+
+@query(None)
+def d09_team_shape(spark, d):
+    """Centre, spread, hull and lines of each side in each hour."""
+    out = shapes.team_shapes(_frames(spark, d), ["frame", "side"])
+    return out.select("frame", "side", "players", *(F.round(c, 6).alias(c) for c in ("centre_x", "centre_y", "length", "width", "stretch", "hull_area", "line_height")), F.transform("line_gaps", lambda g: F.round(g, 6)).alias("line_gaps"))
+
+
+def actions(spark, d):
+    """Events as actions in metres: purchases are shots, clicks and views moves to the user's next place; the numbers decide on success."""
+    after = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    x, y = F.col("value") * 1.05, ((F.col("event_id") * 7919) % 680) / 10
+    rows = table(spark, d, "events").select("event_id", "user_id", F.date_trunc("hour", "ts").alias("frame"), "event_type", "value", x.alias("x"), y.alias("y"), F.lead(x).over(after).alias("end_x"), F.lead(y).over(after).alias("end_y"))
+    return rows.withColumns({"league": F.col("user_id").bitwiseAND(3).cast("int"), "is_shot": F.col("event_type") == "purchase", "is_move": F.col("event_type").isin("click", "view"), "success": F.col("event_id") % 3 > 0})
+
+
+ACTIONS = """
+    a AS (SELECT event_id, user_id, (user_id & 3)::INTEGER AS league, date_trunc('hour', ts) AS frame, event_type, value, value * 1.05 AS x, ((event_id * 7919) % 680) / 10 AS y, lead(value * 1.05) OVER w AS ex, lead(((event_id * 7919) % 680) / 10) OVER w AS ey, event_id % 3 > 0 AS ok
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+"""
+ZONE = "(11 - least(greatest(trunc({y} / (68.0::DOUBLE / 12))::INTEGER, 0), 11)) * 16 + least(greatest(trunc({x} / (105.0::DOUBLE / 16))::INTEGER, 0), 15)"
+
+
+@query(f"""
+    WITH {ACTIONS}, z AS (SELECT league, {ZONE.format(x="x", y="y")} AS zone, event_type = 'purchase' AS shot, ex IS NOT NULL AND ey IS NOT NULL AS ended, ok FROM a WHERE x IS NOT NULL AND y IS NOT NULL AND event_type IN ('purchase', 'click', 'view'))
+    SELECT league, zone::INTEGER AS zone, count(*) FILTER (shot) AS shots, count(*) FILTER (shot AND ok) AS goals, count(*) FILTER (NOT shot) AS moves, count(*) FILTER (NOT shot AND ended) AS starts FROM z GROUP BY 1, 2
+""")
+def a15_pitch_zones(spark, d):
+    """Shots, goals and moves of each league in the 192 zones of the pitch."""
+    return threat.zone_counts(actions(spark, d), ["league"])[0]
+
+
+@query(f"""
+    WITH {ACTIONS} SELECT league, ({ZONE.format(x="x", y="y")})::INTEGER AS zone, ({ZONE.format(x="ex", y="ey")})::INTEGER AS to_zone, count(*) AS n FROM a
+    WHERE x IS NOT NULL AND y IS NOT NULL AND ex IS NOT NULL AND ey IS NOT NULL AND ok AND event_type IN ('click', 'view') GROUP BY ALL
+""")
+def a15_zone_transitions(spark, d):
+    """Successful moves of each league from zone to zone."""
+    return threat.zone_counts(actions(spark, d), ["league"])[1]
+
+
+@query(None)
+def d03_zone_values(spark, d):
+    """Expected threat of the 192 zones in each league, repeated until settled."""
+    return threat.expected_threat(actions(spark, d), ["league"]).withColumn("value", F.round("value", 6))
+
+
+CREDIT = """CASE WHEN k AND user_id = defender THEN 'intercept' WHEN value > 0 AND nearest = 1 THEN 'concede' WHEN distance <= 5 THEN 'disturb'
+    WHEN value < 0 AND sqrt((105 - ax) ** 2 + (34 - ay) ** 2) >= 1e-9 AND distance >= 1e-9 AND degrees(acos(greatest(-1, least(1, ((105 - ax) * (x - ax) + (34 - ay) * (y - ay)) / (sqrt((105 - ax) ** 2 + (34 - ay) ** 2) * distance))))) <= 15 THEN 'deter' END"""
+
+
+@query(f"""
+    WITH {ACTIONS}, e AS (SELECT event_id, user_id, frame, x AS ax, y AS ay, round(value - 50, 2) AS value, event_type = 'error' AS k FROM a WHERE x IS NOT NULL),
+    f AS (SELECT frame, defender, x, y FROM (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY last DESC, defender) AS r FROM (SELECT date_trunc('hour', ts) AS frame, user_id AS defender, max((ts, event_id)) AS last, arg_max(value * 1.05, (ts, event_id)) AS x, arg_max(((event_id * 7919) % 680) / 10, (ts, event_id)) AS y FROM events WHERE value IS NOT NULL GROUP BY 1, 2)) WHERE r <= 11),
+    d AS (SELECT e.*, f.defender, f.x, f.y, sqrt((f.x - ax) ** 2 + (f.y - ay) ** 2) AS distance FROM e JOIN f ON e.frame = f.frame),
+    n AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY k AND user_id = defender, distance, defender) AS nearest FROM d),
+    c AS (SELECT event_id, defender, {CREDIT} AS credit, round(distance, 6) AS distance FROM n)
+    SELECT * FROM c WHERE credit IS NOT NULL
+""")
+def d06_defensive_credits(spark, d):
+    """Credits of the eleven users last seen in an hour for the actions of that hour; errors stand for tackles."""
+    rows = actions(spark, d).where("x is not null")
+    acts = rows.select("event_id", F.col("user_id").alias("actor"), "frame", F.when(F.col("event_type") == "error", "tackle").otherwise("pass").alias("action_type"), F.col("x").alias("action_x"), F.col("y").alias("action_y"), F.round(F.col("value") - 50, 2).alias("value"))
+    spots = table(spark, d, "events").select("ts", "event_id", "user_id", F.date_trunc("hour", "ts").alias("frame"), (F.col("value") * 1.05).alias("x"), (((F.col("event_id") * 7919) % 680) / 10).alias("y"))
+    teams = shapes.frames(spots, ["frame"], "user_id", ["ts", "event_id"], most=11)
+    each = teams.select("frame", F.explode(F.arrays_zip("players", "xs", "ys")).alias("p")).select("frame", F.col("p.players").alias("defender"), F.col("p.xs").alias("x"), F.col("p.ys").alias("y"))
+    return threat.defensive_credits(acts.join(each, "frame"), "event_id", "defender").withColumn("distance", F.round("distance", 6))
