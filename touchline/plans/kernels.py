@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from touchline.operators import offball, shapes, threat
+from touchline.operators.augmentation import augmented
 from touchline.operators.kinematics import control_surface
 from touchline.plans.base import query
 from touchline.sources.shared import table
@@ -166,3 +167,33 @@ def d06_defensive_credits(spark, d):
     teams = shapes.frames(spots, ["frame"], "user_id", ["ts", "event_id"], most=11)
     each = teams.select("frame", F.explode(F.arrays_zip("players", "xs", "ys")).alias("p")).select("frame", F.col("p.players").alias("defender"), F.col("p.xs").alias("x"), F.col("p.ys").alias("y"))
     return threat.defensive_credits(acts.join(each, "frame"), "event_id", "defender").withColumn("distance", F.round("distance", 6))
+
+
+SHIFT = "least({most}, greatest(0, {v} + 0.5 * (('0x' || substr(md5(event_id || '|1|{v}'), 1, 8))::BIGINT / 2147483648::DOUBLE - 1)))"
+
+
+@query(f"""
+    WITH e AS (SELECT event_id, (user_id & 1)::INTEGER AS side, value * 1.2 AS x, ((event_id * 7919) % 800) / 10 AS y FROM events WHERE value IS NOT NULL),
+    v AS (SELECT event_id, 'as_is' AS variant, x, y, side FROM e UNION ALL SELECT event_id, 'mirrored', x, 80 - y, side FROM e UNION ALL SELECT event_id, 'swapped', 120 - x, 80 - y, 1 - side FROM e
+        UNION ALL SELECT event_id, 'shifted', {SHIFT.format(v="x", most=120)}, {SHIFT.format(v="y", most=80)}, side FROM e)
+    SELECT event_id, variant, round(x, 6)::DOUBLE AS x, round(y, 6)::DOUBLE AS y, side::INTEGER AS side FROM v
+""")
+def d24_augmented(spark, d):
+    """Each event as it is, mirrored, with sides swapped, and shifted a little."""
+    rows = places(spark, d).where("x is not null").select("event_id", "x", "y", "side")
+    return augmented(rows, "event_id", "side").select("event_id", "variant", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "side")
+
+
+@query("""
+    SELECT 'one kind' AS asked, event_id FROM events WHERE event_type = 'purchase' UNION ALL SELECT 'kind and value', event_id FROM events WHERE event_type = 'click' AND value >= 50
+    UNION ALL SELECT 'everything', event_id FROM events UNION ALL SELECT 'no match', event_id FROM events WHERE event_type = 'x'' OR 1 = 1 --'
+""")
+def p09_optional_clauses(spark, d):
+    """One statement with named parameters, of which any may be left out; values are never part of the statement's text."""
+    asked = {"one kind": ("purchase", None), "kind and value": ("click", 50.0), "everything": (None, None), "no match": ("x' OR 1 = 1 --", None)}
+    out = None
+    for name, (kind, least) in asked.items():
+        text = "SELECT :name AS asked, event_id FROM {events} WHERE (:kind IS NULL OR event_type = :kind) AND (:least IS NULL OR value >= :least)"
+        own = spark.sql(text, args={"name": name, "kind": kind, "least": least}, events=table(spark, d, "events"))
+        out = own if out is None else out.unionByName(own)
+    return out
