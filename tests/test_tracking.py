@@ -1,6 +1,9 @@
 """Tracking feeds that are read by many tasks."""
 
+from datetime import datetime
+
 import pytest
+from touchline.plans.trackers import s03_wide_csv_tracking
 from touchline.sources.tracking import FRAME, wide_csv_tracking, xml_tracking
 
 
@@ -70,3 +73,14 @@ def test_xml_frame_sets(spark, tmp_path, ranges):
     assert sorted((tuple(r)[1:] for r in got.collect()), key=str) == sorted(want, key=str)
     tasks = spark.read.text(str(tmp_path), lineSep=FRAME).rdd.getNumPartitions()
     assert tasks > 10 if ranges == "700" else tasks >= 1
+
+
+def test_wide_csv_of_events(spark, tmp_path):
+    """Players who miss frames at the start, inside and at the end of a line, and one without a number, keep their places."""
+    seen = [(1, 0, 2), (1, 0, 9), (1, 1, 5), (1, 1, None), (2, 3, 5), (1, 2, 2), (1, 2, 5), (1, 2, 9), (1, 2, None)]
+    rows = [(i, datetime(2024, 1, day, hour, 5), user, 12.0 * i) for i, (day, hour, user) in enumerate(seen)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    got = s03_wide_csv_tracking(spark, str(tmp_path)).select("day", "frame", "team", "number", "player", "x", "y").collect()
+    text = lambda u: None if u is None else str(u)
+    want = [(f"2024-01-0{d}", h, "Home" if u is not None and u % 2 == 0 else "Away", text(u), None if u is None else f"Player{u}", 12.0 * i / 120, float(i)) for i, (d, h, u) in enumerate(seen)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)

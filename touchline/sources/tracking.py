@@ -39,7 +39,7 @@ def wide_csv_tracking(spark: SparkSession, path: str) -> DataFrame:
     places = F.sequence(F.lit(LEADING), F.size("c") - 2, F.lit(2))
     text = lambda c: F.trim(F.get(c, F.col("i")))
     narrow = body.where(F.size("c") >= LEADING + 2).withColumn("i", F.explode(places))
-    narrow = narrow.select("file", *(_number(F.get("c", F.lit(k)), kind).alias(n) for k, (n, kind) in enumerate({"period": "int", "frame": "long", "seconds": "double"}.items())), F.nullif(text("team"), F.lit("")).alias("team"), F.nullif(text("number"), F.lit("")).alias("number"), text("name").alias("player"), _number(F.get("c", F.col("i")), "double").alias("x"), _number(F.get("c", F.col("i") + 1), "double").alias("y"))
+    narrow = narrow.select("file", *(_number(F.get("c", F.lit(k)), kind).alias(n) for k, (n, kind) in enumerate({"period": "int", "frame": "long", "seconds": "double"}.items())), F.nullif(text("team"), F.lit("")).alias("team"), F.nullif(text("number"), F.lit("")).alias("number"), F.nullif(text("name"), F.lit("")).alias("player"), _number(F.get("c", F.col("i")), "double").alias("x"), _number(F.get("c", F.col("i") + 1), "double").alias("y"))
     return narrow.where("x is not null and y is not null")
 
 
