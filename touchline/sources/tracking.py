@@ -69,13 +69,14 @@ def xml_tracking(spark: SparkSession, path: str) -> DataFrame:
     opened = F.when(F.col("record").contains("<FrameSet"), opened).when(F.col("record").contains("</FrameSet"), F.lit("<none>"))
     filled = records.withColumn("set", opened).select("file", "block", "record", "set").mapInArrow(_sets_filled, "file string, block long, record string, set string, inside string")
     # The records are in the ranges' order in the reader's tasks; a range's last set is the last that any of its records opens.
-    order = records.withColumn("at", F.monotonically_increasing_id()).withColumn("set", opened)
-    ends = order.where("set is not null").groupBy("file", "block").agg(F.max_by("set", "at").alias("last"))
-    blocks = records.select("file", "block").distinct().join(ends, ["file", "block"], "left")  # a row a range
+    order = records.select("file", "block", F.monotonically_increasing_id().alias("at"), opened.alias("set"))
+    blocks = order.groupBy("file", "block").agg(F.max(F.when(F.col("set").isNotNull(), F.struct("at", "set")))["set"].alias("last"))  # a row a range
     before = F.last("last", ignorenulls=True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     begun = blocks.select("file", "block", before.alias("begun"))
-    rows = filled.join(begun, ["file", "block"]).withColumn("of", F.coalesce("inside", "begun"))
+    rows = filled.join(F.broadcast(begun), ["file", "block"]).withColumn("of", F.coalesce("inside", "begun"))
     attribute = lambda text, name: F.nullif(F.regexp_extract(text, rf'(?:^|\s){name}="([^"]*)"', 1), F.lit(""))
     frame = F.substring_index("record", ">", 1)
-    found = rows.where(F.col("record").rlike(r'^\s*[A-Za-z][\w-]*="')).select("file", *(attribute(F.col("of"), a).alias(n) for a, n in zip(SET, ("section", "match", "team", "player"), strict=True)), _number(attribute(frame, "N"), "long").alias("frame"), attribute(frame, "T").alias("time"), *(_number(attribute(frame, c), "double").alias(c.lower()) for c in "XY"))
-    return found
+    # Texts first, numbers of them then: each attribute is searched for once.
+    texts = rows.where(F.col("record").rlike(r'^\s*[A-Za-z][\w-]*="')).select("file", "of", frame.alias("frame"))
+    texts = texts.select("file", *(attribute(F.col("of"), a).alias(n) for a, n in zip(SET, ("section", "match", "team", "player"), strict=True)), attribute(F.col("frame"), "N").alias("frame"), attribute(F.col("frame"), "T").alias("time"), *(attribute(F.col("frame"), c).alias(c.lower()) for c in "XY"))
+    return texts.withColumns({"frame": _number(F.col("frame"), "long"), "x": _number(F.col("x"), "double"), "y": _number(F.col("y"), "double")})
