@@ -122,3 +122,13 @@ def test_long_secrets_go_whole(spark):
     secret = "A1b2" * 100
     (row,) = pii.redact(frame(spark, [(1, f'login token = "{secret}" end')])).collect()
     assert secret[-20:] not in row.text
+
+
+def test_every_document_gives_an_example(spark):
+    """None is left out of what the trees are fitted on, however many there are; nor is any own candidate that a check vouches for."""
+    rows = [(i, f"plain prose of number {i} and token = {'x' * 16} here") for i in range(4500)]
+    rows = pii._rows(frame(spark, rows), "doc_id", "text")
+    places = pii.contexts(rows)
+    made = pii.planted(places)
+    assert places.count() == made.count() == 4500 and made.select("kind", "label").distinct().count() == 2 * len(pii.EXTRA)
+    assert pii.vouched(pii.candidates(rows)).count() == 4500

@@ -4,8 +4,8 @@ Everything runs as DataFrame operations. A pattern's matches and their places co
 the same pattern: the lengths of the gaps and matches before a match, summed by a window, give its start. Base
 kinds (email, ip, card, phone) are kept as their rules say. Further generators propose overlapping candidates in looser
 formats; gradient-boosted trees over format and context features score them, and thresholds calibrated on held-out
-documents select. No labelled text is needed: the trees are fitted on spans planted into a bounded sample of the documents, and on
-the documents' own candidates that a check outside of the features vouches for or against (check digits, entropy,
+documents select. No labelled text is needed: the trees are fitted on spans planted into every document, and on
+all of the documents' own candidates that a check outside of the features vouches for or against (check digits, entropy,
 a valid number around them).
 """
 
@@ -47,11 +47,11 @@ CONTEXT = 32
 #: Words before or after a candidate that speak for or against personal data.
 FOR = r"(?i)call|phone|tel|mobile|fax|mail|contact|write|ssn|social|identity|iban|account|bank|transfer|token|secret|password|key|login"
 AGAINST = r"(?i)order|invoice|part|isbn|version|ticket|item|model|serial|page|chapter|lot|figure|placeholder|example|sample"
-#: Documents whose places spans are planted at, code points around a place, and own candidates with a vouched label: what the trees are fitted on is bounded.
-SAMPLE_DOCS, SLICE, VOUCHED = 1000, 240, 4000
+#: Code points around a place at which spans are planted.
+SLICE = 240
 #: Documents below which there are too few to hold some out.
 FEW_DOCS = 30
-#: Planted spans at least (few documents get several), trees and their depth.
+#: Planted spans at least (where there are fewer documents, each gets several; else each gets one), trees and their depth.
 EXAMPLES, TREES, DEPTH = 3000, 15, 5
 #: Bits a character of a value up to which it is a filler and from which it is a secret; between them nothing vouches.
 FILLER_ENTROPY, SECRET_ENTROPY = 1.5, 3.0
@@ -165,22 +165,21 @@ def mod97(text: Column) -> Column:
 
 
 def contexts(rows: DataFrame) -> DataFrame:
-    """The stored table ``key, fold, left, right``: places in a sample of SAMPLE_DOCS documents, with the text around them.
-
-    The documents with the smallest hashes are the sample: a bounded one, drawn alike from every part of the table."""
+    """The stored table ``key, fold, left, right``: a place in each document that is not empty, with the text around it."""
     text = F.col("__text")
     hashed = lambda salt: F.xxhash64("__id", "__th", F.lit(salt))
     at = F.pmod(hashed(1), F.greatest(F.length(text) - SLICE + 1, F.lit(1))).cast("int") + 1
     cut = rows.where(F.length(text) > 0).select(hashed(2).alias("key"), F.substr(text, at, F.lit(SLICE)).alias("slice"))
     words = F.split("slice", r"(?<=\s)")
     half = F.floor(F.size(words) / 2).cast("int")
-    places = cut.orderBy("key").limit(SAMPLE_DOCS).select("key", F.array_join(F.slice(words, F.lit(1), half), "").alias("left"), F.array_join(F.slice(words, half + 1, F.size(words)), "").alias("right"))
+    places = cut.select("key", F.array_join(F.slice(words, F.lit(1), half), "").alias("left"), F.array_join(F.slice(words, half + 1, F.size(words)), "").alias("right"))
     return staged(places.withColumn("fold", F.pmod("key", F.lit(3))), "contexts")
 
 
 def planted(places: DataFrame) -> DataFrame:
-    """``__id, __text, kind, at, label, fold``: a span of each further kind, or a look-alike of it, at each place; digits come from hashes.
+    """``__id, __text, kind, at, label, fold``: a span of a further kind, or a look-alike of it, at each place; digits come from hashes.
 
+    With EXAMPLES places or more each has one, the kind by its hash; with fewer each has all kinds.
     Folds are those of the documents (with fewer than FEW_DOCS of them, of the examples), and the held-out one has other introducing words
     than the fitted ones."""
     spark = places.sparkSession
@@ -191,7 +190,7 @@ def planted(places: DataFrame) -> DataFrame:
     again = max(1, -(-EXAMPLES // (n * len(kinds))))
     rows = places.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(again))))
     rows = rows if n >= FEW_DOCS else rows.withColumn("fold", F.pmod("again", F.lit(3)))
-    rows = rows.withColumn("which", F.explode(F.sequence(F.lit(0), F.lit(len(kinds) - 1))))
+    rows = rows.withColumn("which", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(len(kinds))).cast("int") if n >= EXAMPLES else F.explode(F.sequence(F.lit(0), F.lit(len(kinds) - 1))))
     rows = rows.withColumn("id", F.xxhash64("key", "again", "which"))
     d = lambda salt, size: F.lpad((F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(10**size))).cast("string"), size, "0")
     pick = lambda salt, values: F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(values))) + 1).cast("int"))
@@ -221,7 +220,7 @@ def vouched(found: DataFrame) -> DataFrame:
     """Candidates of the documents themselves with a label that a check gives which the trees' features don't hold: ``kind, label, fold`` and the candidate.
 
     A local number inside of a valid international one is a phone number, an account number whose rest by 97 is right is one (another may be mistyped: no label), and a secret is told
-    from a filler by the entropy of its value. At most VOUCHED candidates, those with the smallest hashes."""
+    from a filler by the entropy of its value."""
     own = found.where(F.col("kind").isin(*EXTRA))
     phones = found.where(F.col("kind") == "phone").where(base_valid()).select(F.col("__id").alias("p_id"), F.col("__th").alias("p_th"), F.col("start").alias("p_start"), F.col("end").alias("p_end"))
     inside = (F.col("kind") == "phone_local") & F.col("__id").eqNullSafe(F.col("p_id")) & (F.col("__th") == F.col("p_th")) & (F.col("start") >= F.col("p_start")) & (F.col("end") <= F.col("p_end"))
@@ -229,9 +228,7 @@ def vouched(found: DataFrame) -> DataFrame:
     label = F.when((F.col("kind") == "secret") & (entropy(value) >= SECRET_ENTROPY), True).when((F.col("kind") == "secret") & (entropy(value) <= FILLER_ENTROPY), False).when((F.col("kind") == "iban") & (mod97(F.col("match")) == 1), True)
     local = own.join(phones, inside, "left_semi").withColumn("label", F.lit(1.0))
     others = own.where(F.col("kind").isin("secret", "iban")).withColumn("label", label.cast("double"))
-    key = F.xxhash64("__id", "__th", "kind", "start")
-    both = local.unionByName(others).where("label is not null").withColumn("key", key).orderBy("key").limit(VOUCHED)
-    return both.withColumn("fold", F.pmod(F.xxhash64("__id", "__th", F.lit(2)), F.lit(3)))
+    return local.unionByName(others).where("label is not null").withColumn("fold", F.pmod(F.xxhash64("__id", "__th", F.lit(2)), F.lit(3)))
 
 
 def fit(rows: DataFrame, found: DataFrame) -> tuple[GBTClassificationModel, dict[str, float]]:
@@ -243,11 +240,14 @@ def fit(rows: DataFrame, found: DataFrame) -> tuple[GBTClassificationModel, dict
     own = candidates(made.select("__id", F.lit(b"").alias("__th"), "__text")).join(made.select("__id", "kind", "at", "label", "fold"), ["__id", "kind"]).where("start = at")
     columns = ["kind", "match", "before", "after", "label", "fold"]
     table = own.select(columns).unionByName(vouched(found).select(columns))
-    table = staged(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(table)).select("kind", "label", "fold", "features"), "examples")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, labelCol="label", cacheNodeIds=False, checkpointInterval=-1).fit(table.where("fold < 2"))
-    scored = model.transform(table.where("fold = 2")).select("kind", "label", F.round(vector_to_array("probability")[1], 6).alias("p"))
+    # Examples alike in all features are one row, weighted by their number.
+    alike = with_features(table).groupBy("kind", "label", "fold", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    table = staged(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(alike).select("kind", "label", "fold", "weight", "features"), "examples")
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, labelCol="label", weightCol="weight", cacheNodeIds=False, checkpointInterval=-1).fit(table.where("fold < 2"))
+    scored = model.transform(table.where("fold = 2")).select("kind", "label", "weight", F.round(vector_to_array("probability")[1], 6).alias("p"))
+    scored = scored.groupBy("kind", "p").agg(F.sum("weight").alias("all"), F.sum(F.col("label") * F.col("weight")).alias("right"))
     falling = Window.partitionBy("kind").orderBy(F.col("p").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    precise = scored.withColumn("precision", F.avg("label").over(falling)).groupBy("kind", "p").agg(F.first("precision").alias("precision"))
+    precise = scored.withColumn("precision", F.sum("right").over(falling) / F.sum("all").over(falling)).select("kind", "p", "precision")
     # The threshold lies in the middle between the lowest score that is precise enough and the next one below it.
     precise = precise.withColumn("lower", F.coalesce(F.lag("p").over(Window.partitionBy("kind").orderBy("p")), F.lit(0.0))).where(F.col("precision") >= LEAST_PRECISION)
     got = {r["kind"]: (r["t"]["p"] + r["t"]["lower"]) / 2 for r in precise.groupBy("kind").agg(F.min(F.struct("p", "lower")).alias("t")).collect()}  # a row a kind
