@@ -20,8 +20,7 @@ def _seen(spark, d):
 def _written(rows, path):
     """A text file a day, its rows in the order of ``k``.
 
-    A day that can't be null is no new column to the writer, which would else sort once more, by the day alone: where that sort spills,
-    rows of a day change places."""
+    The day can't be null, so that the writer has no reason to make another column of it and sort by that alone."""
     rows.select(F.coalesce("day", F.lit("none")).alias("day"), "k", "value").repartition("day").sortWithinPartitions("day", "k").select("day", "value").write.partitionBy("day").text(path)
 
 
