@@ -49,6 +49,22 @@ def test_similar_names_equal_all_pairs(spark, floor, top, others_only):
     assert sorted((r.id_a, r.id_b, round(r.score, 6), r["rank"]) for r in got.collect()) == [(i, j, round(s, 6), r) for i, j, s, r in cosine_matches(a, b, floor, top, others_only)]
 
 
+def test_names_alike_are_not_all_compared(spark, monkeypatch):
+    """Numbered names all reach the floor; the pairs that are summed grow with the names, not with their square."""
+    sums, seen = similarity._cosines, []
+    monkeypatch.setattr(similarity, "_cosines", lambda pairs, *how: (seen.append(pairs.count()), sums(pairs, *how))[1])
+    compared = {}
+    for n in (300, 1200):
+        seen.clear()
+        rows = people(spark, [f"Customer#{i * 7:09d}" for i in range(n)])
+        got = similarity.similar_names(rows, rows, staged, floor=0.3, top=5, others_only=True)
+        compared[n] = sum(seen)
+        if n == 300:
+            every = [(i, f"Customer#{i * 7:09d}") for i in range(n)]
+            assert sorted((r.id_a, r.id_b, round(r.score, 6), r["rank"]) for r in got.collect()) == [(i, j, round(s, 6), r) for i, j, s, r in cosine_matches(every, every, 0.3, 5, True)]
+    assert compared[1200] < 8 * compared[300] and compared[1200] < 1200 * 1200 / 8
+
+
 def test_no_plan_compares_all_pairs(spark):
     weights = similarity.gram_weights(people(spark, names()), people(spark, names(4), 500), "name", 3, staged)
     for df in (similarity.similar_pairs(weights, 0.4), similarity.ratio_pairs(*(people(spark, names(k)).select("name").where("name <> ''") for k in (1, 2)), 70.0)):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.names import birth_match, birth_token, folded_name, sorted_tokens, subsequence_ratio
 from touchline.operators.graph import connected_components
-from touchline.operators.similarity import Stage, _first, gram_weights, similar_pairs
+from touchline.operators.similarity import Stage, _first, gram_weights, name_vectors, nearest_names
 
 #: Parts of position names and the group they stand for, the first that occurs counts (fixed values).
 POSITION_GROUPS = [("gk", "Goalkeeper"), ("goalkeeper", "Goalkeeper"), ("df", "Defender"), ("defender", "Defender"), ("mf", "Midfielder"), ("midfielder", "Midfielder"), ("fw", "Forward"), ("forward", "Forward"), ("back", "Defender"), ("midfield", "Midfielder"), ("wing", "Forward"), ("striker", "Forward")]
@@ -68,15 +68,14 @@ def _layer(a: DataFrame, b: DataFrame, layer: Layer, stage: Stage) -> DataFrame:
     """``id_a, id_b, score``: pairs that are each other's best candidate and reach the layer's threshold."""
     if layer.team:
         a, b = stage(a.join(b.select("team").distinct(), "team", "left_semi"), "layer-a"), stage(b.join(a.select("team").distinct(), "team", "left_semi"), "layer-b")
-    pairs = stage(similar_pairs(gram_weights(a, b, "sought", 3, stage), layer.floor), "similar-names")
+    vectors = name_vectors(gram_weights(a, b, "sought", 3, stage), stage)
 
     def candidates(of: str, by: DataFrame, to: DataFrame) -> DataFrame:
         """The TOP candidates of each row on one side, copies of a name by their ids."""
         other = "b" if of == "a" else "a"
-        order = [F.col("score").desc(), F.col(f"id_{other}")]
-        ids = _first(to.select(F.col("sought").alias(f"name_{other}"), F.col("id").alias(f"id_{other}")), [f"name_{other}"], [F.col(f"id_{other}")], TOP)
-        best = _first(pairs.join(ids.drop("rank"), f"name_{other}"), [f"name_{of}"], order, TOP)
-        return by.select(F.col("sought").alias(f"name_{of}"), F.col("id").alias(f"id_{of}")).join(best.select(f"name_{of}", f"id_{other}"), f"name_{of}").select("id_a", "id_b")
+        ids = stage(_first(to.select(F.col("sought").alias("name"), "id"), ["name"], [F.col("id")], TOP).drop("rank"), "name-ids")
+        best = nearest_names(vectors, ids, of, layer.floor, TOP, stage)
+        return by.select(F.col("sought").alias("name"), F.col("id").alias(f"id_{of}")).join(best.select("name", F.col("id").alias(f"id_{other}")), "name").select("id_a", "id_b")
 
     both = candidates("a", a, b).withColumn("way", F.lit("a")).unionByName(candidates("b", b, a).withColumn("way", F.lit("b")))
     whole = lambda rows, s: rows.select(F.col("id").alias(f"id_{s}"), F.struct("full", "short", "birth", "place", "number").alias(s))

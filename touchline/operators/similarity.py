@@ -4,6 +4,7 @@ Both work on distinct names: copies of a name are neither compared with each oth
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,12 @@ from touchline.functions.names import grams, sorted_tokens, subsequence_ratio
 Stage = Callable[[DataFrame, str], DataFrame]
 #: Allowance for sums of floating point numbers, and digits a similarity is rounded to.
 SLACK, DIGITS = 1e-9, 9
+#: Cosines at which nearest names are searched for one after the other, above the floor asked for.
+LEVELS = (0.85, 0.7, 0.55, 0.4)
+#: Grams are taken into a key until, were they independent, names ** (1 - RARE) names had them all; at most MOST_GRAMS.
+RARE, MOST_GRAMS = 1.5, 6
+#: Grams of a smaller rarity than this, those of more than a third of the rows, are in no key.
+COMMON = 1.0
 
 
 def _first(rows: DataFrame, keys: list[str], order: list[Column], most: int, rank: str = "rank") -> DataFrame:
@@ -21,22 +28,23 @@ def _first(rows: DataFrame, keys: list[str], order: list[Column], most: int, ran
 
 
 def gram_weights(a: DataFrame, b: DataFrame, name: str, n: int, stage: Stage) -> DataFrame:
-    """The stored inverted index ``name, in_a, in_b, g, w, left``: weights of the n-grams of each distinct name.
+    """The stored inverted index ``name, in_a, in_b, g, w, left, rarity, shared``: weights of the n-grams of each distinct name.
 
     Weights are occurrences times ln((1 + rows) / (1 + rows with the gram)) + 1 over all rows of both sides, of unit length for a
-    name. Grams of a name stand in one order for all names, the rarest first; ``left`` is the length of the vector from this gram on."""
+    name. Grams of a name stand in one order for all names, the rarest first; ``left`` is the length of the vector from this gram on. ``rarity`` is the
+    logarithm above, ``shared`` says whether names of both sides have the gram."""
     side = lambda rows, in_a: rows.select(F.col(name).alias("name"), F.lit(in_a).alias("is_a"))
     names = side(a, True).unionByName(side(b, False)).where("name is not null")
     names = stage(names.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.max("is_a").alias("in_a"), F.max(~F.col("is_a")).alias("in_b")), "names")
     total = names.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     counts = names.select("name", "rows", "in_a", "in_b", F.explode(grams(F.col("name"), n)).alias("g")).groupBy("name", "rows", "in_a", "in_b", "g").agg(F.count(F.lit(1)).alias("tf"))
     counts = stage(counts, "gram-counts")
-    known = counts.groupBy("g").agg(F.sum("rows").alias("df"))
-    weighted = counts.join(known, "g").withColumn("w", F.col("tf") * (F.log((1 + total) / (1 + F.col("df"))) + 1))
+    known = counts.groupBy("g").agg(F.sum("rows").alias("df"), (F.max("in_a") & F.max("in_b")).alias("shared"))
+    weighted = counts.join(known, "g").withColumn("rarity", F.log((1 + total) / (1 + F.col("df")))).withColumn("w", F.col("tf") * (F.col("rarity") + 1))
     own = Window.partitionBy("name")
     unit = weighted.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(own)))
     before = F.coalesce(F.sum(F.col("w") * F.col("w")).over(own.orderBy("df", "g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return stage(unit.withColumn("left", F.sqrt(F.greatest(1 - before, F.lit(0.0)))).select("name", "in_a", "in_b", "g", "w", "left"), "gram-weights")
+    return stage(unit.withColumn("left", F.sqrt(F.greatest(1 - before, F.lit(0.0)))).select("name", "in_a", "in_b", "g", "w", "left", "rarity", "shared"), "gram-weights")
 
 
 def similar_pairs(weights: DataFrame, floor: float) -> DataFrame:
@@ -49,24 +57,95 @@ def similar_pairs(weights: DataFrame, floor: float) -> DataFrame:
     side = lambda s: reach.where(f"in_{s}").select("g", F.col("name").alias(f"name_{s}"), F.col("w").alias(f"w_{s}"), F.col("after").alias(f"after_{s}"))
     bound = F.col("w_a") * F.col("w_b") + F.col("after_a") * F.col("after_b")
     pairs = side("a").join(side("b"), "g").where(bound >= floor - SLACK).select("name_a", "name_b").distinct()
-    vectors = weights.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("g", "w"))).alias("v"))  # as long as a name
+    return _cosines(pairs, weights.groupBy("name").agg(_vector()), floor)
+
+
+def _vector() -> Column:
+    return F.map_from_entries(F.collect_list(F.struct("g", "w"))).alias("v")  # as long as a name
+
+
+def _cosines(pairs: DataFrame, vectors: DataFrame, floor: float) -> DataFrame:
+    """``name_a, name_b, score`` of the pairs that reach ``floor``; ``vectors`` has ``name, v``."""
     both = pairs.join(vectors.select(F.col("name").alias("name_a"), F.col("v").alias("va")), "name_a").join(vectors.select(F.col("name").alias("name_b"), F.col("v").alias("vb")), "name_b")
     dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, x: s + x["value"] * F.coalesce(F.try_element_at("vb", x["key"]), F.lit(0.0)))
     return both.select("name_a", "name_b", F.round(dot, DIGITS).alias("score")).where(F.col("score") >= floor)
 
 
+def _keyed(names: DataFrame, level: float, other: float, common: float, enough: float) -> DataFrame:
+    """``key, name, head, after``: a row for each start of what a name can share with another, by its rarest grams.
+
+    ``names`` comes from ``name_vectors``; names of the other side have lengths of ``other`` at most, ``common`` in common grams. What is
+    passed over is bounded, as shared grams need a length of ``level / other``. A key is the first shared rare grams until their rarities add
+    up to ``enough``, or all of them; ``head`` and ``after`` are the lengths of the vector in them and behind them."""
+    # What a key takes is told from its own grams, in one order, so that both names of a pair end it at the same gram.
+    rows = names.select("name", "g", "w", "rarity", "tail", F.lit(42).cast("long").alias("key"), F.lit(1).alias("at"), (F.get("tail", F.lit(0)) - (level / other) ** 2 + SLACK).alias("spare"), F.lit(0.0).alias("head"), F.lit(0.0).alias("known"), F.lit(False).alias("whole"), F.lit(False).alias("ended")).where("spare >= 0")
+    size, at, i = F.size("g"), F.col("at"), F.col("i")
+    for _ in range(MOST_GRAMS):
+        here = F.element_at("tail", at)
+        ways = F.filter(F.sequence(at, size + 1), lambda x: here - F.element_at("tail", x) <= F.col("spare"))  # noqa: B023
+        rows = rows.withColumn("i", F.explode(F.when(F.col("whole"), F.array(F.lit(0))).otherwise(ways)))
+        end, w = i > size, F.get("w", i - 1)
+        new = {"key": F.xxhash64("key", F.when(end, F.lit("")).otherwise(F.get("g", i - 1))), "spare": F.col("spare") - (here - F.element_at("tail", i)), "head": F.col("head") + F.when(end, 0.0).otherwise(w * w), "known": F.col("known") + F.when(end, 0.0).otherwise(F.get("rarity", i - 1)), "at": F.least(i, size) + 1, "ended": end}
+        rows = rows.withColumns({c: F.when(F.col("whole"), F.col(c)).otherwise(x) for c, x in new.items()} | {"whole": F.col("whole") | end | (new["known"] >= enough)})
+    rows = rows.select("key", "name", "ended", F.sqrt("head").alias("head"), F.sqrt(F.greatest(F.element_at("tail", at), F.lit(0.0))).alias("after"))
+    return rows.where(F.col("head") * other + F.col("after") * F.when(F.col("ended"), common).otherwise(other) >= level - SLACK).drop("ended")
+
+
+def name_vectors(weights: DataFrame, stage: Stage) -> DataFrame:
+    """Of ``gram_weights`` a stored row for each name that shares a gram with the other side, for ``nearest_names``.
+
+    ``g, w, rarity`` are its rare grams, the rarest first, ``tail`` the squares of the vector's length from each on and, last, in common grams,
+    ``v`` all its grams that both sides have."""
+    own = weights.where("shared").groupBy("name", "in_a", "in_b").agg(F.sort_array(F.collect_list(F.struct((-F.col("rarity")).alias("r"), "g", "w"))).alias("e"), _vector())
+    rare = F.filter("e", lambda x: x["r"] <= -COMMON)
+    add = lambda s, x: s + x["w"] * x["w"]
+    common = F.aggregate(F.filter("e", lambda x: x["r"] > -COMMON), F.lit(0.0), add)
+    squares = F.aggregate(F.reverse(rare), F.array(common), lambda s, x: F.concat(F.array(add(F.get(s, F.lit(0)), x)), s))
+    return stage(own.select("name", "in_a", "in_b", "v", rare["g"].alias("g"), rare["w"].alias("w"), F.transform(rare, lambda x: -x["r"]).alias("rarity"), squares.alias("tail")), "name-vectors")
+
+
+def nearest_names(vectors: DataFrame, ids: DataFrame, of: str, floor: float, keep: int, stage: Stage) -> DataFrame:
+    """The stored ``name, id, score``: of each distinct name of side ``of`` (a or b) the ``keep`` most similar rows of the other side.
+
+    Similarities are cosines of ``floor`` or more, ties go to the smaller id; ``ids`` has ``name, id`` of the other side, of each name at
+    least its ``keep`` smallest ids. Names are searched for level by level: those that find ``keep`` rows at a level have all of that
+    level's, and look no lower. Pairs share a key (``_keyed``) there and are summed only if the lengths of both in it and behind it allow
+    the level, so that near names are compared, not all that are alike in their common grams."""
+    to = "b" if of == "a" else "a"
+    length = lambda s, at: F.sqrt(F.max(F.when(F.col(f"in_{s}"), F.element_at("tail", at))))
+    most = vectors.agg(*(length(s, at).alias(name) for s in (of, to) for name, at in ((s, 1), (f"common_{s}", -1))), F.count_if(f"in_{to}").alias("n")).first()
+    against = {of: to, to: of}
+    side = lambda rows, s, level: _keyed(rows, level, most[against[s]], most[f"common_{against[s]}"], RARE * math.log(1 + most["n"])).select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("name", "head", "after")))
+    left, found = vectors.where(f"in_{of}"), None
+    for level in [x for x in LEVELS if x > floor] + [floor]:
+        if not most["n"] or most[of] is None or level > most[of] * most[to] + SLACK:
+            continue
+        own = stage(side(left, of, level), "name-keys")
+        other = side(vectors.where(f"in_{to}"), to, level)
+        bound = F.col("head_a") * F.col("head_b") + F.col("after_a") * F.col("after_b")
+        near = other.join(own, "key").where(bound >= level - SLACK).select("name_a", "name_b").repartition(f"name_{of}").distinct()
+        scored = _cosines(near, vectors, level).select(F.col(f"name_{of}").alias("of"), F.col(f"name_{to}").alias("name"), "score")
+        best = stage(_first(scored.join(ids, "name"), ["of"], [F.col("score").desc(), F.col("id")], keep).select(F.col("of").alias("name"), "id", "score", "rank"), "nearest-names")
+        full = best.where(F.col("rank") == keep).select("name")
+        kept = (best if level == floor else best.join(full, "name", "left_semi")).drop("rank")
+        found = kept if found is None else found.unionByName(kept)
+        if level > floor:
+            left = stage(left.join(full, "name", "left_anti"), "names-left")
+            if left.isEmpty():
+                break
+    return ids.select("name", "id", F.lit(0.0).alias("score")).where("false") if found is None else found
+
+
 def similar_names(a: DataFrame, b: DataFrame, stage: Stage, id_col: str = "id", name: str = "name", floor: float = 0.4, top: int = 5, n: int = 3, others_only: bool = False) -> DataFrame:
     """``id_a, id_b, score, rank``: of each row of ``a`` the ``top`` rows of ``b`` with the most similar names, ``floor`` or more, ties by id.
 
     Similarity is the cosine of the names' n-gram weights (``gram_weights``). With ``others_only``, a row is not matched with one of
     its own id. Names that are null or shorter than an n-gram match nothing. ``stage`` writes a frame to shared storage and reads it back."""
-    weights = gram_weights(a, b, name, n, stage)
-    pairs = similar_pairs(weights, floor)
     keep = top + int(others_only)
-    ids = _first(b.select(F.col(name).alias("name_b"), F.col(id_col).alias("id_b")), ["name_b"], [F.col("id_b")], keep).drop("rank")
+    ids = stage(_first(b.select(F.col(name).alias("name"), F.col(id_col).alias("id")), ["name"], [F.col("id")], keep).drop("rank"), "name-ids")
+    best = nearest_names(name_vectors(gram_weights(a, b, name, n, stage), stage), ids, "a", floor, keep, stage)
+    found = a.select(F.col(id_col).alias("id_a"), F.col(name).alias("name")).join(best.withColumnRenamed("id", "id_b"), "name").select("id_a", "id_b", "score")
     order = [F.col("score").desc(), F.col("id_b")]
-    best = stage(_first(pairs.join(ids, "name_b"), ["name_a"], order, keep).select("name_a", "id_b", "score"), "best-names")
-    found = a.select(F.col(id_col).alias("id_a"), F.col(name).alias("name_a")).join(best, "name_a").select("id_a", "id_b", "score")
     return _first(found.where("id_a <> id_b") if others_only else found, ["id_a"], order, top)
 
 
