@@ -7,6 +7,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,18 +78,37 @@ def _keyed(names: DataFrame, level: float, other: float, common: float, enough:
     ``names`` comes from ``name_vectors``; names of the other side have lengths of ``other`` at most, ``common`` in common grams. What is
     passed over is bounded, as shared grams need a length of ``level / other``. A key is the first shared rare grams until their rarities add
     up to ``enough``, or all of them; ``head`` and ``after`` are the lengths of the vector in them and behind them."""
-    # What a key takes is told from its own grams, in one order, so that both names of a pair end it at the same gram.
-    rows = names.select("name", "g", "w", "rarity", "tail", F.lit(42).cast("long").alias("key"), F.lit(1).alias("at"), (F.get("tail", F.lit(0)) - (level / other) ** 2 + SLACK).alias("spare"), F.lit(0.0).alias("head"), F.lit(0.0).alias("known"), F.lit(False).alias("whole"), F.lit(False).alias("ended")).where("spare >= 0")
-    size, at, i = F.size("g"), F.col("at"), F.col("i")
-    for _ in range(MOST_GRAMS):
-        here = F.element_at("tail", at)
-        ways = F.filter(F.sequence(at, size + 1), lambda x: here - F.element_at("tail", x) <= F.col("spare"))  # noqa: B023
-        rows = rows.withColumn("i", F.explode(F.when(F.col("whole"), F.array(F.lit(0))).otherwise(ways)))
-        end, w = i > size, F.get("w", i - 1)
-        new = {"key": F.xxhash64("key", F.when(end, F.lit("")).otherwise(F.get("g", i - 1))), "spare": F.col("spare") - (here - F.element_at("tail", i)), "head": F.col("head") + F.when(end, 0.0).otherwise(w * w), "known": F.col("known") + F.when(end, 0.0).otherwise(F.get("rarity", i - 1)), "at": F.least(i, size) + 1, "ended": end}
-        rows = rows.withColumns({c: F.when(F.col("whole"), F.col(c)).otherwise(x) for c, x in new.items()} | {"whole": F.col("whole") | end | (new["known"] >= enough)})
-    rows = rows.select("key", "name", "ended", F.sqrt("head").alias("head"), F.sqrt(F.greatest(F.element_at("tail", at), F.lit(0.0))).alias("after"))
-    return rows.where(F.col("head") * other + F.col("after") * F.when(F.col("ended"), common).otherwise(other) >= level - SLACK).drop("ended")
+    rows = names.select("name", "g", "w", "rarity", "tail").where(F.get("tail", F.lit(0)) >= (level / other) ** 2 - SLACK)
+    return rows.mapInPandas(_starts(level, other, common, enough), "key string, name string, head double, after double")
+
+
+def _starts(level: float, other: float, common: float, enough: float) -> Callable:
+    def run(frames):
+        for f in frames:
+            out = []
+            for name, g, w, rarity, tail in zip(f["name"], f["g"], f["w"], f["rarity"], f["tail"], strict=True):
+                g, w, rarity, tail, n = list(g), list(w), list(rarity), list(tail), len(g)
+                # What a key takes is told from its own grams, in one order, so that both names of a pair end it at the same gram.
+                open_keys = [("", 0, 0, tail[0] - (level / other) ** 2 + SLACK, 0.0, 0.0)]
+                while open_keys:
+                    key, k, at, spare, head, known = open_keys.pop()
+                    for i in range(at, n + 1):
+                        left = spare - (tail[at] - tail[i])
+                        if left < 0:
+                            break
+                        if i == n:
+                            row, most = (key, name, math.sqrt(head), math.sqrt(max(tail[n], 0.0))), common
+                        else:
+                            longer = (f"{key}{g[i]}\n", k + 1, i + 1, left, head + w[i] * w[i], known + rarity[i])
+                            if longer[5] < enough and k + 1 < MOST_GRAMS:
+                                open_keys.append(longer)
+                                continue
+                            row, most = (longer[0] + "+", name, math.sqrt(longer[4]), math.sqrt(max(tail[i + 1], 0.0))), other
+                        if row[2] * other + row[3] * most >= level - SLACK:
+                            out.append(row)
+            yield pd.DataFrame(out, columns=["key", "name", "head", "after"])
+
+    return run
 
 
 def name_vectors(weights: DataFrame, stage: Stage) -> DataFrame:
