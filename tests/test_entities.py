@@ -118,6 +118,16 @@ def test_best_names_equal_all_pairs(spark, cutoff, floor):
     assert len({r.id_b for r in got}) == len({r.id_a for r in got}) == len(got)
 
 
+def test_few_numbered_names_are_compared(spark, monkeypatch):
+    """Names of two kinds with numbers: most reach the floor, few are scored, the matches are those of all pairs."""
+    ratios, seen = similarity.ratio_pairs, []
+    monkeypatch.setattr(similarity, "ratio_pairs", lambda *how: (seen.append(ratios(*how).count()), ratios(*how))[1])
+    left, right = [f"Supplier#{i * 3:09d}" for i in range(40)], [f"Customer#{i * 2:09d}" for i in range(200)]
+    got = similarity.best_names(people(spark, left), people(spark, right, 1000), staged).collect()
+    assert sorted((r.id_a, r.id_b, round(r.score, 6), None if r.runner_up is None else round(r.runner_up, 6)) for r in got) == one_to_one(list(enumerate(left)), list(enumerate(right, 1000)), 70.0, 50.0)
+    assert sum(seen) < len(left) * len(right) / 2
+
+
 def test_names_and_dates(spark):
     texts = ["Ángel  DI-María ", "Straße Ærø", "Łukasz Đokić", "éa", None, "", "!?", "a_b"]
     got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(folded_name(F.col("t"))).collect()]

@@ -6,6 +6,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from itertools import combinations
+from math import comb
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +24,8 @@ LEVELS = (0.85, 0.7, 0.55, 0.4)
 RARE, MOST_GRAMS = 1.5, 6
 #: Grams of a smaller rarity than this, those of more than a third of the rows, are in no key.
 COMMON = 1.0
+#: Subsequences of a name that are joined at most; where there are more, pairs of rare characters are.
+MOST_SUBSEQUENCES = 300
 
 
 def _first(rows: DataFrame, keys: list[str], order: list[Column], most: int, rank: str = "rank") -> DataFrame:
@@ -185,16 +189,60 @@ def _signed(names: DataFrame, tokens: DataFrame, cutoff: float) -> DataFrame:
     return own.select("name", F.explode(two).alias("signature"))
 
 
-def ratio_pairs(names_a: DataFrame, names_b: DataFrame, cutoff: float) -> DataFrame:
-    """``name_a, name_b, score``: all pairs of distinct texts (column ``name``) whose subsequence ratio is ``cutoff`` or more."""
-    both = names_a.unionByName(names_b).distinct()
-    chars = both.select("name", F.explode(F.split("name", "")).alias("c")).groupBy("name", "c").agg(F.count(F.lit(1)).alias("m"))
-    # A row for each character and number of its occurrences in a name: as many as there are characters, not names.
-    tokens = chars.select("c", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("k")).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
-    side = lambda rows, s: _signed(rows, tokens, cutoff).withColumnRenamed("name", f"name_{s}")
-    pairs = side(names_a, "a").join(side(names_b, "b"), "signature").select("name_a", "name_b").distinct()
+def _shape(letters: list[str]) -> Column:
+    """A name's length and how many of its characters are among ``letters``, as text."""
+    return F.concat_ws(",", F.length("name"), F.size(F.filter(F.split("name", ""), lambda c: c.isin(letters))))
+
+
+def name_shapes(names_a: DataFrame, names_b: DataFrame) -> tuple[list[str], list[str], list[str]]:
+    """The characters that occur on both sides and each side's distinct shapes: as many as there are characters and lengths, not names."""
+    chars = lambda rows: rows.select(F.explode(F.split("name", "")).alias("c")).distinct()
+    letters = sorted(r[0] for r in chars(names_a).intersect(chars(names_b)).collect())
+    return letters, *([r[0] for r in rows.select(_shape(letters)).distinct().collect()] for rows in (names_a, names_b))
+
+
+def _least(a: str, b: str, cutoff: float) -> tuple[int, int, int]:
+    """Of two shapes: the common characters that ``cutoff`` needs, and how many both have to choose from."""
+    (long_a, own_a), (long_b, own_b) = (map(int, x.split(",")) for x in (a, b))
+    return math.ceil(cutoff / 200 * (long_a + long_b) - SLACK), own_a, own_b
+
+
+def _subsequences(needs: dict[str, set[int]], letters: list[str]) -> Callable:
+    def run(frames):
+        known = set(letters)
+        for f in frames:
+            own = ((name, [c for c in name if c in known], shape) for name, shape in zip(f["name"], f["shape"], strict=True))
+            yield pd.DataFrame([(name, "".join(x)) for name, text, shape in own for n in needs.get(shape, ()) for x in set(combinations(text, n))], columns=["name", "signature"])
+
+    return run
+
+
+def ratio_pairs(names_a: DataFrame, names_b: DataFrame, cutoff: float, shapes: tuple[list[str], list[str], list[str]] | None = None) -> DataFrame:
+    """``name_a, name_b, score``: all pairs of distinct texts (column ``name``) whose subsequence ratio is ``cutoff`` or more.
+
+    Characters that only one side has are in no common subsequence. Where few of the others may be missing, both names' subsequences of the
+    length needed are joined; elsewhere pairs of rare characters."""
+    letters, shapes_a, shapes_b = shapes or name_shapes(names_a, names_b)
+    short, rough = ({}, {}), (set(), set())
+    for x in shapes_a:
+        for y in shapes_b:
+            least, *own = _least(x, y, cutoff)
+            if least <= min(own):
+                few = max(comb(n, least) for n in own) <= MOST_SUBSEQUENCES
+                for k, shape in enumerate((x, y)):
+                    short[k].setdefault(shape, set()).add(least) if few else rough[k].add(shape)
+    shaped = [rows.withColumn("shape", _shape(letters)) for rows in (names_a, names_b)]
+    signed = lambda k: shaped[k].mapInPandas(_subsequences(short[k], letters), "name string, signature string").withColumnRenamed("name", f"name_{'ab'[k]}")
+    pairs = signed(0).join(signed(1), "signature").select("name_a", "name_b")
+    if rough[0]:
+        both = names_a.select("name").unionByName(names_b.select("name")).distinct()
+        chars = both.select("name", F.explode(F.split("name", "")).alias("c")).groupBy("name", "c").agg(F.count(F.lit(1)).alias("m"))
+        # A row for each character and number of its occurrences in a name: as many as there are characters, not names.
+        tokens = chars.select("c", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("k")).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
+        side = lambda k: _signed(shaped[k].where(F.col("shape").isin(sorted(rough[k]))).select("name"), tokens, cutoff).withColumnRenamed("name", f"name_{'ab'[k]}")
+        pairs = pairs.unionByName(side(0).join(side(1), "signature").select("name_a", "name_b"))
     a, b = F.length("name_a"), F.length("name_b")
-    near = pairs.where(cutoff / 200 * (a + b) <= F.least(a, b) + SLACK)
+    near = pairs.distinct().where(cutoff / 200 * (a + b) <= F.least(a, b) + SLACK)
     return near.withColumn("score", F.round(subsequence_ratio("name_a", "name_b"), DIGITS)).where(F.col("score") >= cutoff)
 
 
@@ -211,13 +259,17 @@ def best_names(a: DataFrame, b: DataFrame, stage: Stage, id_col: str = "id", nam
     ids = stage(_first(rows_b, ["name_b"], [F.col("id_b")], 2).drop("rank"), "name-ids")
     left, names_b, found = rows_a.select(F.col("name_a").alias("name")).distinct(), ids.select(F.col("name_b").alias("name")).distinct(), None
     order = [F.col("score").desc(), F.col("id_b")]
-    for level in sorted({95.0, 85.0, cutoff, rival_floor} - {x for x in (95.0, 85.0) if x < rival_floor}, reverse=True):
+    shapes = name_shapes(left, names_b)
+    last_level = min(cutoff, rival_floor)
+    for level in sorted({float(x) for x in range(5, 100, 5) if x > last_level} | {cutoff, rival_floor}, reverse=True):
+        if not any(least <= min(own) for x in shapes[1] for y in shapes[2] for least, *own in [_least(x, y, level)]):
+            continue
         left = stage(left, "names-left")
         if left.isEmpty():
             break
-        own = stage(_first(ratio_pairs(left, names_b, level).join(ids, "name_b"), ["name_a"], order, 2).select("name_a", "id_b", "score", "rank"), "best-names")
+        own = stage(_first(ratio_pairs(left, names_b, level, shapes).join(ids, "name_b"), ["name_a"], order, 2).select("name_a", "id_b", "score", "rank"), "best-names")
         full = own.where("rank = 2").select(F.col("name_a").alias("name"))
-        last = level == min(cutoff, rival_floor)
+        last = level == last_level
         kept = own if last else own.join(full.withColumnRenamed("name", "name_a"), "name_a", "left_semi")
         found = kept if found is None else found.unionByName(kept)
         left = left.join(full, "name", "left_anti")
