@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from touchline.functions.names import birth_match, birth_token, common_subsequence, folded_name, sorted_tokens
@@ -65,6 +66,38 @@ def test_names_alike_are_not_all_compared(spark, monkeypatch):
     assert compared[1200] < 8 * compared[300] and compared[1200] < 1200 * 1200 / 8
 
 
+@pytest.mark.parametrize("others_only", [False, True])
+def test_blocks_equal_all_pairs(spark, monkeypatch, others_only):
+    """Names alike and tied, cut into blocks of at most eight: the best of all blocks are the best of all pairs."""
+    monkeypatch.setattr(similarity, "BLOCK", 8)
+    left = names(n=30) + [f"Customer#{i:05d}" for i in range(0, 60, 3)]
+    right = left if others_only else names(5, 25) + [f"Supplier#{i:05d}" for i in range(0, 40, 2)]
+    a, b = list(enumerate(left)), list(enumerate(right, 0 if others_only else 1000))
+    got = similarity.similar_names(people(spark, left), people(spark, right, b[0][0]), staged, floor=0.2, top=4, others_only=others_only)
+    assert sorted((r.id_a, r.id_b, round(r.score, 6), r["rank"]) for r in got.collect()) == [(i, j, round(s, 6), r) for i, j, s, r in cosine_matches(a, b, 0.2, 4, others_only)]
+
+
+def vectors_of(texts):
+    grams = [Counter(t[i : i + 3] for i in range(len(t) - 2)) for t in texts]
+    df = Counter(g for c in grams for g in c)
+    rows = []
+    for i, c in enumerate(grams):
+        w = {g: k * (math.log((1 + len(texts)) / (1 + df[g])) + 1) for g, k in sorted(c.items())}
+        rows.append({"name": texts[i], "first": i, "g": list(w), "w": [x / math.sqrt(sum(y * y for y in w.values())) for x in w.values()]})
+    return pa.Table.from_pylist(rows)
+
+
+def test_few_are_summed_in_a_block(monkeypatch):
+    """A task sums in full a few targets of each query, however many of its block reach the floor."""
+    dots, summed = similarity._row_dots, []
+    monkeypatch.setattr(similarity, "_row_dots", lambda rows, *how: (summed.append(len(rows)), dots(rows, *how))[1])
+    for n in (500, 4000):
+        summed.clear()
+        rows = vectors_of([f"Customer#{i * 7:09d}" for i in range(n)])
+        assert len(similarity.block_nearest(0.3, 6)(rows, rows)) == 6 * n
+        assert sum(summed) < 120 * n
+
+
 def test_no_plan_compares_all_pairs(spark):
     weights = similarity.gram_weights(people(spark, names()), people(spark, names(4), 500), "name", 3, staged)
     for df in (similarity.similar_pairs(weights, 0.4), similarity.ratio_pairs(*(people(spark, names(k)).select("name").where("name <> ''") for k in (1, 2)), 70.0)):
@@ -214,6 +247,19 @@ def test_layers_with_shrinking_pools(spark):
     assert {r.layer for r in got} == {1, 2, 3} and len({r.id_a for r in got}) == len({r.id_b for r in got}) == len(got)
 
 
+def test_layers_store_and_score_no_more_than_rows(spark, monkeypatch):
+    """Numbered names of two sources: what is stored is no larger than the rows, and pairs are scored for the smaller source and its choices alone."""
+    row = lambda kind, i: (i, f"{kind}#{i:06d}", None, f"19{60 + i % 40}-{1 + i % 12:02d}-{1 + i % 28:02d}", "Striker", None, "x")
+    a, b = [row("Supplier", i) for i in range(0, 100, 5)], [(1000 + r[0], *r[1:]) for r in (row("Customer", i) for i in range(250))]
+    stored, scored, score = {}, [], resolution._first
+    stage = lambda df, name: (out := staged(df, name), stored.__setitem__(name, max(stored.get(name, 0), out.count())))[0]
+    monkeypatch.setattr(resolution, "_first", lambda rows, *how: (scored.append(rows.count()) if "score" in rows.columns else None, score(rows, *how))[1])
+    got = resolution.resolve_layers(spark.createDataFrame(a, COLUMNS), spark.createDataFrame(b, COLUMNS), stage).collect()
+    assert sorted((r.id_a, r.id_b, r.score, r.layer) for r in got) == layers_by_hand(spark, a, b) != []
+    assert max(n for name, n in stored.items() if name != "grams") <= len(a) + len(b)
+    assert max(scored) <= len(a) * resolution.TOP
+
+
 LINK = "source_a string, id_a string, source_b string, id_b string, score double"
 RANKS = ["s", "w", "m", "k"]
 

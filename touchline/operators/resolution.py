@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.names import birth_match, birth_token, folded_name, sorted_tokens, subsequence_ratio
 from touchline.operators.graph import connected_components
-from touchline.operators.similarity import Stage, _first, gram_weights, name_vectors, nearest_names
+from touchline.operators.similarity import Stage, _first, name_index, nearest_names
 
 #: Parts of position names and the group they stand for, the first that occurs counts (fixed values).
 POSITION_GROUPS = [("gk", "Goalkeeper"), ("goalkeeper", "Goalkeeper"), ("df", "Defender"), ("defender", "Defender"), ("mf", "Midfielder"), ("midfielder", "Midfielder"), ("fw", "Forward"), ("forward", "Forward"), ("back", "Defender"), ("midfield", "Midfielder"), ("wing", "Forward"), ("striker", "Forward")]
@@ -68,22 +68,24 @@ def _layer(a: DataFrame, b: DataFrame, layer: Layer, stage: Stage) -> DataFrame:
     """``id_a, id_b, score``: pairs that are each other's best candidate and reach the layer's threshold."""
     if layer.team:
         a, b = stage(a.join(b.select("team").distinct(), "team", "left_semi"), "layer-a"), stage(b.join(a.select("team").distinct(), "team", "left_semi"), "layer-b")
-    vectors = name_vectors(gram_weights(a, b, "sought", 3, stage), stage)
+    index = name_index(a, b, "id", "sought", 3, stage)
+    whole = lambda rows, s: rows.select(F.col("id").alias(f"id_{s}"), F.struct("full", "short", "birth", "place", "number").alias(s))
 
-    def candidates(of: str, by: DataFrame, to: DataFrame) -> DataFrame:
-        """The TOP candidates of each row on one side, copies of a name by their ids."""
+    def best(of: str, by: DataFrame, to: DataFrame, only: DataFrame | None = None) -> DataFrame:
+        """The best of the TOP candidates of each row on one side, copies of a name by their ids."""
         other = "b" if of == "a" else "a"
         ids = stage(_first(to.select(F.col("sought").alias("name"), "id"), ["name"], [F.col("id")], TOP).drop("rank"), "name-ids")
-        best = nearest_names(vectors, ids, of, layer.floor, TOP, stage)
-        return by.select(F.col("sought").alias("name"), F.col("id").alias(f"id_{of}")).join(best.select("name", F.col("id").alias(f"id_{other}")), "name").select("id_a", "id_b")
-
-    both = candidates("a", a, b).withColumn("way", F.lit("a")).unionByName(candidates("b", b, a).withColumn("way", F.lit("b")))
-    whole = lambda rows, s: rows.select(F.col("id").alias(f"id_{s}"), F.struct("full", "short", "birth", "place", "number").alias(s))
-    scored = both.groupBy("id_a", "id_b").agg(F.collect_set("way").alias("ways")).join(whole(a, "a"), "id_a").join(whole(b, "b"), "id_b")
-    scored = stage(scored.select("id_a", "id_b", "ways", _score(layer).alias("score")), "scored-pairs")
-    best = lambda of, to: _first(scored.where(F.array_contains("ways", of)), [f"id_{of}"], [F.col("score").desc(), F.col(f"id_{to}")], 1).drop("rank")
-    mutual = best("a", "b").join(best("b", "a").select("id_a", "id_b"), ["id_a", "id_b"])
-    return mutual.where(F.col("score") >= layer.threshold).select("id_a", "id_b", "score")
+        near = nearest_names(index, ids, of, layer.floor, TOP, only)
+        pairs = by.select(F.col("sought").alias("name"), F.col("id").alias(f"id_{of}")).join(near.select("name", F.col("id").alias(f"id_{other}")), "name").select("id_a", "id_b")
+        scored = pairs.join(whole(by, of), f"id_{of}").join(whole(to, other), f"id_{other}").select("id_a", "id_b", _score(layer).alias("score"))
+        return _first(scored, [f"id_{of}"], [F.col("score").desc(), F.col(f"id_{other}")], 1).drop("rank").where(F.col("score") >= layer.threshold)
+
+    # From the smaller side to the larger one; then only the rows chosen there are to choose in their turn.
+    (of, by), (other, to) = sorted((("a", a), ("b", b)), key=lambda x: x[1].count())
+    claims = stage(best(of, by, to), "claims")
+    chosen = stage(to.join(claims.select(F.col(f"id_{other}").alias("id")), "id", "left_semi"), "chosen")
+    back = best(other, chosen, by, chosen.select(F.col("sought").alias("name")))
+    return claims.join(back.select("id_a", "id_b"), ["id_a", "id_b"])
 
 
 def resolve_layers(a: DataFrame, b: DataFrame, stage: Stage, layers: tuple[Layer, ...] = LAYERS) -> DataFrame:

@@ -6,24 +6,26 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 from itertools import combinations
 from math import comb
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.names import grams, sorted_tokens, subsequence_ratio
 
 Stage = Callable[[DataFrame, str], DataFrame]
-#: Allowance for sums of floating point numbers, and digits a similarity is rounded to.
-SLACK, DIGITS = 1e-9, 9
-#: Cosines at which nearest names are searched for one after the other, above the floor asked for.
-LEVELS = (0.85, 0.7, 0.55, 0.4)
-#: Grams are taken into a key until, were they independent, names ** (1 - RARE) names had them all; at most MOST_GRAMS.
-RARE, MOST_GRAMS = 1.5, 6
-#: Grams of a smaller rarity than this, those of more than a third of the rows, are in no key.
-COMMON = 1.0
+#: Allowance for sums of floating point numbers, digits a similarity is rounded to, and by how much sums may differ that round alike.
+SLACK, DIGITS, NEAR = 1e-9, 9, 2e-9
+#: Names to a block at most, and to one that is still cut so that all cores have work.
+BLOCK, LEAST_BLOCK = 250_000, 2_000
+#: In a block: targets met before the best are summed in full for the first time (then as often as they double), and targets that are summed in full at once.
+SEED, FEW = 200, 50
 #: Subsequences of a name that are joined at most; where there are more, pairs of rare characters are.
 MOST_SUBSEQUENCES = 300
 
@@ -62,102 +64,182 @@ def similar_pairs(weights: DataFrame, floor: float) -> DataFrame:
     side = lambda s: reach.where(f"in_{s}").select("g", F.col("name").alias(f"name_{s}"), F.col("w").alias(f"w_{s}"), F.col("after").alias(f"after_{s}"))
     bound = F.col("w_a") * F.col("w_b") + F.col("after_a") * F.col("after_b")
     pairs = side("a").join(side("b"), "g").where(bound >= floor - SLACK).select("name_a", "name_b").distinct()
-    return _cosines(pairs, weights.groupBy("name").agg(_vector()), floor)
+    return _cosines(_summed(pairs, weights.groupBy("name").agg(_vector())), floor)
 
 
 def _vector() -> Column:
     return F.map_from_entries(F.collect_list(F.struct("g", "w"))).alias("v")  # as long as a name
 
 
-def _cosines(pairs: DataFrame, vectors: DataFrame, floor: float) -> DataFrame:
-    """``name_a, name_b, score`` of the pairs that reach ``floor``; ``vectors`` has ``name, v``."""
+def _summed(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``name_a, name_b, dot`` of pairs of names; ``vectors`` has ``name, v``."""
     both = pairs.join(vectors.select(F.col("name").alias("name_a"), F.col("v").alias("va")), "name_a").join(vectors.select(F.col("name").alias("name_b"), F.col("v").alias("vb")), "name_b")
     dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, x: s + x["value"] * F.coalesce(F.try_element_at("vb", x["key"]), F.lit(0.0)))
-    return both.select("name_a", "name_b", F.round(dot, DIGITS).alias("score")).where(F.col("score") >= floor)
+    return both.select("name_a", "name_b", dot.alias("dot"))
 
 
-def _keyed(names: DataFrame, level: float, other: float, common: float, enough: float) -> DataFrame:
-    """``key, name, head, after``: a row for each start of what a name can share with another, by its rarest grams.
+def _cosines(pairs: DataFrame, floor: float) -> DataFrame:
+    """The summed pairs that reach ``floor``, their ``dot`` rounded to ``score``."""
+    return pairs.withColumn("score", F.round("dot", DIGITS)).drop("dot").where(F.col("score") >= floor)
 
-    ``names`` comes from ``name_vectors``; names of the other side have lengths of ``other`` at most, ``common`` in common grams. What is
-    passed over is bounded, as shared grams need a length of ``level / other``. A key is the first shared rare grams until their rarities add
-    up to ``enough``, or all of them; ``head`` and ``after`` are the lengths of the vector in them and behind them."""
-    rows = names.select("name", "g", "w", "rarity", "tail").where(F.get("tail", F.lit(0)) >= (level / other) ** 2 - SLACK)
-    return rows.mapInPandas(_starts(level, other, common, enough), "key string, name string, head double, after double")
 
+@dataclass(frozen=True)
+class NameIndex:
+    """The stored distinct names of two sides, ``name, in_a, in_b, first_a, first_b`` (the smallest ids), and their stored n-grams, ``g, idf, shared``."""
 
-def _starts(level: float, other: float, common: float, enough: float) -> Callable:
-    def run(frames):
-        for f in frames:
-            out = []
-            for name, g, w, rarity, tail in zip(f["name"], f["g"], f["w"], f["rarity"], f["tail"], strict=True):
-                g, w, rarity, tail, n = list(g), list(w), list(rarity), list(tail), len(g)
-                # What a key takes is told from its own grams, in one order, so that both names of a pair end it at the same gram.
-                open_keys = [("", 0, 0, tail[0] - (level / other) ** 2 + SLACK, 0.0, 0.0)]
-                while open_keys:
-                    key, k, at, spare, head, known = open_keys.pop()
-                    for i in range(at, n + 1):
-                        left = spare - (tail[at] - tail[i])
-                        if left < 0:
-                            break
-                        if i == n:
-                            row, most = (key, name, math.sqrt(head), math.sqrt(max(tail[n], 0.0))), common
-                        else:
-                            longer = (f"{key}{g[i]}\n", k + 1, i + 1, left, head + w[i] * w[i], known + rarity[i])
-                            if longer[5] < enough and k + 1 < MOST_GRAMS:
-                                open_keys.append(longer)
-                                continue
-                            row, most = (longer[0] + "+", name, math.sqrt(longer[4]), math.sqrt(max(tail[i + 1], 0.0))), other
-                        if row[2] * other + row[3] * most >= level - SLACK:
-                            out.append(row)
-            yield pd.DataFrame(out, columns=["key", "name", "head", "after"])
-
-    return run
-
-
-def name_vectors(weights: DataFrame, stage: Stage) -> DataFrame:
-    """Of ``gram_weights`` a stored row for each name that shares a gram with the other side, for ``nearest_names``.
+    names: DataFrame
+    grams: DataFrame
+    n: int
 
-    ``g, w, rarity`` are its rare grams, the rarest first, ``tail`` the squares of the vector's length from each on and, last, in common grams,
-    ``v`` all its grams that both sides have."""
-    own = weights.where("shared").groupBy("name", "in_a", "in_b").agg(F.sort_array(F.collect_list(F.struct((-F.col("rarity")).alias("r"), "g", "w"))).alias("e"), _vector())
-    rare = F.filter("e", lambda x: x["r"] <= -COMMON)
-    add = lambda s, x: s + x["w"] * x["w"]
-    common = F.aggregate(F.filter("e", lambda x: x["r"] > -COMMON), F.lit(0.0), add)
-    squares = F.aggregate(F.reverse(rare), F.array(common), lambda s, x: F.concat(F.array(add(F.get(s, F.lit(0)), x)), s))
-    return stage(own.select("name", "in_a", "in_b", "v", rare["g"].alias("g"), rare["w"].alias("w"), F.transform(rare, lambda x: -x["r"]).alias("rarity"), squares.alias("tail")), "name-vectors")
 
-
-def nearest_names(vectors: DataFrame, ids: DataFrame, of: str, floor: float, keep: int, stage: Stage) -> DataFrame:
-    """The stored ``name, id, score``: of each distinct name of side ``of`` (a or b) the ``keep`` most similar rows of the other side.
+def name_index(a: DataFrame, b: DataFrame, id_col: str, name: str, n: int, stage: Stage) -> NameIndex:
+    """Names and n-grams, ``idf`` as in ``gram_weights``. What is stored grows with the names, not with their grams."""
+    side = lambda rows, s: rows.select(F.col(name).alias("name"), F.lit(s).alias("s"), F.col(id_col).alias("id")).where("name is not null")
+    on = lambda s: F.col("s") == s
+    names = side(a, "a").unionByName(side(b, "b")).groupBy("name").agg(F.count(F.lit(1)).alias("rows"), *(F.max(on(s)).alias(f"in_{s}") for s in "ab"), *(F.min(F.when(on(s), F.col("id"))).alias(f"first_{s}") for s in "ab"))
+    names = stage(names, "names")
+    total = names.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    known = names.select("rows", "in_a", "in_b", F.explode(F.array_distinct(grams(F.col("name"), n))).alias("g")).groupBy("g").agg(F.sum("rows").alias("df"), (F.max("in_a") & F.max("in_b")).alias("shared"))
+    return NameIndex(names, stage(known.select("g", (F.log((1 + total) / (1 + F.col("df"))) + 1).alias("idf"), "shared"), "grams"), n)
+
+
+def name_vectors(names: DataFrame, index: NameIndex) -> DataFrame:
+    """``name, first, g, w``: of ``names`` (``name, first``) the n-grams that both sides have, in order, and their weights, of unit length with all the name's others."""
+    # Spread by name before they are cut into grams: where the table of grams is small, no row of a gram is shuffled.
+    cut = names.repartition("name").select("name", "first", F.explode(grams(F.col("name"), index.n)).alias("g"))
+    counts = cut.groupBy("name", "first", "g").agg(F.count(F.lit(1)).alias("tf")).join(index.grams, "g").withColumn("w", F.col("tf") * F.col("idf"))
+    own = counts.groupBy("name", "first").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"), F.sort_array(F.collect_list(F.when(F.col("shared"), F.struct("g", "w")))).alias("e"))
+    return own.where(F.size("e") > 0).select("name", "first", F.col("e.g").alias("g"), F.transform("e", lambda x: x["w"] / F.col("length")).alias("w"))
+
+
+def _cut(queries: int, targets: int, cells: int) -> tuple[int, int]:
+    """Blocks of queries and of targets: none of over BLOCK names, and ``cells`` pairs of blocks unless they would be small."""
+    names = queries, targets
+    blocks = [max(1, -(-x // BLOCK)) for x in names]
+    while math.prod(blocks) < cells and max(n / k for n, k in zip(names, blocks, strict=True)) > LEAST_BLOCK:
+        blocks[names[0] / blocks[0] < names[1] / blocks[1]] += 1
+    return blocks[0], blocks[1]
+
+
+def _sparse(grams: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The grams of all rows, and where each row's begin."""
+    lists = grams.combine_chunks()
+    return lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)])
+
+
+def _row_dots(rows: np.ndarray, at: np.ndarray, grams: np.ndarray, weights: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """The dot products of rows, none of them empty, with a query that has a weight for every gram."""
+    long = at[rows + 1] - at[rows]
+    begins = np.cumsum(long) - long
+    cells = np.repeat(at[rows] - begins, long) + np.arange(long.sum())
+    return np.add.reduceat(query[grams[cells]] * weights[cells], begins)
+
+
+def _nth(values: np.ndarray, n: int, least: float) -> float:
+    """The n-th largest of values over ``least``, or that where there are fewer."""
+    high = values[values > least]
+    return float(np.partition(high, len(high) - n)[len(high) - n]) if len(high) >= n else least
+
+
+def block_nearest(floor: float, keep: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A task that finds of each query (``name, g, w``) the ``keep`` targets (``first``, too) of the largest cosine, ``floor`` or more.
+
+    A query's grams are taken in order of how many targets have them, the fewest first, until targets that have none of them can't be
+    among the ``keep`` best: the grams left add too little. Of those met only the ones that the grams left can lift that far go on, and
+    the few that remain are summed in full. Every bound holds for the exact sums, so that nothing is lost."""
+
+    def task(queries: pa.Table, targets: pa.Table) -> pa.Table:
+        targets = targets.take(pc.sort_indices(targets["first"]))  # ties go to the smaller place
+        (q_grams, q_at), (t_grams, t_at) = _sparse(queries["g"]), _sparse(targets["g"])
+        code = pa.concat_arrays([q_grams, t_grams]).dictionary_encode()
+        size, code = len(code.dictionary), code.indices.to_numpy()
+        # Grams are numbered by how many targets have them; every row's stand in that order.
+        many = np.bincount(code[len(q_grams) :], minlength=size)
+        turn = np.argsort(many, kind="stable")
+        number = np.empty(size, np.int32)
+        number[turn] = np.arange(size, dtype=np.int32)
+        code, many = number[code], many[turn]
+        q_w, t_w = (x["w"].combine_chunks().flatten().to_numpy(zero_copy_only=False) for x in (queries, targets))
+        q_row, t_row = (np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at)) for at in (q_at, t_at))
+        q_code, t_code = code[: len(q_grams)], code[len(q_grams) :]
+        turn = np.lexsort((q_code, q_row))
+        q_code, q_w = q_code[turn], q_w[turn]
+        turn = np.lexsort((t_code, t_row))
+        t_code, t_w = t_code[turn], t_w[turn]
+        # The targets of each gram, its largest weight, and the greatest length of a target in the grams from each on.
+        turn = np.argsort(t_code, kind="stable")
+        owner, weight, begin = t_row[turn], t_w[turn], np.concatenate([[0], np.cumsum(many)])
+        heaviest, longest = np.zeros(size), np.zeros(size)
+        np.maximum.at(heaviest, t_code, t_w)
+        sums = np.concatenate([[0.0], np.cumsum(t_w * t_w)])
+        np.maximum.at(longest, t_code, sums[t_at[1:]][t_row] - sums[:-1])
+        longest = np.sqrt(np.maximum.accumulate(longest[::-1])[::-1] + SLACK)
+        part, whole, found = np.zeros(len(targets)), np.zeros(size), []
+        for i in range(len(queries)):
+            g, w = q_code[q_at[i] : q_at[i + 1]], q_w[q_at[i] : q_at[i + 1]]
+            # What the grams from each on can add.
+            rest = np.minimum(np.cumsum((w * heaviest[g])[::-1])[::-1], np.sqrt(np.cumsum((w * w)[::-1])[::-1]) * longest[g]).tolist() + [0.0]
+            whole[g] = w
+            least, k, met, n_met, tried = floor, 0, [], 0, 0
+            while k < len(g) and rest[k] >= least - NEAR:
+                at = slice(begin[g[k]], begin[g[k] + 1])
+                p = owner[at]
+                s = part[p] + w[k] * weight[at]
+                part[p] = s
+                met.append(p)
+                n_met += len(p)
+                k += 1
+                least = _nth(s, keep, least)
+                if n_met > max(SEED, 2 * tried) and len(p) >= keep:
+                    # The best so far, summed in full, show early how much is needed.
+                    tried = n_met
+                    lead = p[np.argpartition(s, len(s) - keep)[len(s) - keep :]]
+                    least = max(least, float(_row_dots(lead, t_at, t_code, t_w, whole).min()))
+            if met:
+                met = np.concatenate(met)
+                near = np.sort(met[part[met] >= least - NEAR - rest[k]])
+                near = near[np.concatenate([[True], near[1:] != near[:-1]])] if len(near) else near
+                while k < len(g) and len(near) > FEW:
+                    at = slice(begin[g[k]], begin[g[k] + 1])
+                    p = owner[at]
+                    place = np.minimum(np.searchsorted(p, near), len(p) - 1)
+                    s = part[near] + np.where(p[place] == near, w[k] * weight[at][place], 0.0)
+                    part[near] = s
+                    k += 1
+                    least = _nth(s, keep, least)
+                    near = near[s >= least - NEAR - rest[k]]
+                part[met] = 0.0
+                dots = _row_dots(near, t_at, t_code, t_w, whole) if len(near) else np.zeros(0)
+                score = np.round(dots, DIGITS)
+                best = np.lexsort((near, -score))[:keep]
+                best = best[score[best] >= floor]
+                found.append((np.full(len(best), i), near[best], dots[best]))
+            whole[g] = 0.0
+        a, b, dots = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"of": queries["name"].take(pa.array(a)), "name": targets["name"].take(pa.array(b)), "dot": dots})
+
+    return task
+
+
+def nearest_names(index: NameIndex, ids: DataFrame, of: str, floor: float, keep: int, only: DataFrame | None = None) -> DataFrame:
+    """``name, id, score``: of each distinct name of side ``of`` (a or b) the ``keep`` most similar rows of the other side.
 
     Similarities are cosines of ``floor`` or more, ties go to the smaller id; ``ids`` has ``name, id`` of the other side, of each name at
-    least its ``keep`` smallest ids. Names are searched for level by level: those that find ``keep`` rows at a level have all of that
-    level's, and look no lower. Pairs share a key (``_keyed``) there and are summed only if the lengths of both in it and behind it allow
-    the level, so that near names are compared, not all that are alike in their common grams."""
+    least its ``keep`` smallest ids. With ``only``, names that are in its column ``name`` are searched for, against all others.
+
+    Blocks of names meet blocks of the other side's, each pair of them in a task that holds an index of its targets (``block_nearest``).
+    No pair of names leaves a task but the ``keep`` best of a block, so that what is shuffled is the names, once for each block they meet."""
     to = "b" if of == "a" else "a"
-    length = lambda s, at: F.sqrt(F.max(F.when(F.col(f"in_{s}"), F.element_at("tail", at))))
-    most = vectors.agg(*(length(s, at).alias(name) for s in (of, to) for name, at in ((s, 1), (f"common_{s}", -1))), F.count_if(f"in_{to}").alias("n")).first()
-    against = {of: to, to: of}
-    side = lambda rows, s, level: _keyed(rows, level, most[against[s]], most[f"common_{against[s]}"], RARE * math.log(1 + most["n"])).select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("name", "head", "after")))
-    left, found = vectors.where(f"in_{of}"), None
-    for level in [x for x in LEVELS if x > floor] + [floor]:
-        if not most["n"] or most[of] is None or level > most[of] * most[to] + SLACK:
-            continue
-        own = stage(side(left, of, level), "name-keys")
-        other = side(vectors.where(f"in_{to}"), to, level)
-        bound = F.col("head_a") * F.col("head_b") + F.col("after_a") * F.col("after_b")
-        near = other.join(own, "key").where(bound >= level - SLACK).select("name_a", "name_b").repartition(f"name_{of}").distinct()
-        scored = _cosines(near, vectors, level).select(F.col(f"name_{of}").alias("of"), F.col(f"name_{to}").alias("name"), "score")
-        best = stage(_first(scored.join(ids, "name"), ["of"], [F.col("score").desc(), F.col("id")], keep).select(F.col("of").alias("name"), "id", "score", "rank"), "nearest-names")
-        full = best.where(F.col("rank") == keep).select("name")
-        kept = (best if level == floor else best.join(full, "name", "left_semi")).drop("rank")
-        found = kept if found is None else found.unionByName(kept)
-        if level > floor:
-            left = stage(left.join(full, "name", "left_anti"), "names-left")
-            if left.isEmpty():
-                break
-    return ids.select("name", "id", F.lit(0.0).alias("score")).where("false") if found is None else found
+    side = lambda s: index.names.where(f"in_{s}").select(F.col("name").alias("name"), F.col(f"first_{s}").alias("first"))
+    queries, targets = side(of) if only is None else side(of).join(only.select("name"), "name", "left_semi"), side(to)
+    n_q, n_t = _cut(queries.count(), targets.count(), targets.sparkSession.sparkContext.defaultParallelism)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    block = lambda n: F.pmod(F.xxhash64("name"), F.lit(n)).cast("int")
+    left = name_vectors(queries, index).select("name", "g", "w", block(n_q).alias("q"), every(n_t).alias("t")).groupBy("q", "t")
+    right = name_vectors(targets, index).select("name", "first", "g", "w", block(n_t).alias("t"), every(n_q).alias("q")).groupBy("q", "t")
+    near = left.cogroup(right).applyInArrow(block_nearest(floor, keep), "of string, name string, dot double")
+    best = _first(_cosines(near, floor).join(ids, "name"), ["of"], [F.col("score").desc(), F.col("id")], keep)
+    return best.select(F.col("of").alias("name"), "id", "score")
 
 
 def similar_names(a: DataFrame, b: DataFrame, stage: Stage, id_col: str = "id", name: str = "name", floor: float = 0.4, top: int = 5, n: int = 3, others_only: bool = False) -> DataFrame:
@@ -167,7 +249,7 @@ def similar_names(a: DataFrame, b: DataFrame, stage: Stage, id_col: str = "id",
     its own id. Names that are null or shorter than an n-gram match nothing. ``stage`` writes a frame to shared storage and reads it back."""
     keep = top + int(others_only)
     ids = stage(_first(b.select(F.col(name).alias("name"), F.col(id_col).alias("id")), ["name"], [F.col("id")], keep).drop("rank"), "name-ids")
-    best = nearest_names(name_vectors(gram_weights(a, b, name, n, stage), stage), ids, "a", floor, keep, stage)
+    best = nearest_names(name_index(a, b, id_col, name, n, stage), ids, "a", floor, keep)
     found = a.select(F.col(id_col).alias("id_a"), F.col(name).alias("name")).join(best.withColumnRenamed("id", "id_b"), "name").select("id_a", "id_b", "score")
     order = [F.col("score").desc(), F.col("id_b")]
     return _first(found.where("id_a <> id_b") if others_only else found, ["id_a"], order, top)
